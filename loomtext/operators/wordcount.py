@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import text_lines, whitespace_words
+from loomtext.functions.arrays import explode_rows
 
 
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -14,10 +15,10 @@ def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
     The explode is narrow; the count is a partial (map-side) aggregate followed by one
     shuffle on ``word``, so a very common word is combined per partition first.
     """
-    words = lines.select(F.explode(whitespace_words(F.col(value))).alias("word"))
+    words = explode_rows(lines, whitespace_words(F.col(value)), "word")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def blob_lines(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per line of a text column (a text-file scan of each blob)."""
-    return df.select(*keep, F.explode(text_lines(F.col(text))).alias("value"))
+    return explode_rows(df, text_lines(F.col(text)), "value", keep)
