@@ -13,7 +13,7 @@ MAX_DAY = 30
 def day_to_bit(day) -> Column:
     """``1 << (day - 1)``; a day outside 1..30 fails the query."""
     d = col_of(day)
-    return F.when((d >= 1) & (d <= MAX_DAY), F.shiftleft(F.lit(1), d - 1)).otherwise(
+    return F.when((d >= 1) & (d <= MAX_DAY), F.call_function("shiftleft", F.lit(1), d - 1)).otherwise(
         F.raise_error(F.concat(F.lit("day out of range 1..30: "), d.cast("string"))))
 
 

@@ -77,10 +77,35 @@ def count_vectors(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST
 
 
 def counted_instances(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """Documents as counted instances ``(doc_id, label, feature, value)``."""
-    tc = with_term_counts(docs.select("doc_id", "label", tokens), tokens, "_tc")
-    return explode_rows(tc, F.col("_tc"), "tc", ("doc_id", "label")).select(
-        "doc_id", "label", F.col("tc.token").alias("feature"), F.col("tc.tf").alias("value"))
+    """Documents as counted instances ``(doc_id, label, feature, value, n_tokens)``:
+    one row per distinct token of a document with its count; ``n_tokens`` is the
+    document's total token count (all tokens, repeats included)."""
+    sized = docs.select("doc_id", "label", tokens, F.size(F.col(tokens)).alias("n_tokens"))
+    tc = with_term_counts(sized, tokens, "_tc")
+    return explode_rows(tc, F.col("_tc"), "tc", ("doc_id", "label", "n_tokens")).select(
+        "doc_id", "label", F.col("tc.token").alias("feature"), F.col("tc.tf").alias("value"), "n_tokens")
+
+
+def binary_from_instances(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+    """M1 over counted instances (one row per document and feature): value 1."""
+    v = _vocab_side(vocab, limit).withColumnRenamed("token", "feature")
+    return instances.join(v, "feature").select("doc_id", "label", "fid", F.lit(1).cast("int").alias("value"))
+
+
+def tfidf_from_instances(instances: DataFrame, vocab: DataFrame, idf: DataFrame,
+                         limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+    """M2 over counted instances carrying ``n_tokens`` (see :func:`tfidf_vectors`)."""
+    e = instances.join(_vocab_side(vocab, limit).withColumnRenamed("token", "feature"), "feature")
+    return _weighted(e.withColumnRenamed("n_tokens", "_t"), idf, limit)
+
+
+def _weighted(e: DataFrame, idf: DataFrame, limit: int) -> DataFrame:
+    w = broadcast_if_small(idf.select(F.col("fidx"), F.col("idf")), limit)
+    e = e.join(w, e["fid"] - 1 == w["fidx"], "left")
+    val = (F.lit(1.0) / F.col("_t")) * F.col("idf")
+    checked = F.when(F.col("idf").isNotNull(), val).otherwise(
+        F.raise_error(F.concat(F.lit("no idf for feature id "), F.col("fid").cast("string"))))
+    return e.select("doc_id", "label", "fid", checked.cast("double").alias("value"))
 
 
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, idf: DataFrame, tokens: str = "tokens",
@@ -92,10 +117,4 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, idf: DataFrame, tokens: str
     """
     sized = docs.select("doc_id", "label", F.size(F.col(tokens)).alias("_t"), F.col(tokens))
     dt = explode_rows(sized, F.array_distinct(F.col(tokens)), "token", ("doc_id", "label", "_t"))
-    e = dt.join(_vocab_side(vocab, limit), "token")
-    w = broadcast_if_small(idf.select(F.col("fidx"), F.col("idf")), limit)
-    e = e.join(w, e["fid"] - 1 == w["fidx"], "left")
-    val = (F.lit(1.0) / F.col("_t")) * F.col("idf")
-    checked = F.when(F.col("idf").isNotNull(), val).otherwise(
-        F.raise_error(F.concat(F.lit("no idf for feature id "), F.col("fid").cast("string"))))
-    return e.select("doc_id", "label", "fid", checked.cast("double").alias("value"))
+    return _weighted(dt.join(_vocab_side(vocab, limit), "token"), idf, limit)

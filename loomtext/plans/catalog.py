@@ -26,12 +26,13 @@ from loomtext.operators.models import fit_naive_bayes, fit_random_forest, nb_tab
 from loomtext.operators.sampling import hash_sample, one_per_key, split_column, two_stage_sample
 from loomtext.operators.select import chi_square, reindex, top_features
 from loomtext.operators.sites import site_rollup
-from loomtext.operators.vectors import binary_vectors, count_vectors, counted_instances, distinct_tokens, \
-    tfidf_vectors
+from loomtext.operators.vectors import binary_from_instances, count_vectors, counted_instances, distinct_tokens, \
+    tfidf_from_instances
 from loomtext.operators.vocab import vocabulary
 from loomtext.operators.weights import doc_frequency, idf
 from loomtext.operators.wordcount import blob_lines, word_count
 from loomtext.plans import corpus
+from loomtext.session import reliable_checkpoint
 from loomtext.sinks.text import libsvm_lines
 from loomtext.sources.tables import table
 
@@ -66,22 +67,24 @@ def _docs(spark, sf):
     return docs
 
 
-def _vocab(spark, sf, docs=None):
-    docs = docs if docs is not None else _docs(spark, sf)
-    return vocabulary(counted_instances(docs))
+def _corpus(spark, sf):
+    """Token documents, their counted instances (materialised once: vocabulary and
+    every vector table read them) and the vocabulary."""
+    docs = _docs(spark, sf)
+    inst = reliable_checkpoint(counted_instances(docs))
+    return docs, inst, vocabulary(inst)
 
 
 def _count_entries(spark, sf):
-    docs = _docs(spark, sf)
-    voc = _vocab(spark, sf, docs)
-    return docs, count_vectors(counted_instances(docs), voc, one_row_per_feature=True)
+    docs, inst, voc = _corpus(spark, sf)
+    return docs, count_vectors(inst, voc, one_row_per_feature=True)
 
 
 def _selected(spark, sf):
     docs, cv = _count_entries(spark, sf)
     entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
     alld = docs.select("doc_id", "label")
-    top = top_features(chi_square(entries, alld), TOP_K)
+    top = reliable_checkpoint(top_features(chi_square(entries, alld), TOP_K))
     return alld, entries, top
 
 
@@ -97,9 +100,14 @@ def _split_sets(spark, sf):
     return train_docs, train_e, test_docs, test_e, n_feat
 
 
+def _vectors(entries, docs, n_feat):
+    """ML input, materialised: the learners pass over it several times."""
+    return reliable_checkpoint(to_vectors(entries, docs, n_feat))
+
+
 def _nb_scored(spark, sf):
     train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
-    model = fit_naive_bayes(to_vectors(train_e, train_docs, n_feat), SMOOTHING)
+    model = fit_naive_bayes(_vectors(train_e, train_docs, n_feat), SMOOTHING)
     tv = to_vectors(test_e, test_docs, n_feat)
     return model.transform(tv).select("doc_id", "label", "n_entries", "prediction")
 
@@ -191,12 +199,12 @@ def q_whitelist_filter(spark, sf):
 
 
 def q_vocabulary(spark, sf):
-    return _vocab(spark, sf)
+    return _corpus(spark, sf)[2]
 
 
 def q_binary_vectors(spark, sf):
-    docs = _docs(spark, sf)
-    return binary_vectors(docs, _vocab(spark, sf, docs))
+    _, inst, voc = _corpus(spark, sf)
+    return binary_from_instances(inst, voc)
 
 
 def q_count_vectors(spark, sf):
@@ -204,15 +212,14 @@ def q_count_vectors(spark, sf):
 
 
 def _binary_idf(spark, sf):
-    docs = _docs(spark, sf)
-    voc = _vocab(spark, sf, docs)
-    bv = binary_vectors(docs, voc)
-    return docs, voc, idf(bv, bv.select("doc_id").distinct())
+    _, inst, voc = _corpus(spark, sf)
+    bv = binary_from_instances(inst, voc)
+    return inst, voc, idf(bv, bv.select("doc_id").distinct())
 
 
 def q_doc_frequency(spark, sf):
-    docs = _docs(spark, sf)
-    return doc_frequency(binary_vectors(docs, _vocab(spark, sf, docs)))
+    _, inst, voc = _corpus(spark, sf)
+    return doc_frequency(binary_from_instances(inst, voc))
 
 
 def q_idf(spark, sf):
@@ -220,13 +227,12 @@ def q_idf(spark, sf):
 
 
 def q_tfidf_vectors(spark, sf):
-    docs, voc, w = _binary_idf(spark, sf)
-    return tfidf_vectors(docs, voc, w).select("doc_id", "label", "fid", _r("value"))
+    inst, voc, w = _binary_idf(spark, sf)
+    return tfidf_from_instances(inst, voc, w).select("doc_id", "label", "fid", _r("value"))
 
 
 def q_chi_square(spark, sf):
-    _, cv = _count_entries(spark, sf)
-    docs = _docs(spark, sf)
+    docs, cv = _count_entries(spark, sf)
     entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
     return chi_square(entries, docs.select("doc_id", "label")).select("fidx", _r("chi2", CHI_DIGITS))
 
@@ -265,7 +271,7 @@ def q_holdout_metrics(spark, sf):
 def q_rf_predict(spark, sf):
     train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    train = stable_layout(to_vectors(train_e, train_docs, n_feat), parts)
+    train = reliable_checkpoint(stable_layout(to_vectors(train_e, train_docs, n_feat), parts))
     model = fit_random_forest(train, RF_TREES, RF_DEPTH, RF_BINS, RF_SEED)
     tv = to_vectors(test_e, test_docs, n_feat).where(F.col("n_entries") > 0)
     return predict(model, tv)
@@ -646,7 +652,7 @@ SELECT user_id, CAST(bit_or(CAST(1 AS INTEGER) << (day(ts) - 1)) AS INTEGER) AS
 FROM events GROUP BY user_id""",
 
     "day_boundary": """
-SELECT event_id, epoch_ms(ts) AS ts_ms, epoch_ms(date_trunc('day', ts)) AS day_start_ms,
+SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, epoch_ms(date_trunc('day', ts)) AS day_start_ms,
        epoch_ms(date_trunc('day', ts) - INTERVAL 7 DAY) AS week_before_ms
 FROM events""",
 
