@@ -1,11 +1,11 @@
 """O1: dense, ordered ids (1..n) without a single-partition exchange.
 
 ``row_number()`` over an unpartitioned window moves every row into one task. Here the
-rows are range-partitioned on the sort key, sorted inside each partition and
-materialised in the shared checkpoint folder, so the sampled range boundaries are fixed
-for the two passes that follow: one counts rows per partition (one row per partition),
-the other numbers rows inside each partition; a broadcast of the per-partition offsets
-(as many rows as partitions) turns local numbers into global ids.
+rows are range-partitioned on the sort key and sorted inside each partition; each row's
+range index and position inside its range are written with it to the shared
+checkpoint folder, so the sampled boundaries cannot change between the two passes
+that follow: one counts rows per range (one row per range), the other adds the
+broadcast per-range offsets (as many rows as ranges) to the local positions.
 """
 
 from __future__ import annotations
@@ -25,13 +25,14 @@ def dense_ids(df: DataFrame, order: list[Column | str], id_col: str = "id", star
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    fixed = reliable_checkpoint(ordered)
-    local = (fixed.withColumn("_pid", F.spark_partition_id())
+    # Range index and position inside the range, written with the rows in one job.
+    local = (ordered.withColumn("_pid", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()))
     local = local.withColumn("_local", F.col("_local") - F.shiftleft(F.col("_pid").cast("long"), _SHIFT))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    fixed = reliable_checkpoint(local, "dense-ids")
+    counts = fixed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = local.join(F.broadcast(offsets), "_pid")
+    out = fixed.join(F.broadcast(offsets), "_pid")
     return out.withColumn(id_col, (F.col("_off") + F.col("_local") + F.lit(start)).cast("long")) \
         .drop("_pid", "_local", "_off")

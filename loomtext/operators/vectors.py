@@ -27,7 +27,7 @@ def with_term_counts(df: DataFrame, tokens: str, out: str = "term_counts") -> Da
     sorted array and the run starts are separate columns the lambdas refer to.
     """
     keep = [c for c in df.columns if c != out]
-    s = df.select(*keep, F.array_sort(F.col(tokens)).alias("_s"))
+    s = df.select(*keep, F.sort_array(F.col(tokens)).alias("_s"))
     n = F.size(F.col("_s"))
     s = s.select(*keep, "_s", F.filter(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),

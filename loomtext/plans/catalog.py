@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.bits import day_boundary_ms
-from loomtext.functions.records import field_value, last_field, record_identity
+from loomtext.functions.records import field_value, last_field, record_identity, record_pairs
 from loomtext.functions.text import suffixed_tokens
 from loomtext.functions.urls import PREFIX_REGEX, canonical_url, domain_parts, domain_path, site_dirs
 from loomtext.operators.activity import active_days
@@ -26,15 +26,15 @@ from loomtext.operators.models import fit_naive_bayes, fit_random_forest, nb_tab
 from loomtext.operators.sampling import hash_sample, one_per_key, split_column, two_stage_sample
 from loomtext.operators.select import chi_square, reindex, top_features
 from loomtext.operators.sites import site_rollup
-from loomtext.operators.vectors import binary_from_instances, count_vectors, counted_instances, distinct_tokens, \
-    tfidf_from_instances
-from loomtext.operators.vocab import vocabulary
+from loomtext.operators.vectors import binary_vectors, count_vectors, counted_instances, distinct_tokens, \
+    tfidf_vectors
+from loomtext.operators.vocab import class_count, vocabulary
 from loomtext.operators.weights import doc_frequency, idf
 from loomtext.operators.wordcount import blob_lines, word_count
 from loomtext.plans import corpus
 from loomtext.session import reliable_checkpoint
 from loomtext.sinks.text import libsvm_lines
-from loomtext.sources.tables import table
+from loomtext.sources.tables import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,11 +68,16 @@ def _docs(spark, sf):
 
 
 def _corpus(spark, sf):
-    """Token documents, their counted instances (materialised once: vocabulary and
-    every vector table read them) and the vocabulary."""
+    """Token documents, their counted instances (lazy) and the vocabulary.
+
+    The vocabulary counts one row per (document, feature), so it is built from the
+    distinct tokens of each document (no term counting needed); only count vectors
+    need the counted instances. Tokenising in the row is narrow and cheaper to redo
+    than a table about as large as the text is to write and read back."""
     docs = _docs(spark, sf)
-    inst = reliable_checkpoint(counted_instances(docs))
-    return docs, inst, vocabulary(inst)
+    inst = counted_instances(docs)
+    features = distinct_tokens(docs).withColumnRenamed("token", "feature")
+    return docs, inst, vocabulary(features)
 
 
 def _count_entries(spark, sf):
@@ -121,7 +126,8 @@ def _r(c, digits=DIGITS):
 
 
 def q_word_count(spark, sf):
-    return word_count(blob_lines(table(spark, sf, "documents"), "text"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return word_count(blob_lines(docs, "text"))
 
 
 def q_record_fields(spark, sf):
@@ -131,6 +137,10 @@ def q_record_fields(spark, sf):
         last_field(line, "kw").alias("kw"), field_value(line, "url").alias("url_first"))
 
 
+def q_record_pairs(spark, sf):
+    return record_pairs(_pages(spark, sf).select("page_id", "line"), "line", "page_id")
+
+
 def q_sample_tokens(spark, sf):
     c = _classified(spark, sf)
     toks = F.concat(suffixed_tokens(F.col("title"), "_1"), suffixed_tokens(F.col("kw"), "_2"))
@@ -194,6 +204,11 @@ def q_label_dictionary(spark, sf):
     return dictionary
 
 
+def q_class_count(spark, sf):
+    _, dictionary = corpus.labelled_docs(spark, sf)
+    return class_count(dictionary)
+
+
 def q_whitelist_filter(spark, sf):
     return _docs(spark, sf).select("doc_id", "label")
 
@@ -203,8 +218,8 @@ def q_vocabulary(spark, sf):
 
 
 def q_binary_vectors(spark, sf):
-    _, inst, voc = _corpus(spark, sf)
-    return binary_from_instances(inst, voc)
+    docs, _, voc = _corpus(spark, sf)
+    return binary_vectors(docs, voc)
 
 
 def q_count_vectors(spark, sf):
@@ -212,14 +227,14 @@ def q_count_vectors(spark, sf):
 
 
 def _binary_idf(spark, sf):
-    _, inst, voc = _corpus(spark, sf)
-    bv = binary_from_instances(inst, voc)
-    return inst, voc, idf(bv, bv.select("doc_id").distinct())
+    docs, _, voc = _corpus(spark, sf)
+    bv = binary_vectors(docs, voc)
+    return docs, voc, idf(bv, bv.select("doc_id").distinct())
 
 
 def q_doc_frequency(spark, sf):
-    _, inst, voc = _corpus(spark, sf)
-    return doc_frequency(binary_from_instances(inst, voc))
+    docs, _, voc = _corpus(spark, sf)
+    return doc_frequency(binary_vectors(docs, voc))
 
 
 def q_idf(spark, sf):
@@ -227,8 +242,8 @@ def q_idf(spark, sf):
 
 
 def q_tfidf_vectors(spark, sf):
-    inst, voc, w = _binary_idf(spark, sf)
-    return tfidf_from_instances(inst, voc, w).select("doc_id", "label", "fid", _r("value"))
+    docs, voc, w = _binary_idf(spark, sf)
+    return tfidf_vectors(docs, voc, w).select("doc_id", "label", "fid", _r("value"))
 
 
 def q_chi_square(spark, sf):
@@ -315,6 +330,7 @@ def q_libsvm_text(spark, sf):
 QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "record_fields": q_record_fields,
+    "record_pairs": q_record_pairs,
     "sample_tokens": q_sample_tokens,
     "url_canonical": q_url_canonical,
     "url_site_dirs": q_url_site_dirs,
@@ -328,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "two_stage_sample": q_two_stage_sample,
     "train_test_split": q_train_test_split,
     "label_dictionary": q_label_dictionary,
+    "class_count": q_class_count,
     "whitelist_filter": q_whitelist_filter,
     "vocabulary": q_vocabulary,
     "binary_vectors": q_binary_vectors,
@@ -511,6 +528,17 @@ SELECT page_id,
        regexp_extract(line, '(?:^|`)url=([^`]*)', 1) AS url_first
 FROM precs""",
 
+    "record_pairs": _with(_SQL_RECS) + r""",
+f AS (SELECT page_id, pos, {jt} AS field
+      FROM (SELECT page_id, unnest(parts) AS field, unnest(range(1, len(parts) + 1)) AS pos
+            FROM (SELECT page_id, string_split(line, '`') AS parts FROM precs))),
+kv AS (SELECT page_id, pos, split_part(field, '=', 1) AS key,
+              CASE WHEN strpos(field, '=') > 0 THEN substr(field, strpos(field, '=') + 1) ELSE '' END AS value
+       FROM f WHERE field <> '')
+SELECT page_id, key, arg_max(value, pos) AS value FROM kv GROUP BY page_id, key""".replace("{jt}", _jtrim("field")),
+
+    "class_count": _with(_SQL_DOCS) + "\nSELECT max(category_id) + 1 AS num_classes FROM dict",
+
     "sample_tokens": _with(_SQL_RECS, _SQL_RULES, r"""
 tk AS (
   SELECT page_id, substr(tag, 1, 4) AS category,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from loomtext.functions.hashing import hash_bucket
 from loomtext.functions.text import doc_tokens
 from loomtext.operators.vocab import category_dictionary, with_category_id
-from loomtext.sources.tables import table
+from loomtext.sources.tables import spread, table
 
 TITLE_RE = r"<title>(.*?)</title>"
 NAV_LINK_RE = r'<a href="[^"]*">([^<]*)</a>'
@@ -49,6 +49,7 @@ HOST_RULE_ORD_BASE = 1000
 
 
 def page_records(pages: DataFrame) -> DataFrame:
+    pages = spread(pages.select("page_id", "url", "html"), "page_id")
     title = F.regexp_extract(F.col("html"), TITLE_RE, 1)
     kw = F.array_join(F.regexp_extract_all(F.col("html"), F.lit(NAV_LINK_RE), F.lit(1)), " ")
     rec = pages.select("page_id", "url", title.alias("title"), kw.alias("kw"))
@@ -71,7 +72,7 @@ def page_rules(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
 def token_docs(spark: SparkSession, sf: str) -> DataFrame:
     """``(doc_id, lang, tokens)`` for every document."""
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
     return docs.select("doc_id", "lang", doc_tokens(F.col("text")).alias("tokens"))
 
 

@@ -61,10 +61,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it
+    back: the lineage is cut, later passes read columns they need only, and the table
+    survives the loss of any executor (unlike cached or locally checkpointed blocks).
+    Parquet writes columnar and compressed, which is cheaper than serialising rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

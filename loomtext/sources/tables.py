@@ -13,3 +13,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """``<folder>/<name>.parquet``; column pruning and filters reach the scan."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan yields fewer partitions than the
+    cluster runs tasks at once (a single large row group, a handful of files), so the
+    CPU-heavy per-row work that follows (tokenising, HTML regexes) uses every core.
+    A large input already has enough splits and is returned unchanged (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)

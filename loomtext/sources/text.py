@@ -33,7 +33,7 @@ def read_category_dictionary(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(read_lines(spark, path))
     parts = F.split(F.col("value"), "`")
     rows = lines.select("ln", java_trim(F.get(parts, 1)).alias("name"),
-                        F.try_cast(java_trim(F.get(parts, 0)), "int").alias("category_id"))
+                        (java_trim(F.get(parts, 0))).try_cast("int").alias("category_id"))
     rows = rows.where(F.col("name").isNotNull() & F.col("category_id").isNotNull())
     return rows.groupBy("name").agg(F.max_by("category_id", "ln").alias("category_id"))
 
@@ -44,7 +44,7 @@ def read_feature_dictionary(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(read_lines(spark, path))
     parts = java_split(F.col("value"), "\t")
     rows = lines.where(F.size(parts) == 2).select(
-        "ln", F.get(parts, 0).alias("feature"), F.try_cast(F.get(parts, 1), "long").alias("fid"))
+        "ln", F.get(parts, 0).alias("feature"), (F.get(parts, 1)).try_cast("long").alias("fid"))
     return rows.where(F.col("fid").isNotNull()).groupBy("feature").agg(F.max_by("fid", "ln").alias("fid"))
 
 
@@ -68,7 +68,7 @@ def parse_counted_instances(lines: DataFrame, doc_id: str = "doc_id") -> DataFra
     return ex.select(doc_id, "label",
                      F.expr("substring(item, 1, greatest(length(item) - length(substring_index(item, ':', -1)) - 1, 0))")
                      .alias("feature"),
-                     F.when(cut > 0, F.try_cast(F.substring_index("item", ":", -1), "int")).alias("value"))
+                     F.when(cut > 0, (F.substring_index("item", ":", -1)).try_cast("int")).alias("value"))
 
 
 def parse_libsvm(lines: DataFrame, doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:

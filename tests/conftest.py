@@ -21,4 +21,5 @@ def spark():
 def rows(df, *cols):
     """Sorted tuples of the given columns (all columns by default)."""
     sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())
+    key = lambda t: tuple((x is None, type(x).__name__, x if x is not None else 0) for x in t)
+    return sorted((tuple(r) for r in sel.collect()), key=key)
