@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import col_of, java_split, java_trim
-from loomtext.functions.arrays import posexplode_rows
+from loomtext.functions.arrays import explode_rows
 
 FIELD_SEP = "`"
 
@@ -38,15 +38,20 @@ def record_pairs(df: DataFrame, line: str = "value", key_col: str = "rec_id") ->
     """U11 in long form: ``(rec_id, key, value)``, one row per distinct key.
 
     Fields are trimmed, empty ones skipped, split at the first ``=`` (no ``=`` gives
-    an empty value); a repeated key keeps its last value.
+    an empty value); a repeated key keeps its last value. A record's fields are few and
+    all in one row, so "last wins" is an array filter inside the row (a field survives
+    when no later field has its key): no shuffle.
     """
-    fields = posexplode_rows(df, F.split(F.col(line), FIELD_SEP), "pos", "field", (key_col,))
-    fields = fields.withColumn("field", java_trim("field")).where(F.col("field") != "")
-    kv = fields.select(key_col, "pos",
-                       F.substring_index("field", "=", 1).alias("key"),
-                       F.when(F.instr("field", "=") > 0,
-                              F.expr("substring(field, instr(field, '=') + 1)")).otherwise(F.lit("")).alias("value"))
-    return kv.groupBy(key_col, "key").agg(F.max_by("value", "pos").alias("value"))
+    fields = F.filter(F.transform(F.split(F.col(line), FIELD_SEP), lambda f: java_trim(f)), lambda f: f != "")
+    kv = F.transform(fields, lambda f: F.struct(
+        F.substring_index(f, "=", 1).alias("key"),
+        F.when(F.instr(f, "=") > 0, F.substring(f, F.instr(f, "=") + 1, 1 << 30)).otherwise(F.lit("")).alias("value")))
+    staged = df.select(key_col, kv.alias("_kv"))
+    last = F.filter(F.col("_kv"), lambda x, i: ~F.exists(
+        F.slice(F.col("_kv"), i + 2, F.greatest(F.size(F.col("_kv")) - i - 1, F.lit(0))),
+        lambda y: y["key"] == x["key"]))
+    return explode_rows(staged, last, "_p", (key_col,)).select(
+        key_col, F.col("_p.key").alias("key"), F.col("_p.value").alias("value"))
 
 
 def valid_identity(c) -> Column:
