@@ -24,7 +24,10 @@ def dense_ids(df: DataFrame, order: list[Column | str], id_col: str = "id", star
     order for repeatable ids)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # The range partitioner samples its input in a job of its own: number a stored
+    # copy so the (possibly expensive) input is computed once, not twice.
+    stored = reliable_checkpoint(df, "dense-ids-input")
+    ordered = stored.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # Range index and position inside the range, written with the rows in one job.
     local = (ordered.withColumn("_pid", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()))

@@ -9,4 +9,9 @@ from pyspark.sql import functions as F
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows (counted by one job),
     else ``df`` unchanged so the planner shuffles both sides."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one counting job)."""
+    return df.count() <= max_rows

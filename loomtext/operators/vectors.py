@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.operators.sizing import broadcast_if_small
+from loomtext.operators.sizing import broadcast_if_small, fits
 from loomtext.functions.arrays import explode_rows
 
 # Vocabularies up to this many rows are broadcast; bigger ones are shuffle-joined.
@@ -95,12 +95,22 @@ def binary_from_instances(instances: DataFrame, vocab: DataFrame, limit: int = B
 def tfidf_from_instances(instances: DataFrame, vocab: DataFrame, idf: DataFrame,
                          limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
     """M2 over counted instances carrying ``n_tokens`` (see :func:`tfidf_vectors`)."""
-    e = instances.join(_vocab_side(vocab, limit).withColumnRenamed("token", "feature"), "feature")
-    return _weighted(e.withColumnRenamed("n_tokens", "_t"), idf, limit)
-
-
-def _weighted(e: DataFrame, idf: DataFrame, limit: int) -> DataFrame:
-    w = broadcast_if_small(idf.select(F.col("fidx"), F.col("idf")), limit)
+    small = fits(vocab, limit)
+    side = vocab.select("feature", "fid")
+    e = instances.join(F.broadcast(side) if small else side, "feature")
+    return _weighted(e.withColumnRenamed("n_tokens", "_t"), idf, limit, vocab, small)
+
+
+def _weighted(e: DataFrame, idf: DataFrame, limit: int, vocab: DataFrame | None = None,
+              vocab_broadcast: bool = False) -> DataFrame:
+    w = idf.select(F.col("fidx"), F.col("idf"))
+    if vocab is not None and vocab_broadcast:
+        # At most one idf row per vocabulary id survives the semi join, so the
+        # vocabulary's checked size bounds this side too: broadcast without counting it.
+        ids = F.broadcast(vocab.select((F.col("fid") - 1).alias("fidx")))
+        w = F.broadcast(w.join(ids, "fidx", "left_semi"))
+    else:
+        w = broadcast_if_small(w, limit)
     e = e.join(w, e["fid"] - 1 == w["fidx"], "left")
     val = (F.lit(1.0) / F.col("_t")) * F.col("idf")
     checked = F.when(F.col("idf").isNotNull(), val).otherwise(
@@ -117,4 +127,7 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, idf: DataFrame, tokens: str
     """
     sized = docs.select("doc_id", "label", F.size(F.col(tokens)).alias("_t"), F.col(tokens))
     dt = explode_rows(sized, F.array_distinct(F.col(tokens)), "token", ("doc_id", "label", "_t"))
-    return _weighted(dt.join(_vocab_side(vocab, limit), "token"), idf, limit)
+    small = fits(vocab, limit)
+    side = vocab.select(F.col("feature").alias("token"), "fid")
+    side = F.broadcast(side) if small else side
+    return _weighted(dt.join(side, "token"), idf, limit, vocab, small)

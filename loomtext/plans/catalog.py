@@ -86,8 +86,11 @@ def _count_entries(spark, sf):
 
 
 def _selected(spark, sf):
+    """Count vectors as a stage table (chi-square, the reindex and both splits read
+    it, as the reference wrote libsvm and read it back), and the top-k features."""
     docs, cv = _count_entries(spark, sf)
-    entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
+    entries = reliable_checkpoint(cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value"),
+                                  "count-entries")
     alld = docs.select("doc_id", "label")
     top = reliable_checkpoint(top_features(chi_square(entries, alld), TOP_K))
     return alld, entries, top
