@@ -73,8 +73,9 @@ def doc_tokens(text, pattern: str = DOC_TOKEN_SPLIT) -> Column:
 
 
 def suffixed_tokens(value, suffix: str) -> Column:
-    """Title / keyword tokens: delete ``'``, split on single spaces, drop blank pieces,
-    append ``suffix`` (``_1`` for titles, ``_2`` for keywords). Missing value: none."""
+    """Title / keyword tokens: delete ``'``, split on single spaces, drop
+    blank pieces, append ``suffix`` (``_1`` for titles, ``_2`` for keywords). A missing
+    field gives no tokens."""
     value = F.coalesce(col_of(value), F.lit(""))
     pieces = F.split(F.replace(value, F.lit("'"), F.lit("")), " ")
     kept = F.filter(pieces, lambda x: ~java_blank(x))

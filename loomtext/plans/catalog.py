@@ -145,6 +145,7 @@ def q_record_pairs(spark, sf):
 
 
 def q_sample_tokens(spark, sf):
+    """P2-P5 + F2 on labelled pages: ``category tok_1 ... tok_2 ...`` documents."""
     c = _classified(spark, sf)
     toks = F.concat(suffixed_tokens(F.col("title"), "_1"), suffixed_tokens(F.col("kw"), "_2"))
     cate = F.substring(F.col("tag"), 1, 4)

@@ -62,8 +62,9 @@ def run_labelling(spark: SparkSession, logs: str, rules: DataFrame, labelled_out
 
 
 def labelled_token_docs(lines: DataFrame) -> DataFrame:
-    """Labelled lines ``category=NNNN`...`` -> ``(doc_id, label, tokens)``; documents
-    without a category or without any title/keyword token are dropped (F2)."""
+    """P4 + P5 + F2: labelled lines ``category=NNNN`...`` -> ``(doc_id, label, tokens)``
+    (category = the 4 characters after ``category=``; tokens = title tokens then keyword
+    tokens); documents without a category or without any token are dropped."""
     v = F.col("value")
     cate = F.regexp_extract(v, "category=(.{4})", 1)
     toks = F.concat(suffixed_tokens(last_field(v, "tit"), "_1"), suffixed_tokens(last_field(v, "kw"), "_2"))
@@ -115,7 +116,8 @@ def run_training(spark: SparkSession, categories: str, instances: str, out: str,
     write_libsvm(entries.withColumn("fid", F.col("fidx") + 1), docs, f"{out}/url_inst_fm")
     if num_feats > 0:
         top = reliable_checkpoint(top_features(chi_square(entries, docs), num_feats), "selected")
-        write_dictionary(top.select("fidx", "new_fidx"), f"{out}/feat_sel_id_map", ("fidx", "new_fidx"), "fidx")
+        write_dictionary(top.select("fidx", "new_fidx"), f"{out}/feat_sel_id_map", ("fidx", "new_fidx"), "fidx",
+                         single_file=True)
         entries = reindex(entries, top)
         write_table(entries, f"{out}/url_inst_sel")
         n_feat = top.count()

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def libsvm_lines(entries: DataFrame, docs: DataFrame, value_format: str = "%d", fid: str = "fid") -> DataFrame:
-    """K2: ``(doc_id, line)``, ``line = "label fid:val fid:val ..."`` with ascending
-    ids; a document without entries keeps ``"label "``.
+    """K2 (+O2): ``(doc_id, line)``, ``line = "label fid:val fid:val ..."`` with
+    ascending ids (``sort_array`` inside the row); a document without entries keeps
+    ``"label "``.
 
     ``value_format`` is ``%d`` for counts, ``%f`` for weights (6 decimals). One
     shuffle on ``doc_id`` gathers a document's entries.
@@ -32,13 +33,18 @@ def write_libsvm(entries: DataFrame, docs: DataFrame, path: str, value_format: s
     write_lines(libsvm_lines(entries, docs, value_format), path)
 
 
-def write_dictionary(df: DataFrame, path: str, cols: tuple[str, str], order: str) -> None:
-    """K3: a small two-column mapping as one tab-separated file sorted by ``order``.
+def write_dictionary(df: DataFrame, path: str, cols: tuple[str, str], order: str, single_file: bool = False) -> None:
+    """K3 (+O3): a two-column mapping as tab-separated text sorted by ``order``.
 
-    Only for bounded artefacts (vocabularies, selection maps): ``coalesce(1)`` puts the
-    whole file in one task.
+    The global sort range-partitions the rows, so the part files hold consecutive id
+    ranges in name order and no task sees the whole mapping. ``single_file=True``
+    gives the reference's one file; use it only for mappings of bounded size (a
+    selection map of k rows), as one task then writes everything.
     """
-    df.select(*cols).orderBy(order).coalesce(1).write.mode("overwrite").option("sep", "\t").csv(path)
+    out = df.select(*cols).orderBy(order)
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("sep", "\t").csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -31,8 +31,7 @@ def test_labelling_then_formatting(spark):
     lines = sorted(r[0] for r in read_lines(spark, f"{out}/binary").collect())
     assert lines == ["1 1:1 2:1", "2 3:1"]
     jobs.run_idf(spark, f"{out}/binary", f"{out}/idf")
-    idf_file = [f for f in os.listdir(f"{out}/idf") if f.startswith("part-")][0]
-    jobs.run_tfidf_format(spark, f"{out}/sample", dictionary, f"{out}/idf/{idf_file}", f"{out}/tfidf")
+    jobs.run_tfidf_format(spark, f"{out}/sample", dictionary, f"{out}/idf", f"{out}/tfidf")
     assert read_lines(spark, f"{out}/tfidf").count() == 2
 
 

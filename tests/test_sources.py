@@ -74,9 +74,14 @@ def test_rule_files_order(spark):
 def test_dictionary_sink(spark):
     df = spark.createDataFrame([("b", 2), ("a", 1)], "feature string, fid long")
     out = tempfile.mkdtemp(prefix="loomtext-dict-")
-    write_dictionary(df, out, ("feature", "fid"), "fid")
+    write_dictionary(df, out, ("feature", "fid"), "fid", single_file=True)
     files = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(files) == 1
     assert rows(read_feature_dictionary(spark, os.path.join(out, files[0]))) == [("a", 1), ("b", 2)]
+    big = spark.range(1, 2001).selectExpr("concat('f', id) AS feature", "id AS fid").repartition(7)
+    write_dictionary(big, out + "-big", ("feature", "fid"), "fid")
+    parts = sorted(f for f in os.listdir(out + "-big") if f.startswith("part-"))
+    ids = [int(line.split("\t")[1]) for f in parts for line in open(os.path.join(out + "-big", f))]
+    assert ids == list(range(1, 2001))
     write_lines(df.select(F.concat_ws("=", "feature", "fid").alias("line")), out + "-lines")
     assert sorted(r[0] for r in read_lines(spark, out + "-lines").collect()) == ["a=1", "b=2"]
