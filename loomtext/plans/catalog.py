@@ -231,8 +231,10 @@ def q_count_vectors(spark, sf):
 
 
 def _binary_idf(spark, sf):
+    """Binary vectors stored once: document frequencies and the document total both
+    read the stored table (the reference wrote this libsvm file and read it back)."""
     docs, _, voc = _corpus(spark, sf)
-    bv = binary_vectors(docs, voc)
+    bv = reliable_checkpoint(binary_vectors(docs, voc), "binary-entries")
     return docs, voc, idf(bv, bv.select("doc_id").distinct())
 
 
