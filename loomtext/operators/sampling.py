@@ -37,13 +37,19 @@ def train_test_split(df: DataFrame, key: str, test_fraction: float = 0.3,
             tagged.where(F.col("_split") == "test").drop("_split"))
 
 
-def one_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per ``key`` (null keys form one group), the row with the smallest
-    ``order`` value.
+def one_per_key(df: DataFrame, key: str, order: str, keep_null_keys: bool = False) -> DataFrame:
+    """One row per ``key``, the row with the smallest ``order`` value. Rows without
+    a key form one group, as in the reference; ``keep_null_keys=True`` passes each of
+    them through instead.
 
     ``min`` over a struct led by ``order`` is computed partially before the shuffle,
     so a key shared by a third of all rows is folded per partition first.
     """
     others = [c for c in df.columns if c not in (key, order)]
-    best = df.groupBy(key).agg(F.min(F.struct(order, *others)).alias("_best"))
-    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in [order, *others]])
+    cols = [key, order, *others]
+    grouped = df.where(F.col(key).isNotNull()) if keep_null_keys else df
+    best = grouped.groupBy(key).agg(F.min(F.struct(order, *others)).alias("_best"))
+    out = best.select(key, *[F.col(f"_best.{c}").alias(c) for c in [order, *others]])
+    if keep_null_keys:
+        out = out.unionByName(df.where(F.col(key).isNull()).select(*cols))
+    return out

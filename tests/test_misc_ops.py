@@ -37,6 +37,9 @@ def test_one_per_key_golden(spark):
     df = spark.createDataFrame([(4, "t", "x"), (2, "t", "y"), (3, None, "z"), (1, None, "w")],
                                "rec_id long, title string, url string")
     assert rows(one_per_key(df, "title", "rec_id"), "title", "rec_id", "url") == [("t", 2, "y"), (None, 1, "w")]
+    kept = rows(one_per_key(df, "title", "rec_id", keep_null_keys=True), "title", "rec_id", "url")
+    assert kept == [("t", 2, "y"), (None, 1, "w"), (None, 3, "z")]
+    assert rows(one_per_key(df.repartition(5), "title", "rec_id")) == rows(one_per_key(df.coalesce(1), "title", "rec_id"))
 
 
 def test_sampling_is_layout_invariant(spark):
