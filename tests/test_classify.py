@@ -59,3 +59,15 @@ def test_layout_invariance(spark):
     a = {tuple(r) for r in classify(recs.repartition(1), rules, key="rec_id").collect()}
     b = {tuple(r) for r in classify(recs.repartition(17), rules, key="rec_id").collect()}
     assert a == b
+
+
+def test_shuffled_rule_join_equals_naive(spark):
+    # broadcast_limit=0 forces the shuffle join on k-grams used for very large rule tables
+    pages = table(spark, SF_ORACLE, "pages")
+    rules = corpus.page_rules(spark, pages)
+    recs = pages.select(F.col("page_id").alias("rec_id"), "url")
+    out = classify(recs, rules, key="rec_id", broadcast_limit=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan
+    fast = {tuple(r) for r in out.select("rec_id", "category").collect()}
+    assert fast == {tuple(r) for r in naive(recs, rules).collect()}
