@@ -84,13 +84,24 @@ def kgrams(text: Column, k: int) -> Column:
 
 
 def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
-             field_prefix: str = "url=", broadcast_limit: int = BROADCAST_RULES_LIMIT) -> DataFrame:
+             field_prefix: str = "url=", broadcast_limit: int = BROADCAST_RULES_LIMIT,
+             distinct_urls: bool = False) -> DataFrame:
     """J1 + F1: every column of ``records`` plus ``pattern``, ``tag``, ``category`` of
     the best hit; records with no hit (or no URL) are dropped.
 
     ``key`` must be unique per record. The URL is matched as the record field text,
     i.e. with ``field_prefix`` in front, as the raw log line presents it.
+
+    ``distinct_urls=True`` labels each distinct URL once and joins the labels back on
+    the URL: worth it when URLs repeat a lot (browse logs). The distinct is a partial
+    aggregate (a hot URL collapses per partition); the join back is an equi-join on
+    the URL whose hot keys AQE splits.
     """
+    if distinct_urls:
+        urls = records.select(url).where(F.col(url).isNotNull()).distinct()
+        labels = classify(urls, rules, key=url, url=url, field_prefix=field_prefix,
+                          broadcast_limit=broadcast_limit)
+        return records.join(labels, url)
     n_rules, k = rule_stats(rules)
     rk = ranked_rules(rules)
     by_gram = rk.select(F.substring("pattern", 1, k).alias("_gram"), F.col("pattern").alias("_pat"),

@@ -45,14 +45,15 @@ def browse_records(lines: DataFrame) -> DataFrame:
 
 
 def run_labelling(spark: SparkSession, logs: str, rules: DataFrame, labelled_out: str, sample_out: str,
-                  first: float = 0.1, second: float = 0.1) -> None:
+                  first: float = 0.1, second: float = 0.1, distinct_urls: bool = True) -> None:
     """Sample the logs, label by URL rules, keep a second sample, one record per title.
 
-    The labelled table is written once and the second stage reads it back, so labelling
-    runs once (the title dedupe is the only shuffle on document-sized data).
+    Browse logs repeat URLs, so by default each distinct URL is labelled once. The
+    labelled table is written once and the second stage reads it back, so labelling
+    runs once.
     """
     recs = hash_sample(browse_records(read_lines(spark, logs)), "rec_id", first, FIRST_SALT)
-    labelled = classify(recs, rules, key="rec_id", url="url")
+    labelled = classify(recs, rules, key="rec_id", url="url", distinct_urls=distinct_urls)
     labelled = labelled.withColumn("labelled", F.concat(F.lit("category="), F.col("tag"), F.lit("`"), F.col("line")))
     write_table(labelled, labelled_out)
     stored = spark.read.parquet(labelled_out)

@@ -71,3 +71,13 @@ def test_shuffled_rule_join_equals_naive(spark):
     assert "BroadcastNestedLoopJoin" not in plan
     fast = {tuple(r) for r in out.select("rec_id", "category").collect()}
     assert fast == {tuple(r) for r in naive(recs, rules).collect()}
+
+
+def test_distinct_urls_option(spark):
+    recs = spark.createDataFrame([(i, u) for i, u, _ in URLS] + [(100 + i, u) for i, u, _ in URLS],
+                                 "rec_id long, url string")
+    rules = rules_frame(spark, RULES)
+    a = {tuple(r) for r in classify(recs, rules, key="rec_id").select("rec_id", "category").collect()}
+    b = {tuple(r) for r in classify(recs, rules, key="rec_id", distinct_urls=True)
+         .select("rec_id", "category").collect()}
+    assert a == b and len(a) == 14
