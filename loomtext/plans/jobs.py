@@ -74,14 +74,14 @@ def labelled_token_docs(lines: DataFrame) -> DataFrame:
     return docs.where(F.col("label").isNotNull() & (F.size("tokens") > 0))
 
 
-def run_binary_format(spark: SparkSession, labelled: str, dictionary: str, out: str) -> None:
+def run_binary_libsvm(spark: SparkSession, labelled: str, dictionary: str, out: str) -> None:
     """Labelled samples -> binary libsvm with the feature dictionary (M1)."""
     docs = labelled_token_docs(read_lines(spark, labelled))
     entries = binary_vectors(docs, read_feature_dictionary(spark, dictionary))
     write_libsvm(entries, entries.select("doc_id", "label").distinct(), out, "%d")
 
 
-def run_tfidf_format(spark: SparkSession, labelled: str, dictionary: str, idf_model: str, out: str) -> None:
+def run_tfidf_libsvm(spark: SparkSession, labelled: str, dictionary: str, idf_model: str, out: str) -> None:
     """Labelled samples -> TF-IDF libsvm (M2), values with 6 decimals."""
     docs = labelled_token_docs(read_lines(spark, labelled))
     entries = tfidf_vectors(docs, read_feature_dictionary(spark, dictionary), read_idf_model(spark, idf_model))

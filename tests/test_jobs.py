@@ -27,11 +27,11 @@ def test_labelling_then_formatting(spark):
     assert len(sample) == 2 and all(s.startswith("category=000") for s in sample)
 
     dictionary = _file("red_1\t1\ncar_1\t2\nsky_2\t3\n")
-    jobs.run_binary_format(spark, f"{out}/sample", dictionary, f"{out}/binary")
+    jobs.run_binary_libsvm(spark, f"{out}/sample", dictionary, f"{out}/binary")
     lines = sorted(r[0] for r in read_lines(spark, f"{out}/binary").collect())
     assert lines == ["1 1:1 2:1", "2 3:1"]
     jobs.run_idf(spark, f"{out}/binary", f"{out}/idf")
-    jobs.run_tfidf_format(spark, f"{out}/sample", dictionary, f"{out}/idf", f"{out}/tfidf")
+    jobs.run_tfidf_libsvm(spark, f"{out}/sample", dictionary, f"{out}/idf", f"{out}/tfidf")
     assert read_lines(spark, f"{out}/tfidf").count() == 2
 
 
