@@ -43,7 +43,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session without a shared folder is an error, because executor-local folders do not
     survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no context: use the configured folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

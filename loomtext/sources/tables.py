@@ -21,7 +21,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     CPU-heavy per-row work that follows (tokenising, HTML regexes) uses every core.
     A large input already has enough splits and is returned unchanged (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no JVM context at hand (e.g. a remote session): leave the plan alone
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, key)
