@@ -80,17 +80,25 @@ def _corpus(spark, sf):
     return docs, inst, vocabulary(features)
 
 
-def _count_entries(spark, sf):
-    docs, inst, voc = _corpus(spark, sf)
-    return docs, count_vectors(inst, voc, one_row_per_feature=True)
+def _count_entries(spark, sf, store=False):
+    """Count vectors. ``store=True`` (for the training chain, which reads them several
+    times) stores the counted instances once and builds both the vocabulary and the
+    vectors from them, so the text is tokenised in one pass; a single use keeps them
+    lazy."""
+    if not store:
+        docs, inst, voc = _corpus(spark, sf)
+        return docs, count_vectors(inst, voc, one_row_per_feature=True)
+    docs = _docs(spark, sf)
+    inst = reliable_checkpoint(counted_instances(docs), "instances")
+    return docs, count_vectors(inst, vocabulary(inst), one_row_per_feature=True)
 
 
 def _selected(spark, sf):
-    """Count vectors as a stage table (chi-square, the reindex and both splits read
-    it, as the reference wrote libsvm and read it back), and the top-k features."""
-    docs, cv = _count_entries(spark, sf)
-    entries = reliable_checkpoint(cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value"),
-                                  "count-entries")
+    """Count vectors (over the stored instances: chi-square, the reindex and both
+    splits read them, as the reference wrote libsvm and read it back) and the top-k
+    features."""
+    docs, cv = _count_entries(spark, sf, store=True)
+    entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
     alld = docs.select("doc_id", "label")
     top = reliable_checkpoint(top_features(chi_square(entries, alld), TOP_K))
     return alld, entries, top
@@ -253,7 +261,7 @@ def q_tfidf_vectors(spark, sf):
 
 
 def q_chi_square(spark, sf):
-    docs, cv = _count_entries(spark, sf)
+    docs, cv = _count_entries(spark, sf, store=True)
     entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
     return chi_square(entries, docs.select("doc_id", "label")).select("fidx", _r("chi2", CHI_DIGITS))
 
