@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import java_trim
+from loomtext.operators.sizing import fits
 from loomtext.functions.arrays import explode_rows
 
 RULE_SEP = "``"
@@ -107,13 +108,22 @@ def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
     by_gram = rk.select(F.substring("pattern", 1, k).alias("_gram"), F.col("pattern").alias("_pat"),
                         F.col("rank_key").alias("_rk"))
     best_rule = rk.select(F.col("rank_key").alias("_rk"), "pattern", "tag", "category")
-    if n_rules <= broadcast_limit:
+    small = n_rules <= broadcast_limit
+    if small:
         by_gram, best_rule = F.broadcast(by_gram), F.broadcast(best_rule)
 
     cols = records.columns
     hay = F.concat(F.lit(field_prefix), F.col(url))
     with_hay = records.where(F.col(url).isNotNull()).select(*cols, hay.alias("_hay"))
     grams = explode_rows(with_hay, kgrams(F.col("_hay"), k), "_gram", keep=(*cols, "_hay"))
+    if not small:
+        # Shuffled join: most URL grams ("url=h", "http", ...) start no rule and would
+        # pile onto a few join keys. When the distinct rule grams fit the broadcast
+        # bound (rules often share a first gram), drop those URL grams before the
+        # shuffle; a shuffled pre-filter would meet the same hot keys, so none then.
+        starts = by_gram.select("_gram").distinct()
+        if fits(starts, broadcast_limit):
+            grams = grams.join(F.broadcast(starts), "_gram", "left_semi")
     hits = grams.join(by_gram, "_gram").where(F.instr(F.col("_hay"), F.col("_pat")) > 0)
     best = hits.groupBy(*cols).agg(F.min("_rk").alias("_rk"))
     return best.join(best_rule, "_rk").drop("_rk")

@@ -81,3 +81,17 @@ def test_distinct_urls_option(spark):
     b = {tuple(r) for r in classify(recs, rules, key="rec_id", distinct_urls=True)
          .select("rec_id", "category").collect()}
     assert a == b and len(a) == 14
+
+
+def test_shuffled_rule_join_prefilters_grams(spark):
+    # rules too many to broadcast, distinct first grams few enough: URL grams are
+    # semi-joined against the broadcast gram set before the shuffled join
+    pages = table(spark, SF_ORACLE, "pages")
+    rules = corpus.page_rules(spark, pages)
+    n = rules.count()
+    recs = pages.select(F.col("page_id").alias("rec_id"), "url")
+    out = classify(recs, rules, key="rec_id", broadcast_limit=n - 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    fast = {tuple(r) for r in out.select("rec_id", "category").collect()}
+    assert fast == {tuple(r) for r in naive(recs, rules).collect()}
