@@ -58,8 +58,11 @@ def to_vectors(entries: DataFrame, docs: DataFrame, num_features: int) -> DataFr
         F.map_from_entries(F.collect_list(F.struct(F.col("fidx").cast("long"), F.col("value").cast("double"))))
         .alias("_m"))
     full = docs.select("doc_id", "label").join(grouped, "doc_id", "left")
-    dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(num_features - 1).cast("long")),
-                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
+    if num_features > 0:
+        dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(num_features - 1).cast("long")),
+                            lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
+    else:  # sequence(0, -1) would count down; an empty feature space has empty vectors
+        dense = F.array().cast("array<double>")
     return full.select("doc_id", F.col("label").cast("double").alias("label"),
                        F.coalesce(F.size("_m"), F.lit(0)).alias("n_entries"),
                        array_to_vector(dense).alias("features"))
