@@ -52,10 +52,14 @@ def text_lines(c) -> Column:
     ``\\n``, ``\\r`` and ``\\r\\n`` end a line; a final terminator does not open an
     extra empty line; an empty blob has no lines.
     """
-    c = col_of(c)
-    parts = F.split(c, LINE_BREAK)
-    return (F.when(c == F.lit(""), F.array().cast("array<string>"))
-            .when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, F.lit(1), F.size(parts) - 1))
+    return lines_of_parts(F.split(col_of(c), LINE_BREAK))
+
+
+def lines_of_parts(parts) -> Column:
+    """:func:`text_lines` from the already split pieces: ``[""]`` (an empty blob) gives
+    no line, and a final empty piece (a trailing terminator) is dropped."""
+    parts = col_of(parts)
+    return (F.when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, F.lit(1), F.size(parts) - 1))
             .otherwise(parts))
 
 

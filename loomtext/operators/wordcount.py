@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.functions.text import text_lines, whitespace_words
+from loomtext.functions.text import LINE_BREAK, lines_of_parts, whitespace_words
 from loomtext.functions.arrays import explode_rows
 
 
@@ -20,5 +20,9 @@ def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def blob_lines(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per line of a text column (a text-file scan of each blob)."""
-    return explode_rows(df, text_lines(F.col(text)), "value", keep)
+    """One row per line of a text column (a text-file scan of each blob).
+
+    The split pieces are a column of their own, so the blob is split once, not once
+    per reference in the empty / trailing-terminator cases."""
+    parts = df.select(*keep, F.split(F.col(text), LINE_BREAK).alias("_parts"))
+    return explode_rows(parts, lines_of_parts(F.col("_parts")), "value", keep)
