@@ -64,3 +64,17 @@ def test_dense_ids_layout_invariant(spark, limit):
 def test_counted_instances(spark):
     docs = spark.createDataFrame([(1, 0, ["x", "y", "x"])], "doc_id long, label int, tokens array<string>")
     assert rows(counted_instances(docs)) == [(1, 0, "x", 2, 3), (1, 0, "y", 1, 3)]
+
+
+def test_instance_paths_equal_token_paths(spark):
+    from loomtext.operators.vectors import binary_from_instances, tfidf_from_instances
+    docs = spark.createDataFrame([(1, 0, ["a", "b", "a", "z"]), (2, 1, ["b", "c"])],
+                                 "doc_id long, label int, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "feature string, fid long")
+    w = spark.createDataFrame([(0, 1, 0.5), (1, 2, 0.25), (2, 1, 1.5)], "fidx long, df long, idf double")
+    inst = counted_instances(docs)
+    assert rows(binary_from_instances(inst, vocab)) == rows(binary_vectors(docs, vocab))
+    a = {(r[0], r[2]): r[3] for r in tfidf_from_instances(inst, vocab, w).collect()}
+    b = {(r[0], r[2]): r[3] for r in tfidf_vectors(docs, vocab, w).collect()}
+    assert a.keys() == b.keys() and all(math.isclose(a[k], b[k]) for k in a)
+    assert math.isclose(a[(1, 1)], 0.5 / 4)
