@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions.text import java_trim
 from loomtext.operators.sizing import fits
+from loomtext.session import reliable_checkpoint
 from loomtext.functions.arrays import explode_rows
 
 RULE_SEP = "``"
@@ -86,13 +87,18 @@ def kgrams(text: Column, k: int) -> Column:
 
 def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
              field_prefix: str = "url=", broadcast_limit: int = BROADCAST_RULES_LIMIT,
-             distinct_urls: bool = False) -> DataFrame:
+             distinct_urls: bool = False, store_rules: bool = False) -> DataFrame:
     """J1 + F1: every column of ``records`` plus ``pattern``, ``tag``, ``category`` of
     the best hit; records with no hit (or no URL) are dropped.
 
     ``key`` must be unique per record. The URL is matched as the record field text,
     i.e. with ``field_prefix`` in front, as the raw log line presents it.
 
+    The rule table is read three times (statistics, gram side, best-rule side).
+    ``store_rules=True`` writes it once to the shared checkpoint folder first: worth it
+    when the rule table is itself costly to compute; a rule list read from a small file
+    is cheaper to read again than to store (measured).
+
     ``distinct_urls=True`` labels each distinct URL once and joins the labels back on
     the URL: worth it when URLs repeat a lot (browse logs). The distinct is a partial
     aggregate (a hot URL collapses per partition); the join back is an equi-join on
@@ -101,8 +107,11 @@ def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
     if distinct_urls:
         urls = records.select(url).where(F.col(url).isNotNull()).distinct()
         labels = classify(urls, rules, key=url, url=url, field_prefix=field_prefix,
-                          broadcast_limit=broadcast_limit)
+                          broadcast_limit=broadcast_limit, store_rules=store_rules)
         return records.join(labels, url)
+    if store_rules:
+        # Read three times below (statistics, gram side, best-rule side): store once.
+        rules = reliable_checkpoint(rules.select("ord", "pattern", "tag"), "rules")
     n_rules, k = rule_stats(rules)
     rk = ranked_rules(rules)
     by_gram = rk.select(F.substring("pattern", 1, k).alias("_gram"), F.col("pattern").alias("_pat"),

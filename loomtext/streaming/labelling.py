@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomtext.functions.records import last_field
 from loomtext.operators.classify import classify
+from loomtext.session import reliable_checkpoint
 
 
 def browse_records(lines: DataFrame) -> DataFrame:
@@ -25,9 +26,10 @@ def browse_records(lines: DataFrame) -> DataFrame:
 
 
 def label_batch(batch: DataFrame, rules: DataFrame, batch_id: int) -> DataFrame:
-    """One micro-batch: ids unique across batches (batch id in the high bits)."""
+    """One micro-batch: ids unique across batches (batch id in the high bits). The
+    rule table is stored once per stream, not per batch."""
     with_id = batch.withColumn("rec_id", F.lit(batch_id).cast("long") * (1 << 40) + F.monotonically_increasing_id())
-    return classify(browse_records(with_id), rules, key="rec_id", url="url")
+    return classify(browse_records(with_id), rules, key="rec_id", url="url", store_rules=False)
 
 
 def start_labelling(spark: SparkSession, source_dir: str, rules: DataFrame, out_dir: str, checkpoint: str,
@@ -37,6 +39,7 @@ def start_labelling(spark: SparkSession, source_dir: str, rules: DataFrame, out_
     ``checkpoint`` must be a shared folder (it holds the source offsets and commit log).
     """
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)
+    rules = reliable_checkpoint(rules.select("ord", "pattern", "tag"), "stream-rules")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         labelled = label_batch(batch, rules, batch_id).withColumn("batch", F.lit(batch_id))
