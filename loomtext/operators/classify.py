@@ -87,7 +87,7 @@ def kgrams(text: Column, k: int) -> Column:
 
 def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
              field_prefix: str = "url=", broadcast_limit: int = BROADCAST_RULES_LIMIT,
-             distinct_urls: bool = False, store_rules: bool = False) -> DataFrame:
+             distinct_urls: bool = False, store_rules: bool = False, gram_salts: int = 8) -> DataFrame:
     """J1 + F1: every column of ``records`` plus ``pattern``, ``tag``, ``category`` of
     the best hit; records with no hit (or no URL) are dropped.
 
@@ -107,7 +107,7 @@ def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
     if distinct_urls:
         urls = records.select(url).where(F.col(url).isNotNull()).distinct()
         labels = classify(urls, rules, key=url, url=url, field_prefix=field_prefix,
-                          broadcast_limit=broadcast_limit, store_rules=store_rules)
+                          broadcast_limit=broadcast_limit, store_rules=store_rules, gram_salts=gram_salts)
         return records.join(labels, url)
     if store_rules:
         # Read three times below (statistics, gram side, best-rule side): store once.
@@ -133,7 +133,14 @@ def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
         starts = by_gram.select("_gram").distinct()
         if fits(starts, broadcast_limit):
             grams = grams.join(F.broadcast(starts), "_gram", "left_semi")
-    hits = grams.join(by_gram, "_gram").where(F.instr(F.col("_hay"), F.col("_pat")) > 0)
+        # Grams that do start rules can still be hot: salt the record side by its key
+        # and copy each rule once per salt, so one gram's rows spread over
+        # ``gram_salts`` join partitions (every pair still meets exactly once).
+        grams = grams.withColumn("_salt", F.pmod(F.hash(F.col(key)), F.lit(gram_salts)))
+        by_gram = by_gram.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(gram_salts - 1))))
+        hits = grams.join(by_gram, ["_gram", "_salt"]).where(F.instr(F.col("_hay"), F.col("_pat")) > 0)
+    else:
+        hits = grams.join(by_gram, "_gram").where(F.instr(F.col("_hay"), F.col("_pat")) > 0)
     best = hits.groupBy(*cols).agg(F.min("_rk").alias("_rk"))
     return best.join(best_rule, "_rk").drop("_rk")
 
