@@ -115,7 +115,7 @@ def draw_slots(plan: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                 block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """One row per input row: id, size, source_size, target, taken, first_shard
-    (the first output shard that holds words of the row), source.
+    (the first output shard that holds words of the row, or -1), source.
 
     Null and empty texts have size 0 and are never taken; a null source is a source of
     its own (the last); rows that repeat an id are documents of their own; ties in the
@@ -142,7 +142,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     keys = ["id", "rank", "source", "start", "size", "source_size", "target"]
     out = met.withColumn("got", got).groupBy(*keys).agg(
         F.coalesce(F.sum("got"), F.lit(0)).alias("taken"),
-        F.min(F.when(F.col("got") > 0, F.col("shard"))).alias("first_shard"),
+        F.coalesce(F.min(F.when(F.col("got") > 0, F.col("shard"))), F.lit(-1)).alias("first_shard"),
         F.sum(F.when(F.col("size") == 0, 1).otherwise(0)).alias("rows"))
     out = out.withColumn("_", F.explode(F.expr("sequence(1, greatest(rows, 1))")))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "first_shard", "source")

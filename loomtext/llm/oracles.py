@@ -88,7 +88,7 @@ def _mix() -> str:
             as taken, min(case when least(start + size, f2.block * {n} + words) > greatest(start, f2.block * {n}) then shard end)
             as first_shard
         from f2 join e3 on f2.rank = e3.rank and f2.block = e3.block group by doc_id)
-    select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken, first_shard::bigint as first_shard, source
+    select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken, coalesce(first_shard, -1)::bigint as first_shard, source
     from f left join k using (doc_id)"""
 
 

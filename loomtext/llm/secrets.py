@@ -28,13 +28,15 @@ def _matches(text: Column, kind: int, pattern: str) -> Column:
     """Array of (kind, gap, head, value) for the leftmost non-overlapping matches: gap
     is the length of the text between the previous match and this one, head that of the
     match before its value. Matched only where a find says that there is one."""
-    whole = F.lit(f"(?s)(.*?)({pattern})")  # groups: 1 gap, 2 match, 3 and 4 the pattern's own
+    # groups: 1 gap, 2 match, 3 and 4 the pattern's own; the tail is one (dropped) match of
+    # its own, else the search would start again at each of its characters
+    whole = F.lit(rf"(?s)(.*?)(?:({pattern})|\z)")
     at = [F.regexp_extract_all(text, whole, F.lit(g)) for g in (1, 2, 4)]
     entry = F.transform(F.arrays_zip(*[a.alias(n) for a, n in zip(at, ("g", "m", "v"), strict=True)]), lambda x: F.struct(
         F.lit(kind).alias("kind"), F.length(x["g"]).cast("long").alias("gap"),
         F.length(x["m"]).cast("long").alias("size"), x["v"].alias("value")))
     none = F.array().cast("array<struct<kind:int,gap:bigint,size:bigint,value:string>>")
-    return F.when(text.rlike(pattern), entry).otherwise(none)
+    return F.when(text.rlike(pattern), F.filter(entry, lambda x: x["size"] > 0)).otherwise(none)
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
