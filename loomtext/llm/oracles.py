@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomtext.llm import mixing, secrets
+from loomtext.llm import chat, mixing, search, secrets
 from loomtext.llm.common import WORD
 
 
@@ -92,7 +92,41 @@ def _mix() -> str:
     from f left join k using (doc_id)"""
 
 
+def _chat() -> str:
+    def esc(x: str) -> str:
+        return f"regexp_replace({x}, '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+
+    end = f"'{chat.END}' || chr(10)"
+    return f"""
+    with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    r as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as nth from t),
+    l as (select *, lag(role) over (partition by conv_id order by nth) as before from r),
+    p as (select *, case when before = role then '{chat.MORE}' else case when nth > 1 then {end} else '' end
+        || '{chat.TURN}' || replace({esc('role')}, chr(10), '{chat.LINE}') || chr(10) end || {esc('text')} as piece from l)
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by nth)) as turns_sha256,
+        coalesce(sum(length(text)) filter (role = '{chat.LOSS_ROLE}'), 0)::bigint as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by nth) filter (role = '{chat.LOSS_ROLE}'), '')) as loss_sha256,
+        (sum(length(piece)) + {len(chat.END) + 1})::bigint as formatted_chars,
+        coalesce(sum(length({esc('text')})) filter (role = '{chat.LOSS_ROLE}'), 0)::bigint as masked_chars
+    from p group by conv_id"""
+
+
+def _search() -> str:
+    return f"""
+    with v as (select distinct vec_id, list_transform(embedding, lambda x : floor({search.SCALE} * x::double)::bigint) as e
+        from embeddings where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0),
+    s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.e::double[], c.e::double[])::bigint as score
+        from v q join v c on q.vec_id % {search.QUERY_MOD} = 0 and q.vec_id <> c.vec_id),
+    r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+    select query_id, rank::int as rank, vec_id, score from r where rank <= {search.K}"""
+
+
 ORACLE: dict[str, str] = {
+    "op5_chat_format": _chat(),
+    "op9_topk_search": _search(),
     "op2_secret_scan": _secrets(),
     "op10_mix_sources": _mix(),
 }

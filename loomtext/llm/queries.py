@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomtext.llm import mixing, oracles, packing, quality, secrets, simhash
+from loomtext.llm import chat, embeddings, mixing, oracles, packing, quality, search, secrets, simhash, suffix, tokens
 from loomtext.llm.common import columns_of
 
 
@@ -28,6 +29,31 @@ def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(columns_of(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = columns_of(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    more = spark.range(2, numPartitions=1).select(
+        F.lit(-1).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    more = more.select(*[F.col(f.name).cast(f.dataType) for f in turns.schema.fields])
+    return chat.digest(chat.format_conversations(turns.union(more)))
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(columns_of(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(columns_of(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(columns_of(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
+
+
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(columns_of(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(columns_of(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
@@ -37,6 +63,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_length_buckets": op4_length_buckets,
+    "op5_chat_format": op5_chat_format,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_topk_search": op9_topk_search,
     "op10_mix_sources": op10_mix_sources,
 }
 
