@@ -134,7 +134,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     first, last = F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")
     pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
     slots = draw_slots(plan, seed, block_words).select(F.col("rank").alias("_r"), F.col("block").alias("_b"), "words", "shard")
-    met = pieces.join(slots, (F.col("rank") == F.col("_r")) & (F.col("block") == F.col("_b")), "left")
+    # the planner takes rows made by explode for few; slots grow with the input, so no broadcast
+    met = pieces.join(slots.hint("merge"), (F.col("rank") == F.col("_r")) & (F.col("block") == F.col("_b")), "left")
     begin = F.col("block") * block_words
     got = F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), begin + F.coalesce("words", F.lit(0)))
                      - F.greatest(F.col("start"), begin))
