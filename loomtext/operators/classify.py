@@ -3,15 +3,17 @@
 A rule ``pattern``tag`` hits a record when the record's URL field text contains
 ``pattern``. Among hits the best rule has (1) the most ``.``-separated pieces in its
 whole literal ``pattern + "``" + tag``, then (2) the longest literal, then (3) the
-earliest ``ord``. The ranking depends on the rule alone, so every rule gets one packed
-integer ``rank_key`` (smaller is better) and the best hit is a plain ``min``.
+earliest ``ord``. The ranking depends on the rule alone, so every rule gets one
+``rank_key`` (smaller is better; pattern and tag break ties) and the best hit is a ``min``.
 
-Plan: the substring test is an equi-join on k-grams. Each record explodes the distinct
-k-grams of its URL text (k = shortest pattern), joins the rules on the pattern's first
+Plan: the substring test is an equi-join on k-grams. Each distinct URL explodes the
+k-grams of its text (k = shortest pattern), joins the rules on the pattern's first
 k characters (hash join, the rule table broadcast under a checked row bound) and keeps
 rows whose text really contains the pattern. A record containing a pattern contains its
-first k-gram, so no hit is lost. One partial + final aggregate per record then takes
-``min(rank_key)``; records with no hit disappear (F1). No nested-loop join is planned.
+first k-gram, so no hit is lost. One partial + final aggregate per URL then takes
+``min(rank_key)``, and the labels join the records on the URL; records with no hit
+disappear (F1). No record column but the URL enters the grams, and no nested-loop join
+is planned.
 """
 
 from __future__ import annotations
@@ -20,16 +22,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import java_trim
-from loomtext.operators.sizing import fits
+from loomtext.operators.sizing import BROADCAST_BYTES, fits
 from loomtext.session import reliable_checkpoint
 from loomtext.functions.arrays import explode_rows
 
 RULE_SEP = "``"
-# Rule tables up to this many rows are broadcast to every task; larger ones are joined
-# by shuffling on the k-gram (AQE splits a skewed gram partition).
-BROADCAST_RULES_LIMIT = 2_000_000
-
-_PIECES_BITS, _LEN_BITS, _ORD_BITS = 12, 20, 31
 
 
 def parse_rule_lines(lines: DataFrame, value: str = "value", ord_col: str = "ord") -> DataFrame:
@@ -51,28 +48,20 @@ def rule_pieces(literal: Column) -> Column:
 
 
 def ranked_rules(rules: DataFrame) -> DataFrame:
-    """Add ``pieces``, ``lit_len``, ``rank_key`` (smaller wins) and ``category``."""
+    """Add ``pieces``, ``lit_len``, ``rank_key`` (a struct, smaller wins) and ``category``."""
     literal = F.concat(F.col("pattern"), F.lit(RULE_SEP), F.col("tag"))
-    r = rules.select("ord", "pattern", "tag",
+    r = rules.select(F.col("ord").cast("long").alias("ord"), "pattern", "tag",
                      rule_pieces(literal).alias("pieces"), F.length(literal).alias("lit_len"))
-    pieces_max, len_max, ord_max = (1 << _PIECES_BITS) - 1, (1 << _LEN_BITS) - 1, (1 << _ORD_BITS) - 1
-    in_range = ((F.col("pieces") <= pieces_max) & (F.col("lit_len") <= len_max)
-                & (F.col("ord") >= 0) & (F.col("ord") <= ord_max) & (F.length("pattern") > 0))
-    key = (F.shiftleft((F.lit(pieces_max) - F.col("pieces")).cast("long"), _LEN_BITS + _ORD_BITS)
-           + F.shiftleft((F.lit(len_max) - F.col("lit_len")).cast("long"), _ORD_BITS)
-           + F.col("ord").cast("long"))
-    checked = F.when(in_range, key).otherwise(
-        F.raise_error(F.lit("rule needs a non-empty pattern, ord in [0, 2^31) and a literal under 2^20 chars")))
-    return r.withColumn("rank_key", checked.cast("long")).withColumn("category", java_trim("tag"))
-
-
-def rule_stats(rules: DataFrame) -> tuple[int, int]:
-    """(rule count, shortest pattern length) of a rule table: one small job."""
-    row = rules.agg(F.count(F.lit(1)).alias("n"), F.min(F.length("pattern")).alias("k")).first()
-    n, k = int(row["n"]), row["k"]
-    if n and (k is None or k < 1):
+    key = F.struct((-F.col("pieces")).alias("pieces"), (-F.col("lit_len")).alias("lit_len"), "ord", "pattern", "tag")
+    return r.withColumn("rank_key", key).withColumn("category", java_trim("tag"))
+
+
+def shortest_pattern(rules: DataFrame) -> int:
+    """The shortest pattern's length in a rule table (1 without rules): one small job."""
+    k, empty = rules.agg(F.min(F.length("pattern")), F.bool_or(F.length("pattern") < 1)).first()
+    if empty:
         raise ValueError("rule patterns must be non-empty")
-    return n, int(k or 1)
+    return int(k or 1)
 
 
 def kgrams(text: Column, k: int) -> Column:
@@ -85,64 +74,47 @@ def kgrams(text: Column, k: int) -> Column:
     return F.when(n >= 1, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
-def classify(records: DataFrame, rules: DataFrame, key: str, url: str = "url",
-             field_prefix: str = "url=", broadcast_limit: int = BROADCAST_RULES_LIMIT,
-             distinct_urls: bool = False, store_rules: bool = False, gram_salts: int = 8) -> DataFrame:
+def classify(records: DataFrame, rules: DataFrame, url: str = "url", field_prefix: str = "url=",
+             broadcast_bytes: int = BROADCAST_BYTES, store_rules: bool = False, gram_salts: int = 8) -> DataFrame:
     """J1 + F1: every column of ``records`` plus ``pattern``, ``tag``, ``category`` of
     the best hit; records with no hit (or no URL) are dropped.
 
-    ``key`` must be unique per record. The URL is matched as the record field text,
-    i.e. with ``field_prefix`` in front, as the raw log line presents it.
+    The URL is matched as the record field text, i.e. with ``field_prefix`` in front, as
+    the raw log line presents it. Each distinct URL is labelled once (the distinct is a
+    partial aggregate, so a hot URL collapses per partition); the join back is an
+    equi-join on the URL whose hot keys AQE splits.
 
-    The rule table is read three times (statistics, gram side, best-rule side).
-    ``store_rules=True`` writes it once to the shared checkpoint folder first: worth it
-    when the rule table is itself costly to compute; a rule list read from a small file
-    is cheaper to read again than to store (measured).
-
-    ``distinct_urls=True`` labels each distinct URL once and joins the labels back on
-    the URL: worth it when URLs repeat a lot (browse logs). The distinct is a partial
-    aggregate (a hot URL collapses per partition); the join back is an equi-join on
-    the URL whose hot keys AQE splits.
+    The rule table is read twice (statistics, gram side). ``store_rules=True`` writes it
+    once to the shared checkpoint folder first: worth it when the rule table is itself
+    costly to compute.
     """
-    if distinct_urls:
-        urls = records.select(url).where(F.col(url).isNotNull()).distinct()
-        labels = classify(urls, rules, key=url, url=url, field_prefix=field_prefix,
-                          broadcast_limit=broadcast_limit, store_rules=store_rules, gram_salts=gram_salts)
-        return records.join(labels, url)
     if store_rules:
-        # Read three times below (statistics, gram side, best-rule side): store once.
         rules = reliable_checkpoint(rules.select("ord", "pattern", "tag"), "rules")
-    n_rules, k = rule_stats(rules)
-    rk = ranked_rules(rules)
-    by_gram = rk.select(F.substring("pattern", 1, k).alias("_gram"), F.col("pattern").alias("_pat"),
-                        F.col("rank_key").alias("_rk"))
-    best_rule = rk.select(F.col("rank_key").alias("_rk"), "pattern", "tag", "category")
-    small = n_rules <= broadcast_limit
-    if small:
-        by_gram, best_rule = F.broadcast(by_gram), F.broadcast(best_rule)
-
-    cols = records.columns
-    hay = F.concat(F.lit(field_prefix), F.col(url))
-    with_hay = records.where(F.col(url).isNotNull()).select(*cols, hay.alias("_hay"))
-    grams = explode_rows(with_hay, kgrams(F.col("_hay"), k), "_gram", keep=(*cols, "_hay"))
-    if not small:
+    k = shortest_pattern(rules)
+    by_gram = ranked_rules(rules).select(F.substring("pattern", 1, k).alias("_gram"), F.col("pattern").alias("_pat"),
+                                         F.col("rank_key").alias("_rk"))
+    urls = records.select(F.col(url).alias("_url")).where(F.col("_url").isNotNull()).distinct()
+    with_hay = urls.select("_url", F.concat(F.lit(field_prefix), F.col("_url")).alias("_hay"))
+    grams = explode_rows(with_hay, kgrams(F.col("_hay"), k), "_gram", keep=("_url", "_hay"))
+    if fits(rules.select("pattern", "pattern", "tag", "tag"), broadcast_bytes):
+        hits = grams.join(F.broadcast(by_gram), "_gram")
+    else:
         # Shuffled join: most URL grams ("url=h", "http", ...) start no rule and would
         # pile onto a few join keys. When the distinct rule grams fit the broadcast
         # bound (rules often share a first gram), drop those URL grams before the
         # shuffle; a shuffled pre-filter would meet the same hot keys, so none then.
         starts = by_gram.select("_gram").distinct()
-        if fits(starts, broadcast_limit):
+        if fits(starts, broadcast_bytes):
             grams = grams.join(F.broadcast(starts), "_gram", "left_semi")
-        # Grams that do start rules can still be hot: salt the record side by its key
-        # and copy each rule once per salt, so one gram's rows spread over
-        # ``gram_salts`` join partitions (every pair still meets exactly once).
-        grams = grams.withColumn("_salt", F.pmod(F.hash(F.col(key)), F.lit(gram_salts)))
+        # Grams that do start rules can still be hot: salt the URL side and copy each
+        # rule once per salt, so one gram's rows spread over ``gram_salts`` join
+        # partitions (every pair still meets exactly once).
+        grams = grams.withColumn("_salt", F.pmod(F.hash("_url"), F.lit(gram_salts)))
         by_gram = by_gram.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(gram_salts - 1))))
-        hits = grams.join(by_gram, ["_gram", "_salt"]).where(F.instr(F.col("_hay"), F.col("_pat")) > 0)
-    else:
-        hits = grams.join(by_gram, "_gram").where(F.instr(F.col("_hay"), F.col("_pat")) > 0)
-    best = hits.groupBy(*cols).agg(F.min("_rk").alias("_rk"))
-    return best.join(best_rule, "_rk").drop("_rk")
+        hits = grams.join(by_gram, ["_gram", "_salt"])
+    best = hits.where(F.instr(F.col("_hay"), F.col("_pat")) > 0).groupBy("_url").agg(F.min("_rk").alias("_rk"))
+    best = best.select("_url", "_rk.pattern", "_rk.tag").withColumn("category", java_trim("tag"))
+    return records.join(best, F.col(url) == F.col("_url")).drop("_url")
 
 
 def rules_frame(spark: SparkSession, rows: list[tuple[int, str, str]]) -> DataFrame:

@@ -26,7 +26,6 @@ from loomtext.operators.sizing import broadcast_if_small
 
 DEFAULT_SMOOTHING = 0.1
 DEFAULT_TREES, DEFAULT_DEPTH, DEFAULT_BINS = 100, 4, 32
-CLASSES_BROADCAST_LIMIT = 100_000
 
 
 def nb_tables(entries: DataFrame, docs: DataFrame, num_features: int,
@@ -45,7 +44,7 @@ def nb_tables(entries: DataFrame, docs: DataFrame, num_features: int,
         "label", "n_docs",
         (F.ln(F.col("n_docs") + F.lit(s)) - F.ln(n_all + n_classes * F.lit(s))).alias("pi"),
         (F.lit(math.log(s)) - denom).alias("theta_unseen"))
-    den = broadcast_if_small(classes.select("label", denom.alias("_den")), CLASSES_BROADCAST_LIMIT)
+    den = broadcast_if_small(classes.select("label", denom.alias("_den")))
     theta = sums.join(den, "label").select(
         "label", "fidx", (F.ln(F.col("s_cf").cast("double") + F.lit(s)) - F.col("_den")).alias("theta"))
     return priors, theta

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.functions.hashing import hash_bucket, in_sample
+from loomtext.functions.hashing import in_sample
 
 FIRST_SALT, SECOND_SALT, SPLIT_SALT = "s1:", "s2:", "split:"
 
@@ -26,7 +26,7 @@ def two_stage_sample(df: DataFrame, key: str, first: float, second: float) -> Da
 
 def split_column(key: str, test_fraction: float = 0.3, salt: str = SPLIT_SALT):
     """R3 as a column: ``'test'`` for about ``test_fraction`` of keys, else ``'train'``."""
-    return F.when(hash_bucket(key, salt) < int(round(test_fraction * 1000)), F.lit("test")).otherwise(F.lit("train"))
+    return F.when(in_sample(key, test_fraction, salt), F.lit("test")).otherwise(F.lit("train"))
 
 
 def train_test_split(df: DataFrame, key: str, test_fraction: float = 0.3,

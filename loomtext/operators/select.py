@@ -24,7 +24,6 @@ DEFAULT_TOP_K = 100
 # Statistics are compared at this many decimals when ranking, so values equal up to
 # floating noise tie and fall back to the smaller feature index.
 RANK_DECIMALS = 6
-LABELS_BROADCAST_LIMIT = 100_000
 
 
 def chi_square(entries: DataFrame, docs: DataFrame) -> DataFrame:
@@ -34,7 +33,7 @@ def chi_square(entries: DataFrame, docs: DataFrame) -> DataFrame:
     every document, including those without entries.
     """
     n_total = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    n_l = broadcast_if_small(docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")), LABELS_BROADCAST_LIMIT)
+    n_l = broadcast_if_small(docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")))
     obs = (entries.where(F.col("value") != 0)
            .groupBy("fidx", "value", "label").agg(F.count(F.lit(1)).alias("o")))
     obs = obs.join(n_l, "label")

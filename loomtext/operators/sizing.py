@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+BROADCAST_BYTES = 64 << 20  # of the rows as they are held by each executor
+_ROW_BYTES, _VALUE_BYTES = 32, 8
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted by one job),
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its rows take at most ``max_bytes`` (summed by one job),
     else ``df`` unchanged so the planner shuffles both sides."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one counting job)."""
-    return df.count() <= max_rows
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when the rows of ``df`` (strings and numbers) take at most ``max_bytes``:
+    long strings count by their bytes, so few rows can be too large (one job)."""
+    fixed = _ROW_BYTES + _VALUE_BYTES * len(df.columns)
+    named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    size = F.lit(fixed)
+    for f in named.schema.fields:
+        if isinstance(f.dataType, StringType):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
+    return int(named.agg(F.sum(size.cast("long"))).first()[0] or 0) <= max_bytes

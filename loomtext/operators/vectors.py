@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.operators.sizing import broadcast_if_small, fits
+from loomtext.operators.sizing import BROADCAST_BYTES, broadcast_if_small, fits
 from loomtext.functions.arrays import explode_rows
 
 # Vocabularies up to this many rows are broadcast; bigger ones are shuffle-joined.
-BROADCAST_VOCAB_LIMIT = 5_000_000
 
 
 def with_term_counts(df: DataFrame, tokens: str, out: str = "term_counts") -> DataFrame:
@@ -53,7 +52,7 @@ def distinct_tokens(docs: DataFrame, tokens: str = "tokens", keep=("doc_id", "la
 
 
 def binary_vectors(docs: DataFrame, vocab: DataFrame, tokens: str = "tokens",
-                   limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+                   limit: int = BROADCAST_BYTES) -> DataFrame:
     """M1 (+A13, J3, F4): ``(doc_id, label, fid, value=1)`` per distinct in-vocabulary
     token; a document with none has no rows."""
     dt = distinct_tokens(docs, tokens)
@@ -61,7 +60,7 @@ def binary_vectors(docs: DataFrame, vocab: DataFrame, tokens: str = "tokens",
         "doc_id", "label", "fid", F.lit(1).cast("int").alias("value"))
 
 
-def count_vectors(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_VOCAB_LIMIT,
+def count_vectors(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_BYTES,
                   one_row_per_feature: bool = False) -> DataFrame:
     """M3: ``(doc_id, label, fid, value)`` from counted instances
     ``(doc_id, label, feature, value)``; a feature repeated in one instance is summed.
@@ -86,14 +85,14 @@ def counted_instances(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
         "doc_id", "label", F.col("tc.token").alias("feature"), F.col("tc.tf").alias("value"), "n_tokens")
 
 
-def binary_from_instances(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+def binary_from_instances(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """M1 over counted instances (one row per document and feature): value 1."""
     v = _vocab_side(vocab, limit).withColumnRenamed("token", "feature")
     return instances.join(v, "feature").select("doc_id", "label", "fid", F.lit(1).cast("int").alias("value"))
 
 
 def tfidf_from_instances(instances: DataFrame, vocab: DataFrame, idf: DataFrame,
-                         limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+                         limit: int = BROADCAST_BYTES) -> DataFrame:
     """M2 over counted instances carrying ``n_tokens`` (see :func:`tfidf_vectors`)."""
     small = fits(vocab, limit)
     side = vocab.select("feature", "fid")
@@ -119,7 +118,7 @@ def _weighted(e: DataFrame, idf: DataFrame, limit: int, vocab: DataFrame | None
 
 
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, idf: DataFrame, tokens: str = "tokens",
-                  limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+                  limit: int = BROADCAST_BYTES) -> DataFrame:
     """M2 + J4: value = ``1/T * idf(fid - 1)``, T = all tokens of the document
     (repeats and out-of-vocabulary ones included); a repeated token counts once.
 

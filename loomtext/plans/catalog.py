@@ -59,7 +59,7 @@ def _pages(spark, sf):
 def _classified(spark, sf):
     pages = table(spark, sf, "pages")
     recs = corpus.page_records(pages).select("page_id", "url", "title", "kw")
-    return classify(recs, corpus.page_rules(spark, pages), key="page_id", url="url")
+    return classify(recs, corpus.page_rules(spark, pages))
 
 
 def _docs(spark, sf):
@@ -108,11 +108,10 @@ def _split_sets(spark, sf):
     alld, entries, top = _selected(spark, sf)
     rv = reindex(entries, top)
     n_feat = top.count()
-    tagged = alld.withColumn("part", split_column("doc_id", TEST_FRACTION))
-    train_docs = tagged.where(F.col("part") == "train").select("doc_id", "label")
-    test_docs = tagged.where(F.col("part") == "test").select("doc_id", "label")
-    train_e = rv.join(train_docs.select("doc_id"), "doc_id", "left_semi")
-    test_e = rv.join(test_docs.select("doc_id"), "doc_id", "left_semi")
+    # the split depends on the document id alone: a filter on either side, no join
+    part = split_column("doc_id", TEST_FRACTION)
+    train_docs, test_docs = [alld.where(part == p).select("doc_id", "label") for p in ("train", "test")]
+    train_e, test_e = [rv.where(part == p) for p in ("train", "test")]
     return train_docs, train_e, test_docs, test_e, n_feat
 
 
@@ -392,8 +391,8 @@ def _jtrim(x: str) -> str:
     return _JTRIM.format(x=x)
 
 
-def _bucket(expr: str, salt: str) -> str:
-    return f"(('0x' || substr(md5('{salt}' || CAST({expr} AS VARCHAR)), 1, 8))::BIGINT % 1000)"
+def _hash(expr: str, salt: str) -> str:
+    return f"('0x' || substr(md5('{salt}' || CAST({expr} AS VARCHAR)), 1, 8))::BIGINT"
 
 
 def _canon(x: str) -> str:
@@ -427,7 +426,7 @@ rules AS (
   SELECT ord, pattern, tag FROM seed
   UNION ALL
   SELECT ord, pattern, lpad(CAST(b % 32 + 1 AS VARCHAR), 4, '0') AS tag
-  FROM (SELECT ord, pattern, {_bucket('pattern', corpus.HOST_SALT)} AS b FROM hosts) WHERE b < 500),
+  FROM (SELECT ord, pattern, {_hash('pattern', corpus.HOST_SALT)} AS b FROM hosts)),
 ranked AS (
   SELECT ord, pattern, tag, {_jtrim('tag')} AS category, length(lit) AS lit_len,
          CASE WHEN st = '' THEN 0 ELSE length(st) - length(replace(st, '.', '')) + 1 END AS pieces
@@ -437,7 +436,7 @@ hits AS (
   SELECT r.page_id, r.url, r.title, r.kw, u.ord, u.pattern, u.tag, u.category, u.pieces, u.lit_len
   FROM recs r JOIN ranked u ON contains('url=' || r.url, u.pattern)),
 best AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pieces DESC, lit_len DESC, ord) AS rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pieces DESC, lit_len DESC, ord, pattern, tag) AS rn
                  FROM hits) WHERE rn = 1)"""
 
 _SQL_DOCS = r"""
@@ -489,7 +488,7 @@ top AS (
 rv AS (SELECT e.doc_id, e.label, t.new_fidx AS fidx, e.value FROM ent e JOIN top t ON e.fidx = t.fidx)"""
 
 _SQL_NB = rf"""
-split AS (SELECT doc_id, label, CASE WHEN {_bucket('doc_id', 'split:')} < 300 THEN 'test' ELSE 'train' END AS part FROM alld),
+split AS (SELECT doc_id, label, CASE WHEN {_hash('doc_id', 'split:')} < round(0.3 * 4294967296) THEN 'test' ELSE 'train' END AS part FROM alld),
 trd AS (SELECT doc_id, label FROM split WHERE part = 'train'),
 ted AS (SELECT doc_id, label FROM split WHERE part = 'test'),
 tre AS (SELECT * FROM rv WHERE doc_id IN (SELECT doc_id FROM trd)),
@@ -603,14 +602,14 @@ FROM t GROUP BY 1""",
 SELECT title, min(page_id) AS page_id, arg_min(url, page_id) AS url, arg_min(category, page_id) AS category
 FROM best GROUP BY title""",
 
-    "hash_sample": f"SELECT doc_id, lang FROM documents WHERE {_bucket('doc_id', 's1:')} < 100",
+    "hash_sample": f"SELECT doc_id, lang FROM documents WHERE {_hash('doc_id', 's1:')} < round(0.1 * 4294967296)",
 
     "two_stage_sample": f"""
 SELECT doc_id, lang FROM documents
-WHERE {_bucket('doc_id', 's1:')} < 100 AND {_bucket('doc_id', 's2:')} < 100""",
+WHERE {_hash('doc_id', 's1:')} < round(0.1 * 4294967296) AND {_hash('doc_id', 's2:')} < round(0.1 * 4294967296)""",
 
     "train_test_split": f"""
-SELECT doc_id, CASE WHEN {_bucket('doc_id', 'split:')} < 300 THEN 'test' ELSE 'train' END AS part FROM documents""",
+SELECT doc_id, CASE WHEN {_hash('doc_id', 'split:')} < round(0.3 * 4294967296) THEN 'test' ELSE 'train' END AS part FROM documents""",
 
     "label_dictionary": _with(_SQL_DOCS) + "\nSELECT name, category_id FROM dict",
 

@@ -3,8 +3,8 @@
 * ``pages`` -> browse records ``(page_id, url, title, kw, line)`` with the raw
   backtick line ``url=...`tit=...`kw=...``; title from ``<title>``, keywords from the
   navigation link texts.
-* ``pages`` -> a rule table: fixed seed rules plus one rule per host for about half of
-  the hosts seen (so the table grows with the data).
+* ``pages`` -> a rule table: fixed seed rules plus one rule per host (so the
+  table grows with the data).
 * ``documents`` -> token documents ``(doc_id, lang, tokens)``; with the category
   dictionary, ``label`` is the language's id.
 * ``events`` -> identity records with ``uid / imei / snid / sn`` fields.
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.functions.hashing import hash_bucket
+from loomtext.functions.hashing import hash_number
 from loomtext.functions.text import doc_tokens
 from loomtext.operators.vocab import category_dictionary, with_category_id
 from loomtext.sources.tables import spread, table
@@ -58,14 +58,14 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def page_rules(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Seed rules plus ``host -> 4-digit tag`` for hosts whose hash bucket is < 500;
+    """Seed rules plus ``host -> 4-digit tag`` for every host;
     ``ord`` of a host rule = 1000 + the smallest page id carrying that host."""
     seeds = spark.createDataFrame(SEED_RULES, "ord long, pattern string, tag string")
     host = F.regexp_extract(F.col("url"), HOST_RE, 1)
     hosts = pages.select(host.alias("pattern"), "page_id").where(F.col("pattern") != "")
     hosts = hosts.groupBy("pattern").agg((F.min("page_id") + HOST_RULE_ORD_BASE).alias("ord"))
-    b = hash_bucket(F.col("pattern"), HOST_SALT)
-    derived = hosts.where(b < 500).select(
+    b = hash_number(F.col("pattern"), HOST_SALT)
+    derived = hosts.select(
         "ord", "pattern", F.lpad((b % 32 + 1).cast("string"), 4, "0").alias("tag"))
     return seeds.unionByName(derived)
 

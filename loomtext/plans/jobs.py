@@ -26,8 +26,8 @@ from loomtext.operators.weights import idf
 from loomtext.operators.wordcount import word_count
 from loomtext.session import reliable_checkpoint
 from loomtext.sinks.text import write_dictionary, write_libsvm, write_lines, write_table
-from loomtext.sources.text import (parse_counted_instances, parse_libsvm, read_category_dictionary,
-                                   read_feature_dictionary, read_idf_model, read_lines)
+from loomtext.sources.text import (identified_lines, instance_documents, parse_counted_instances, parse_libsvm,
+                                   read_category_dictionary, read_feature_dictionary, read_idf_model, read_lines)
 
 
 def run_word_count(spark: SparkSession, input_path: str, output_path: str) -> None:
@@ -37,23 +37,23 @@ def run_word_count(spark: SparkSession, input_path: str, output_path: str) -> No
 
 
 def browse_records(lines: DataFrame) -> DataFrame:
-    """Raw log lines with a repeatable id -> ``(rec_id, line, url, tit, kw)``."""
+    """Raw log lines with an id from their content -> ``(rec_id, line, url, tit, kw)``."""
     v = F.col("value")
-    with_id = lines.withColumn("rec_id", F.monotonically_increasing_id())
+    with_id = identified_lines(lines, "rec_id")
     return with_id.select("rec_id", v.alias("line"), last_field(v, "url").alias("url"),
                           last_field(v, "tit").alias("tit"), last_field(v, "kw").alias("kw"))
 
 
 def run_labelling(spark: SparkSession, logs: str, rules: DataFrame, labelled_out: str, sample_out: str,
-                  first: float = 0.1, second: float = 0.1, distinct_urls: bool = True) -> None:
+                  first: float = 0.1, second: float = 0.1) -> None:
     """Sample the logs, label by URL rules, keep a second sample, one record per title.
 
-    Browse logs repeat URLs, so by default each distinct URL is labelled once. The
+    Samples and survivors depend on the lines alone, not on files or splits. The
     labelled table is written once and the second stage reads it back, so labelling
     runs once.
     """
     recs = hash_sample(browse_records(read_lines(spark, logs)), "rec_id", first, FIRST_SALT)
-    labelled = classify(recs, rules, key="rec_id", url="url", distinct_urls=distinct_urls)
+    labelled = classify(recs, rules)
     labelled = labelled.withColumn("labelled", F.concat(F.lit("category="), F.col("tag"), F.lit("`"), F.col("line")))
     write_table(labelled, labelled_out)
     stored = spark.read.parquet(labelled_out)
@@ -69,7 +69,7 @@ def labelled_token_docs(lines: DataFrame) -> DataFrame:
     v = F.col("value")
     cate = F.regexp_extract(v, "category=(.{4})", 1)
     toks = F.concat(suffixed_tokens(last_field(v, "tit"), "_1"), suffixed_tokens(last_field(v, "kw"), "_2"))
-    docs = lines.withColumn("doc_id", F.monotonically_increasing_id()).select(
+    docs = identified_lines(lines).select(
         "doc_id", (cate).try_cast("int").alias("label"), toks.alias("tokens"))
     return docs.where(F.col("label").isNotNull() & (F.size("tokens") > 0))
 
@@ -107,13 +107,14 @@ def run_training(spark: SparkSession, categories: str, instances: str, out: str,
     """M9: category filter, vocabulary, libsvm, chi-square selection, then naive Bayes
     and / or random forest with holdout metrics; every artefact goes under ``out``."""
     cats = read_category_dictionary(spark, categories)
-    raw = parse_counted_instances(read_lines(spark, instances)).where(F.col("value").isNotNull())
-    inst = with_category_id(raw, cats, "label").drop("label").withColumnRenamed("category_id", "label")
-    inst = reliable_checkpoint(inst, "instances")
+    lines = reliable_checkpoint(identified_lines(read_lines(spark, instances)), "instance-lines")
+    raw = parse_counted_instances(lines).where(F.col("value").isNotNull())
+    inst, docs = [with_category_id(x, cats, "label").drop("label").withColumnRenamed("category_id", "label")
+                  for x in (raw, instance_documents(lines))]
+    inst, docs = reliable_checkpoint(inst, "instances"), reliable_checkpoint(docs, "documents")
     vocab = vocabulary(inst, MIN_COUNT)
-    write_dictionary(vocab.select("fid", "feature"), f"{out}/feat_id_map", ("fid", "feature"), "fid")
+    write_dictionary(vocab, f"{out}/feat_id_map", ("feature", "fid"), "fid")
     entries = count_vectors(inst, vocab).select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
-    docs = inst.select("doc_id", "label").distinct()
     write_libsvm(entries.withColumn("fid", F.col("fidx") + 1), docs, f"{out}/url_inst_fm")
     if num_feats > 0:
         top = reliable_checkpoint(top_features(chi_square(entries, docs), num_feats), "selected")
@@ -123,13 +124,11 @@ def run_training(spark: SparkSession, categories: str, instances: str, out: str,
         write_table(entries, f"{out}/url_inst_sel")
         n_feat = top.count()
     else:
-        n_feat = int(entries.agg(F.max("fidx")).first()[0] or -1) + 1
-    tagged = docs.withColumn("part", split_column("doc_id", 0.3))
-    train_docs = docs if fit_on_all else tagged.where("part = 'train'").select("doc_id", "label")
-    test_docs = tagged.where("part = 'test'").select("doc_id", "label")
+        largest = entries.agg(F.max("fidx")).first()[0]
+        n_feat = 0 if largest is None else int(largest) + 1
     vec_all = reliable_checkpoint(to_vectors(entries, docs, n_feat), "vectors")
-    train = vec_all.join(train_docs.select("doc_id"), "doc_id", "left_semi")
-    test = vec_all.join(test_docs.select("doc_id"), "doc_id", "left_semi")
+    part = split_column("doc_id", 0.3)
+    train, test = vec_all if fit_on_all else vec_all.where(part == "train"), vec_all.where(part == "test")
     results = {}
     for name in [m for m in model.split(",") if m]:
         if name == "nb":

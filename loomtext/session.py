@@ -80,7 +80,8 @@ def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for a written stage table."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
+    app = spark.conf.get("spark.app.id", "") or str(os.getpid())  # two drivers may share a folder
+    return os.path.join(base, f"{name}-{app}-{next(_counter)}")
 
 
 def _count():

@@ -41,10 +41,11 @@ def write_dictionary(df: DataFrame, path: str, cols: tuple[str, str], order: str
     gives the reference's one file; use it only for mappings of bounded size (a
     selection map of k rows), as one task then writes everything.
     """
-    out = df.select(*cols).orderBy(order)
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    out = df.orderBy(order).select(line.alias("line"))  # plain text: no quoting, a reader splits at tabs
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("sep", "\t").csv(path)
+    write_lines(out, path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

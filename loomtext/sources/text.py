@@ -13,8 +13,6 @@ from loomtext.functions.arrays import explode_rows, posexplode_rows
 from loomtext.functions.text import java_split, java_trim
 from loomtext.operators.classify import parse_rule_lines
 
-_LINE_BITS = 24  # rule files up to 16M lines; ord = file index << 24 | line number
-
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """UTF-8 lines (globs allowed) as ``value``."""
@@ -22,9 +20,20 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def numbered_lines(df: DataFrame) -> DataFrame:
-    """Lines with a line order ``ln`` (partition index, then position): repeatable for
-    the same files and split settings. Used where "a later line wins"."""
-    return df.withColumn("ln", F.monotonically_increasing_id())
+    """Lines of a text scan with their order ``ln``: file path, start of the file's
+    block, position in it. Splits may be packed into tasks in any order; where "a later
+    line wins", file order decides."""
+    meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    return df.select("value", F.struct(*meta, F.monotonically_increasing_id().alias("at")).alias("ln"))
+
+
+def identified_lines(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Lines with an id from their content: the hash of the text and its how-manyeth
+    copy. The same lines get the same ids whatever the files, splits and task order;
+    equal lines are counted (a partial aggregate) before they are told apart."""
+    counted = df.groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
+    copies = counted.select("value", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_k"))
+    return copies.select(F.xxhash64("value", "_k").alias(id_col), "value")
 
 
 def read_category_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -49,8 +58,23 @@ def read_feature_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_idf_model(spark: SparkSession, path: str) -> DataFrame:
-    """``fidx TAB idf`` lines -> ``(fidx, idf)``."""
-    return spark.read.csv(path, sep="\t", schema="fidx long, idf double")
+    """``fidx TAB idf`` lines -> ``(fidx, idf)``; for a repeated index the later line
+    wins; any other line fails the query."""
+    lines = numbered_lines(read_lines(spark, path))
+    parts = F.split(F.col("value"), "\t")
+    fidx, weight = F.get(parts, 0).try_cast("long"), F.get(parts, 1).try_cast("double")
+    bad = (F.size(parts) != 2) | fidx.isNull() | weight.isNull()
+    message = F.concat(F.lit("not an idf line: "), F.col("value"))
+    rows = lines.select("ln", F.when(bad, F.raise_error(message)).otherwise(fidx).cast("long").alias("fidx"),
+                        weight.alias("idf"))
+    return rows.groupBy("fidx").agg(F.max_by("idf", "ln").alias("idf"))
+
+
+def instance_documents(lines: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``(doc_id, label)`` of every instance line with a label, those without any
+    feature included (they count as documents)."""
+    items = F.filter(F.split(F.col("value"), " "), lambda x: x != "")
+    return lines.select(doc_id, F.get(items, 0).alias("label")).where(F.col("label").isNotNull())
 
 
 def parse_counted_instances(lines: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -108,14 +132,16 @@ def read_rule_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rule files ``pattern``tag`` read in the given order -> ``(ord, pattern, tag)``.
 
     A rule file is configuration (thousands of lines), read whole per file so its line
-    order is exact; ``ord`` = file position << 24 | line number.
+    order is exact; ``ord`` numbers the lines from the first file's first on, each file
+    after the lines of those before.
     """
-    frames = []
-    for i, p in enumerate(paths):
+    frames, before = [], 0
+    for p in paths:
         whole = spark.read.text(p, wholetext=True)
         lines = posexplode_rows(whole, F.split(F.col("value"), r"\r?\n"), "ln", "value")
-        lines = lines.select(((F.lit(i).cast("long") * (1 << _LINE_BITS)) + F.col("ln")).alias("ord"), "value")
+        lines = lines.select((F.lit(before).cast("long") + F.col("ln")).alias("ord"), "value")
         frames.append(parse_rule_lines(lines))
+        before += int(lines.count())
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loomtext.functions.records import last_field
 from loomtext.operators.classify import classify
 from loomtext.session import reliable_checkpoint
+from loomtext.sources.text import identified_lines
 
 
 def browse_records(lines: DataFrame) -> DataFrame:
@@ -26,10 +27,11 @@ def browse_records(lines: DataFrame) -> DataFrame:
 
 
 def label_batch(batch: DataFrame, rules: DataFrame, batch_id: int) -> DataFrame:
-    """One micro-batch: ids unique across batches (batch id in the high bits). The
-    rule table is stored once per stream, not per batch."""
-    with_id = batch.withColumn("rec_id", F.lit(batch_id).cast("long") * (1 << 40) + F.monotonically_increasing_id())
-    return classify(browse_records(with_id), rules, key="rec_id", url="url", store_rules=False)
+    """One micro-batch: records are named by (batch, rec_id), rec_id from the line's
+    content, so a retried batch names them alike. The rule table is stored once per
+    stream, not per batch."""
+    labelled = classify(browse_records(identified_lines(batch, "rec_id")), rules)
+    return labelled.withColumn("batch", F.lit(batch_id))
 
 
 def start_labelling(spark: SparkSession, source_dir: str, rules: DataFrame, out_dir: str, checkpoint: str,
@@ -42,7 +44,7 @@ def start_labelling(spark: SparkSession, source_dir: str, rules: DataFrame, out_
     rules = reliable_checkpoint(rules.select("ord", "pattern", "tag"), "stream-rules")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        labelled = label_batch(batch, rules, batch_id).withColumn("batch", F.lit(batch_id))
+        labelled = label_batch(batch, rules, batch_id)
         (labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(out_dir))
 

@@ -26,7 +26,7 @@ def naive(records, rules):
 
 def test_golden_rules(spark):
     recs = spark.createDataFrame([(i, u) for i, u, _ in URLS], "rec_id long, url string")
-    out = classify(recs, rules_frame(spark, RULES), key="rec_id")
+    out = classify(recs, rules_frame(spark, RULES))
     got = {r["rec_id"]: (r["category"], r["tag"]) for r in out.collect()}
     want = {i: c for i, _, c in URLS if c}
     assert {k: v[0] for k, v in got.items()} == want
@@ -37,7 +37,7 @@ def test_kgram_join_equals_naive_on_pages(spark):
     pages = table(spark, SF_ORACLE, "pages")
     rules = corpus.page_rules(spark, pages)
     recs = pages.select(F.col("page_id").alias("rec_id"), "url")
-    fast = {tuple(r) for r in classify(recs, rules, key="rec_id").select("rec_id", "category").collect()}
+    fast = {tuple(r) for r in classify(recs, rules).select("rec_id", "category").collect()}
     slow = {tuple(r) for r in naive(recs, rules).collect()}
     assert fast == slow and len(fast) > 0
 
@@ -45,7 +45,7 @@ def test_kgram_join_equals_naive_on_pages(spark):
 def test_plan_has_no_nested_loop_or_python(spark):
     pages = table(spark, SF_ORACLE, "pages")
     recs = pages.select(F.col("page_id").alias("rec_id"), "url")
-    out = classify(recs, corpus.page_rules(spark, pages), key="rec_id")
+    out = classify(recs, corpus.page_rules(spark, pages))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "BroadcastHashJoin" in plan
@@ -56,31 +56,31 @@ def test_layout_invariance(spark):
     pages = table(spark, SF_ORACLE, "pages")
     rules = corpus.page_rules(spark, pages)
     recs = pages.select(F.col("page_id").alias("rec_id"), "url")
-    a = {tuple(r) for r in classify(recs.repartition(1), rules, key="rec_id").collect()}
-    b = {tuple(r) for r in classify(recs.repartition(17), rules, key="rec_id").collect()}
+    a = {tuple(r) for r in classify(recs.repartition(1), rules).collect()}
+    b = {tuple(r) for r in classify(recs.repartition(17), rules).collect()}
     assert a == b
 
 
 def test_shuffled_rule_join_equals_naive(spark):
-    # broadcast_limit=0 forces the shuffle join on k-grams used for very large rule tables
+    # broadcast_bytes=0 forces the shuffle join on k-grams used for very large rule tables
     pages = table(spark, SF_ORACLE, "pages")
     rules = corpus.page_rules(spark, pages)
     recs = pages.select(F.col("page_id").alias("rec_id"), "url")
-    out = classify(recs, rules, key="rec_id", broadcast_limit=0)
+    out = classify(recs, rules, broadcast_bytes=0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan
     fast = {tuple(r) for r in out.select("rec_id", "category").collect()}
     assert fast == {tuple(r) for r in naive(recs, rules).collect()}
 
 
-def test_distinct_urls_option(spark):
+def test_repeated_urls(spark):
     recs = spark.createDataFrame([(i, u) for i, u, _ in URLS] + [(100 + i, u) for i, u, _ in URLS],
                                  "rec_id long, url string")
     rules = rules_frame(spark, RULES)
-    a = {tuple(r) for r in classify(recs, rules, key="rec_id").select("rec_id", "category").collect()}
-    b = {tuple(r) for r in classify(recs, rules, key="rec_id", distinct_urls=True)
-         .select("rec_id", "category").collect()}
-    assert a == b and len(a) == 14
+    got = classify(recs, rules).select("rec_id", "category").collect()
+    a = {tuple(r) for r in got}
+    b = {tuple(r) for r in naive(recs, rules).collect()}
+    assert a == b and len(a) == len(got) == 14
 
 
 def test_shuffled_rule_join_prefilters_grams(spark):
@@ -88,10 +88,22 @@ def test_shuffled_rule_join_prefilters_grams(spark):
     # semi-joined against the broadcast gram set before the shuffled join
     pages = table(spark, SF_ORACLE, "pages")
     rules = corpus.page_rules(spark, pages)
-    n = rules.count()
+    n = rules.select(F.sum(F.octet_length("pattern") + F.octet_length("tag"))).first()[0] + 40 * rules.count()
     recs = pages.select(F.col("page_id").alias("rec_id"), "url")
-    out = classify(recs, rules, key="rec_id", broadcast_limit=n - 1)
+    out = classify(recs, rules, broadcast_bytes=n)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
     fast = {tuple(r) for r in out.select("rec_id", "category").collect()}
     assert fast == {tuple(r) for r in naive(recs, rules).collect()}
+
+
+def test_large_ord_and_tied_rules(spark):
+    rules = rules_frame(spark, [(1 << 40, "a.com", "0002"), (1 << 40, "a.com", "0001"), (1 << 40, "a.com", "0001")])
+    recs = spark.createDataFrame([(1, "http://a.com/")], "rec_id long, url string")
+    assert [r["tag"] for r in classify(recs, rules).collect()] == ["0001"]
+
+
+def test_no_html_in_the_gram_plan(spark):
+    from loomtext.plans.catalog import QUERIES
+    plan = QUERIES["category_counts"](spark, SF_ORACLE)._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan

@@ -56,3 +56,27 @@ def test_word_count_job(spark):
     out = tempfile.mkdtemp(prefix="loomtext-wc-") + "/out"
     jobs.run_word_count(spark, src, out)
     assert sorted(r[0] for r in read_lines(spark, out).collect()) == ["a\t1", "b\t2"]
+
+
+def test_labelling_does_not_depend_on_splits(spark):
+    lines = "".join(f"url=http://h{i % 50}.example.com/{i}`tit=t{i % 90}`kw=k\n" for i in range(3000))
+    logs, rules = _file(lines), rules_frame(spark, [(1, ".example.com", "0001"), (2, "h7.", "0002")])
+    before, got = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    try:
+        for size in ("134217728", "4096"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            out = tempfile.mkdtemp(prefix="loomtext-split-")
+            jobs.run_labelling(spark, logs, rules, f"{out}/labelled", f"{out}/sample", first=0.5, second=0.5)
+            got.append(sorted(r[0] for r in read_lines(spark, f"{out}/sample").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got[0] == got[1] and got[0]
+
+
+def test_training_keeps_documents_without_features(spark):
+    cats = _file("0`en\n1`fr\n")
+    rows = ["en the:2"] * 60 + ["fr le:1"] * 60 + ["en"] * 40
+    out = tempfile.mkdtemp(prefix="loomtext-empty-")
+    jobs.run_training(spark, cats, _file("\n".join(rows) + "\n"), out, model="nb", num_feats=0)
+    assert read_lines(spark, f"{out}/url_inst_fm").count() == 160
+    assert sorted(r[0] for r in jobs.read_feature_dictionary(spark, f"{out}/feat_id_map").collect()) == ["le", "the"]

@@ -51,3 +51,9 @@ def test_sampling_is_layout_invariant(spark):
     assert 500 < len(two) < 1000  # independent salts: about a quarter survives
     train, test = train_test_split(df, "k", 0.3)
     assert train.count() + test.count() == 3000 and 700 < test.count() < 1100
+
+
+def test_small_fractions_keep_rows(spark):
+    df = spark.range(1_000_000).withColumnRenamed("id", "k")
+    assert 300 < hash_sample(df, "k", 0.0004).count() < 500
+    assert 1450 < hash_sample(df, "k", 0.0016).count() < 1750

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loomtext.sinks.text import write_dictionary, write_libsvm, write_lines
-from loomtext.sources.text import (parse_counted_instances, parse_libsvm, read_category_dictionary,
+from loomtext.sources.text import (identified_lines, instance_documents, parse_counted_instances,
+                                   parse_libsvm, read_category_dictionary,
                                    read_feature_dictionary, read_idf_model, read_libsvm_vectors, read_lines,
                                    read_rule_files)
 
@@ -85,3 +86,34 @@ def test_dictionary_sink(spark):
     assert ids == list(range(1, 2001))
     write_lines(df.select(F.concat_ws("=", "feature", "fid").alias("line")), out + "-lines")
     assert sorted(r[0] for r in read_lines(spark, out + "-lines").collect()) == ["a=1", "b=2"]
+
+
+def test_later_file_wins_whatever_the_sizes(spark):
+    d = tempfile.mkdtemp(prefix="loomtext-two-")
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write("1`sports\n")
+    with open(os.path.join(d, "b.txt"), "w") as f:
+        f.write("9`other\n" * 500 + "2`sports\n")
+    assert ("sports", 2) in rows(read_category_dictionary(spark, d))
+
+
+def test_idf_model_later_wins_and_bad_lines_fail(spark):
+    assert rows(read_idf_model(spark, _write("0\t0.5\n0\t0.75\n"))) == [(0, 0.75)]
+    try:
+        read_idf_model(spark, _write("0\t0.5\nnonsense\n")).collect()
+        raise AssertionError("expected failure")
+    except Exception as ex:  # noqa: BLE001
+        assert "not an idf line" in str(ex)
+
+
+def test_dictionary_keeps_quotes(spark):
+    df = spark.createDataFrame([('"hello', 1), ("a\\b", 2), ("c,d", 3)], "feature string, fid long")
+    out = tempfile.mkdtemp(prefix="loomtext-quotes-")
+    write_dictionary(df, out, ("feature", "fid"), "fid")
+    assert rows(read_feature_dictionary(spark, out)) == sorted([('"hello', 1), ("a\\b", 2), ("c,d", 3)])
+
+
+def test_label_only_lines_are_documents(spark):
+    lines = identified_lines(spark.createDataFrame([("x a:1",), ("y",), ("y",), ("",)], "value string"))
+    docs = instance_documents(lines).collect()
+    assert sorted(r["label"] for r in docs) == ["x", "y", "y"] and len({r["doc_id"] for r in docs}) == 3
