@@ -7,9 +7,8 @@ checkpoint folder, so the sampled boundaries cannot change between the two passe
 that follow: one counts rows per range (one row per range), the other adds the
 broadcast per-range offsets (as many rows as ranges) to the local positions.
 
-The input is stored first; when the stored copy has at most ``single_task_limit``
-rows (a proven bound, e.g. a category list or a cut vocabulary), one ordered window
-numbers it instead.
+A caller that knows a bound of the rows (a category list) states it with
+``bounded=True``; one ordered window numbers those.
 """
 
 from __future__ import annotations
@@ -20,24 +19,20 @@ from pyspark.sql import functions as F
 from loomtext.session import reliable_checkpoint
 
 _SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row index
-# Inputs up to this many rows (counted on the stored copy) are numbered by one task.
-SINGLE_TASK_LIMIT = 1_000_000
 
 
 def dense_ids(df: DataFrame, order: list[Column | str], id_col: str = "id", start: int = 1,
-              partitions: int | None = None, single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+              bounded: bool = False) -> DataFrame:
     """Number the rows of ``df`` ``start, start+1, ...`` in ``order`` (must be a total
-    order for repeatable ids)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order for repeatable ids). ``bounded``: the caller knows that one task can hold them."""
+    if bounded:
+        w = Window.orderBy(*order)
+        return df.withColumn(id_col, (F.row_number().over(w) - 1 + F.lit(start)).cast("long"))
     # The range partitioner samples its input in a job of its own: number a stored
-    # copy so the (possibly expensive) input is computed once, not twice.
+    # copy so the (possibly expensive) input is computed once, not twice. The number of
+    # ranges is left to the session and to AQE, which joins small ones.
     stored = reliable_checkpoint(df, "dense-ids-input")
-    if stored.count() <= single_task_limit:
-        # Counted on the stored copy: a proven bound, so one task may number it.
-        w = Window.orderBy(*order)
-        return stored.withColumn(id_col, (F.row_number().over(w) - 1 + F.lit(start)).cast("long"))
-    ordered = stored.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ordered = stored.repartitionByRange(*order).sortWithinPartitions(*order)
     # Range index and position inside the range, written with the rows in one job.
     local = (ordered.withColumn("_pid", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()))

@@ -74,14 +74,14 @@ def fit_naive_bayes(vectors: DataFrame, smoothing: float = DEFAULT_SMOOTHING):
 
 
 def fit_random_forest(vectors: DataFrame, num_trees: int = DEFAULT_TREES, max_depth: int = DEFAULT_DEPTH,
-                      max_bins: int = DEFAULT_BINS, seed: int = 7):
+                      max_bins: int = DEFAULT_BINS, seed: int = 7, bootstrap: bool = True, subsets: str = "auto"):
     """M5: gini random forest, every feature continuous, ``auto`` feature subsets.
 
     Bootstrap sampling depends on the row order of each partition; callers that need
     repeatable forests pass input with a fixed layout (see :func:`stable_layout`).
     """
     return RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, impurity="gini",
-                                  featureSubsetStrategy="auto", seed=seed, labelCol="label",
+                                  featureSubsetStrategy=subsets, bootstrap=bootstrap, seed=seed, labelCol="label",
                                   featuresCol="features").fit(vectors)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.operators.ids import dense_ids
+from loomtext.operators.sizing import broadcast_if_small
+from loomtext.session import reliable_checkpoint
 
 MIN_COUNT = 31  # a feature needs strictly more than 30 occurrences
 
@@ -24,16 +26,19 @@ def vocabulary(instances: DataFrame, min_count: int = MIN_COUNT, feature: str =
 
 
 def category_dictionary(labels: DataFrame, label: str) -> DataFrame:
-    """Category names -> ids ``0..C-1`` in name order: ``(name, category_id)``."""
+    """Category names -> ids ``0..C-1`` in name order: ``(name, category_id)``. Categories
+    are classes of a model, a list that one task holds."""
     names = labels.select(F.col(label).alias("name")).where(F.col("name").isNotNull()).distinct()
-    return dense_ids(names, [F.col("name").asc()], id_col="category_id", start=0) \
+    names = reliable_checkpoint(names, "category-names")
+    return dense_ids(names, [F.col("name").asc()], id_col="category_id", start=0, bounded=True) \
         .select("name", F.col("category_id").cast("int"))
 
 
 def with_category_id(df: DataFrame, dictionary: DataFrame, label: str) -> DataFrame:
     """F3 + P6 + J5: keep rows whose label is a dictionary name and add its id (one
-    equi-join; the dictionary is small and broadcast by AQE)."""
-    return df.join(dictionary.withColumnRenamed("name", label), label)
+    equi-join; the dictionary is broadcast behind a check of its bytes, so a hot category
+    moves no documents)."""
+    return df.join(broadcast_if_small(dictionary.withColumnRenamed("name", label)), label)
 
 
 def class_count(dictionary: DataFrame) -> DataFrame:

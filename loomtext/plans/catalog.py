@@ -44,6 +44,7 @@ TEST_FRACTION = 0.3
 TOP_K = 100
 SMOOTHING = 0.1
 RF_TREES, RF_DEPTH, RF_BINS, RF_SEED = 100, 4, 32, 7
+RF_LAYOUT = 32  # partitions of the training rows: bootstrap draws depend on the layout
 WEEK_DAYS = 7
 DIGITS = 10  # decimals kept for floating results
 CHI_DIGITS = 6
@@ -298,13 +299,20 @@ def q_holdout_metrics(spark, sf):
 
 def q_rf_predict(spark, sf):
     train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    train = reliable_checkpoint(stable_layout(to_vectors(train_e, train_docs, n_feat), parts))
+    train = reliable_checkpoint(stable_layout(to_vectors(train_e, train_docs, n_feat), RF_LAYOUT))
     model = fit_random_forest(train, RF_TREES, RF_DEPTH, RF_BINS, RF_SEED)
     tv = to_vectors(test_e, test_docs, n_feat).where(F.col("n_entries") > 0)
     return predict(model, tv)
 
 
+def q_rf_stump(spark, sf):
+    """M5 where SQL can follow it: one tree of one split on binary vectors, no sampling."""
+    train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
+    train_e, test_e = [e.withColumn("value", F.lit(1)) for e in (train_e, test_e)]
+    model = fit_random_forest(_vectors(train_e, train_docs, n_feat), 1, 1, RF_BINS, RF_SEED, bootstrap=False, subsets="all")
+    return predict(model, to_vectors(test_e, test_docs, n_feat))
+
+
 def q_token_dedupe(spark, sf):
     return distinct_tokens(_docs(spark, sf), keep=("doc_id",))
 
@@ -373,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "nb_predict": q_nb_predict,
     "holdout_metrics": q_holdout_metrics,
     "rf_predict": q_rf_predict,
+    "rf_stump": q_rf_stump,
     "token_dedupe": q_token_dedupe,
     "key_join": q_key_join,
     "identity": q_identity,
@@ -401,21 +410,21 @@ def _canon(x: str) -> str:
 
 _SEED_VALUES = ",\n    ".join(f"({o}, '{p}', '{t}')" for o, p, t in corpus.SEED_RULES)
 
-_SQL_LINES = r"""
+SQL_LINES = r"""
 lines AS (
   SELECT doc_id, unnest(CASE WHEN text = '' THEN []::VARCHAR[]
                              WHEN parts[-1] = '' THEN parts[1:len(parts) - 1]
                              ELSE parts END) AS line
   FROM (SELECT doc_id, text, string_split_regex(text, '\r\n|\r|\n') AS parts FROM documents))"""
 
-_SQL_RECS = r"""
+SQL_RECS = r"""
 recs AS (
   SELECT page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
          array_to_string(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1), ' ') AS kw
   FROM pages),
 precs AS (SELECT *, 'url=' || url || '`tit=' || title || '`kw=' || kw AS line FROM recs)"""
 
-_SQL_RULES = f"""
+SQL_RULES = f"""
 seed(ord, pattern, tag) AS (VALUES
     {_SEED_VALUES}),
 hosts AS (
@@ -439,7 +448,7 @@ best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pieces DESC, lit_len DESC, ord, pattern, tag) AS rn
                  FROM hits) WHERE rn = 1)"""
 
-_SQL_DOCS = r"""
+SQL_DOCS = r"""
 dict AS (
   SELECT name, CAST(row_number() OVER (ORDER BY name) - 1 AS INTEGER) AS category_id
   FROM (SELECT DISTINCT lang AS name FROM documents WHERE lang IS NOT NULL)),
@@ -457,11 +466,11 @@ cv AS (SELECT t.doc_id, t.label, v.fid, t.value FROM terms t JOIN vocab v ON t.f
 bv AS (SELECT t.doc_id, t.label, v.fid, CAST(1 AS INTEGER) AS value FROM terms t JOIN vocab v ON t.feature = v.feature),
 alld AS (SELECT doc_id, label FROM toks)"""
 
-_SQL_IDF = r"""
+SQL_IDF = r"""
 bdocs AS (SELECT count(DISTINCT doc_id)::DOUBLE AS n FROM bv),
 idf AS (SELECT fid - 1 AS fidx, count(*) AS df, ln((SELECT n FROM bdocs) / count(*)) AS idf FROM bv GROUP BY fid)"""
 
-_SQL_CHI = r"""
+SQL_CHI = r"""
 ent AS (SELECT doc_id, label, fid - 1 AS fidx, value FROM cv),
 ntot AS (SELECT count(*)::DOUBLE AS n FROM alld),
 nl AS (SELECT label, count(*) AS n_l FROM alld GROUP BY label),
@@ -487,7 +496,7 @@ top AS (
   FROM (SELECT * FROM chi ORDER BY round(chi2, 6) DESC, fidx ASC LIMIT 100)),
 rv AS (SELECT e.doc_id, e.label, t.new_fidx AS fidx, e.value FROM ent e JOIN top t ON e.fidx = t.fidx)"""
 
-_SQL_NB = rf"""
+SQL_NB = rf"""
 split AS (SELECT doc_id, label, CASE WHEN {_hash('doc_id', 'split:')} < round(0.3 * 4294967296) THEN 'test' ELSE 'train' END AS part FROM alld),
 trd AS (SELECT doc_id, label FROM split WHERE part = 'train'),
 ted AS (SELECT doc_id, label FROM split WHERE part = 'test'),
@@ -522,18 +531,18 @@ scored AS (
   FROM ted LEFT JOIN pred ON ted.doc_id = pred.doc_id)"""
 
 
-def _with(*parts: str) -> str:
+def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
 ORACLE: dict[str, str] = {
-    "word_count": _with(_SQL_LINES, r"""
+    "word_count": with_ctes(SQL_LINES, r"""
 words AS (
   SELECT unnest(CASE WHEN regexp_matches(line, '^\s+$') THEN []::VARCHAR[]
                      ELSE string_split_regex(regexp_replace(line, '\s+$', ''), '\s+') END) AS word
   FROM lines)""") + "\nSELECT word, count(*) AS cnt FROM words GROUP BY word",
 
-    "record_fields": _with(_SQL_RECS) + r"""
+    "record_fields": with_ctes(SQL_RECS) + r"""
 SELECT page_id,
        substr(list_filter(string_split(line, '`'), lambda x: starts_with(x, 'url='))[-1], 5) AS url,
        substr(list_filter(string_split(line, '`'), lambda x: starts_with(x, 'tit='))[-1], 5) AS tit,
@@ -541,7 +550,7 @@ SELECT page_id,
        regexp_extract(line, '(?:^|`)url=([^`]*)', 1) AS url_first
 FROM precs""",
 
-    "record_pairs": _with(_SQL_RECS) + r""",
+    "record_pairs": with_ctes(SQL_RECS) + r""",
 f AS (SELECT page_id, pos, {jt} AS field
       FROM (SELECT page_id, unnest(parts) AS field, unnest(range(1, len(parts) + 1)) AS pos
             FROM (SELECT page_id, string_split(line, '`') AS parts FROM precs))),
@@ -550,9 +559,9 @@ kv AS (SELECT page_id, pos, split_part(field, '=', 1) AS key,
        FROM f WHERE field <> '')
 SELECT page_id, key, arg_max(value, pos) AS value FROM kv GROUP BY page_id, key""".replace("{jt}", _jtrim("field")),
 
-    "class_count": _with(_SQL_DOCS) + "\nSELECT max(category_id) + 1 AS num_classes FROM dict",
+    "class_count": with_ctes(SQL_DOCS) + "\nSELECT max(category_id) + 1 AS num_classes FROM dict",
 
-    "sample_tokens": _with(_SQL_RECS, _SQL_RULES, r"""
+    "sample_tokens": with_ctes(SQL_RECS, SQL_RULES, r"""
 tk AS (
   SELECT page_id, substr(tag, 1, 4) AS category,
          list_concat(
@@ -594,11 +603,11 @@ SELECT CASE WHEN p0 = '' OR starts_with(p0, '.') THEN '' ELSE p0 END AS domain,
        count(*) AS pages, count(DISTINCT p1) AS paths
 FROM t GROUP BY 1""",
 
-    "classify_url": _with(_SQL_RECS, _SQL_RULES) + "\nSELECT page_id, url, pattern, tag, category FROM best",
+    "classify_url": with_ctes(SQL_RECS, SQL_RULES) + "\nSELECT page_id, url, pattern, tag, category FROM best",
 
-    "category_counts": _with(_SQL_RECS, _SQL_RULES) + "\nSELECT category, count(*) AS pages FROM best GROUP BY category",
+    "category_counts": with_ctes(SQL_RECS, SQL_RULES) + "\nSELECT category, count(*) AS pages FROM best GROUP BY category",
 
-    "dedupe_title": _with(_SQL_RECS, _SQL_RULES) + """
+    "dedupe_title": with_ctes(SQL_RECS, SQL_RULES) + """
 SELECT title, min(page_id) AS page_id, arg_min(url, page_id) AS url, arg_min(category, page_id) AS category
 FROM best GROUP BY title""",
 
@@ -611,40 +620,40 @@ WHERE {_hash('doc_id', 's1:')} < round(0.1 * 4294967296) AND {_hash('doc_id', 's
     "train_test_split": f"""
 SELECT doc_id, CASE WHEN {_hash('doc_id', 'split:')} < round(0.3 * 4294967296) THEN 'test' ELSE 'train' END AS part FROM documents""",
 
-    "label_dictionary": _with(_SQL_DOCS) + "\nSELECT name, category_id FROM dict",
+    "label_dictionary": with_ctes(SQL_DOCS) + "\nSELECT name, category_id FROM dict",
 
-    "whitelist_filter": _with(_SQL_DOCS) + "\nSELECT doc_id, label FROM alld",
+    "whitelist_filter": with_ctes(SQL_DOCS) + "\nSELECT doc_id, label FROM alld",
 
-    "vocabulary": _with(_SQL_DOCS) + "\nSELECT feature, fid, cnt FROM vocab",
+    "vocabulary": with_ctes(SQL_DOCS) + "\nSELECT feature, fid, cnt FROM vocab",
 
-    "binary_vectors": _with(_SQL_DOCS) + "\nSELECT doc_id, label, fid, value FROM bv",
+    "binary_vectors": with_ctes(SQL_DOCS) + "\nSELECT doc_id, label, fid, value FROM bv",
 
-    "count_vectors": _with(_SQL_DOCS) + "\nSELECT doc_id, label, fid, value FROM cv",
+    "count_vectors": with_ctes(SQL_DOCS) + "\nSELECT doc_id, label, fid, value FROM cv",
 
-    "doc_frequency": _with(_SQL_DOCS) + "\nSELECT fid - 1 AS fidx, count(*) AS df FROM bv GROUP BY fid",
+    "doc_frequency": with_ctes(SQL_DOCS) + "\nSELECT fid - 1 AS fidx, count(*) AS df FROM bv GROUP BY fid",
 
-    "idf": _with(_SQL_DOCS, _SQL_IDF) + "\nSELECT fidx, df, round(idf, 10) AS idf FROM idf",
+    "idf": with_ctes(SQL_DOCS, SQL_IDF) + "\nSELECT fidx, df, round(idf, 10) AS idf FROM idf",
 
-    "tfidf_vectors": _with(_SQL_DOCS, _SQL_IDF) + """
+    "tfidf_vectors": with_ctes(SQL_DOCS, SQL_IDF) + """
 SELECT b.doc_id, b.label, b.fid, round((1.0::DOUBLE / len(t.tokens)) * i.idf, 10) AS value
 FROM bv b JOIN toks t ON b.doc_id = t.doc_id JOIN idf i ON b.fid - 1 = i.fidx""",
 
-    "chi_square": _with(_SQL_DOCS, _SQL_CHI) + "\nSELECT fidx, round(chi2, 6) AS chi2 FROM chi",
+    "chi_square": with_ctes(SQL_DOCS, SQL_CHI) + "\nSELECT fidx, round(chi2, 6) AS chi2 FROM chi",
 
-    "top_features": _with(_SQL_DOCS, _SQL_CHI) + "\nSELECT fidx, new_fidx, round(chi2, 6) AS chi2 FROM top",
+    "top_features": with_ctes(SQL_DOCS, SQL_CHI) + "\nSELECT fidx, new_fidx, round(chi2, 6) AS chi2 FROM top",
 
-    "reindexed_vectors": _with(_SQL_DOCS, _SQL_CHI) + "\nSELECT doc_id, label, fidx, value FROM rv",
+    "reindexed_vectors": with_ctes(SQL_DOCS, SQL_CHI) + "\nSELECT doc_id, label, fidx, value FROM rv",
 
-    "nb_priors": _with(_SQL_DOCS, _SQL_CHI, _SQL_NB) + """
+    "nb_priors": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB) + """
 SELECT label, n_docs, round(pi, 10) AS pi, round(theta_unseen, 10) AS theta_unseen FROM priors""",
 
-    "nb_theta": _with(_SQL_DOCS, _SQL_CHI, _SQL_NB) + "\nSELECT label, fidx, round(theta, 10) AS theta FROM theta",
+    "nb_theta": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB) + "\nSELECT label, fidx, round(theta, 10) AS theta FROM theta",
 
-    "nb_predict": _with(_SQL_DOCS, _SQL_CHI, _SQL_NB) + """
+    "nb_predict": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB) + """
 SELECT doc_id, CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction
 FROM scored WHERE n_entries > 0""",
 
-    "holdout_metrics": _with(_SQL_DOCS, _SQL_CHI, _SQL_NB) + """,
+    "holdout_metrics": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB) + """,
 m AS (
   SELECT count(*) AS total, count(*) FILTER (WHERE n_entries > 0) AS classified,
          count(*) FILTER (WHERE n_entries > 0 AND prediction <> label) AS errors
@@ -657,7 +666,22 @@ SELECT total, classified, errors,
        round(CASE WHEN acc = 0 OR rec = 0 THEN NULL ELSE 2.0::DOUBLE / (1.0::DOUBLE / acc + 1.0::DOUBLE / rec) END, 10) AS f1
 FROM r""",
 
-    "token_dedupe": _with(_SQL_DOCS) + "\nSELECT DISTINCT doc_id, unnest(tokens) AS token FROM toks",
+    "rf_stump": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB, """
+sides AS (
+  SELECT t.new_fidx AS f, d.label, count(e.doc_id) AS hi, count(*) - count(e.doc_id) AS lo
+  FROM top t CROSS JOIN trd d LEFT JOIN tre e ON e.doc_id = d.doc_id AND e.fidx = t.new_fidx
+  GROUP BY t.new_fidx, d.label),
+weights AS (
+  SELECT f, sum(hi) AS n_hi, sum(lo) AS n_lo,
+         sum(hi) - sum(hi * hi)::DOUBLE / greatest(sum(hi), 1) + sum(lo) - sum(lo * lo)::DOUBLE / greatest(sum(lo), 1) AS gini,
+         arg_max(label, hi * 1000 - label) AS high, arg_max(label, lo * 1000 - label) AS low,
+         arg_max(label, (hi + lo) * 1000 - label) AS all_of
+  FROM sides GROUP BY f),
+split1 AS (SELECT * FROM weights WHERE n_hi > 0 AND n_lo > 0 ORDER BY round(gini, 6), f LIMIT 1)""") + """
+SELECT ted.doc_id, CAST(ted.label AS DOUBLE) AS label, CAST(CASE WHEN e.doc_id IS NULL THEN low ELSE high END AS DOUBLE) AS prediction
+FROM ted CROSS JOIN split1 s LEFT JOIN tee e ON e.doc_id = ted.doc_id AND e.fidx = s.f""",
+
+    "token_dedupe": with_ctes(SQL_DOCS) + "\nSELECT DISTINCT doc_id, unnest(tokens) AS token FROM toks",
 
     "key_join": """
 WITH keys AS (SELECT CAST(c_custkey AS VARCHAR) AS key FROM customer
@@ -697,7 +721,7 @@ SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, epoch_ms(date_trunc('day', ts))
        epoch_ms(date_trunc('day', ts) - INTERVAL 7 DAY) AS week_before_ms
 FROM events""",
 
-    "libsvm_text": _with(_SQL_DOCS) + """
+    "libsvm_text": with_ctes(SQL_DOCS) + """
 SELECT d.doc_id, CAST(d.label AS VARCHAR) || ' ' ||
        coalesce(string_agg(CAST(c.fid AS VARCHAR) || ':' || CAST(c.value AS VARCHAR), ' ' ORDER BY c.fid), '') AS line
 FROM alld d LEFT JOIN cv c ON d.doc_id = c.doc_id

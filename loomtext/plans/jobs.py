@@ -44,7 +44,7 @@ def browse_records(lines: DataFrame) -> DataFrame:
                           last_field(v, "tit").alias("tit"), last_field(v, "kw").alias("kw"))
 
 
-def run_labelling(spark: SparkSession, logs: str, rules: DataFrame, labelled_out: str, sample_out: str,
+def run_labelling(spark: SparkSession, logs: str | list[str], rules: DataFrame, labelled_out: str, sample_out: str,
                   first: float = 0.1, second: float = 0.1) -> None:
     """Sample the logs, label by URL rules, keep a second sample, one record per title.
 
@@ -103,9 +103,10 @@ class TrainResult:
 
 def run_training(spark: SparkSession, categories: str, instances: str, out: str, model: str = "nb,rf",
                  num_feats: int = DEFAULT_TOP_K, num_trees: int = DEFAULT_TREES, smoothing: float = DEFAULT_SMOOTHING,
-                 fit_on_all: bool = False, seed: int = 7) -> dict[str, TrainResult]:
+                 fit_on_all: bool = False, seed: int = 7, layout: int = 32) -> dict[str, TrainResult]:
     """M9: category filter, vocabulary, libsvm, chi-square selection, then naive Bayes
-    and / or random forest with holdout metrics; every artefact goes under ``out``."""
+    and / or random forest with holdout metrics; every artefact goes under ``out``. The
+    forest's bootstrap follows the ``layout`` partitions of its training rows."""
     cats = read_category_dictionary(spark, categories)
     lines = reliable_checkpoint(identified_lines(read_lines(spark, instances)), "instance-lines")
     raw = parse_counted_instances(lines).where(F.col("value").isNotNull())
@@ -134,8 +135,7 @@ def run_training(spark: SparkSession, categories: str, instances: str, out: str,
         if name == "nb":
             fitted = fit_naive_bayes(train, smoothing)
         elif name == "rf":
-            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            fitted = fit_random_forest(stable_layout(train, parts), num_trees, DEFAULT_DEPTH, DEFAULT_BINS, seed)
+            fitted = fit_random_forest(stable_layout(train, layout), num_trees, DEFAULT_DEPTH, DEFAULT_BINS, seed)
         else:
             continue
         scored = fitted.transform(test).select("n_entries", "label", "prediction")

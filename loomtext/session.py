@@ -81,7 +81,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for a written stage table."""
     base = checkpoint_dir(spark)
     app = spark.conf.get("spark.app.id", "") or str(os.getpid())  # two drivers may share a folder
-    return os.path.join(base, f"{name}-{app}-{next(_counter)}")
+    path = os.path.join(base, f"{name}-{app}-{next(_counter)}")
+    _written.append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Remove the stage tables written so far by this driver, which no frame in use may
+    still read; the number of paths removed. For the end of a query or job."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _written:
+        at = hadoop(_written.pop())
+        gone += bool(at.getFileSystem(conf).delete(at, True))
+    return gone
 
 
 def _count():
@@ -92,3 +106,4 @@ def _count():
 
 
 _counter = _count()
+_written: list[str] = []

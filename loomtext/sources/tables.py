@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+SCAN_PARTITIONS = "spark.loomtext.scanPartitions"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,16 +17,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when its scan yields fewer partitions than the
-    cluster runs tasks at once (a single large row group, a handful of files), so the
-    CPU-heavy per-row work that follows (tokenising, HTML regexes) uses every core.
-    A large input already has enough splits and is returned unchanged (no shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no JVM context at hand (e.g. a remote session): leave the plan alone
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, key)
+    """``df`` dealt by ``key`` into ``spark.loomtext.scanPartitions`` parts; unset (the
+    default) leaves the scan alone. A setting for small inputs that lie in one row group,
+    whose CPU-heavy rows one task would otherwise work through; a large input has
+    splits enough."""
+    parts = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(parts), key) if parts else df

@@ -6,12 +6,15 @@ Splits of a text scan are sized by ``spark.sql.files.maxPartitionBytes`` (and
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.arrays import explode_rows, posexplode_rows
 from loomtext.functions.text import java_split, java_trim
 from loomtext.operators.classify import parse_rule_lines
+from loomtext.operators.ids import dense_ids
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -36,7 +39,7 @@ def identified_lines(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return copies.select(F.xxhash64("value", "_k").alias(id_col), "value")
 
 
-def read_category_dictionary(spark: SparkSession, path: str) -> DataFrame:
+def read_category_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``id`name`` lines -> ``(name, category_id)``; fields trimmed; for a repeated
     name the later line wins."""
     lines = numbered_lines(read_lines(spark, path))
@@ -47,7 +50,7 @@ def read_category_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("name").agg(F.max_by("category_id", "ln").alias("category_id"))
 
 
-def read_feature_dictionary(spark: SparkSession, path: str) -> DataFrame:
+def read_feature_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """S5 (+F6): ``feature TAB fid`` lines with exactly two fields -> ``(feature, fid)``;
     for a repeated feature the later line wins."""
     lines = numbered_lines(read_lines(spark, path))
@@ -131,21 +134,13 @@ def read_libsvm_vectors(spark: SparkSession, path: str, num_features: int) -> Da
 def read_rule_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rule files ``pattern``tag`` read in the given order -> ``(ord, pattern, tag)``.
 
-    A rule file is configuration (thousands of lines), read whole per file so its line
-    order is exact; ``ord`` numbers the lines from the first file's first on, each file
-    after the lines of those before.
+    ``ord`` numbers the lines, each file's after those of the files before it; files are
+    split and numbered like any other input.
     """
-    frames, before = [], 0
-    for p in paths:
-        whole = spark.read.text(p, wholetext=True)
-        lines = posexplode_rows(whole, F.split(F.col("value"), r"\r?\n"), "ln", "value")
-        lines = lines.select((F.lit(before).cast("long") + F.col("ln")).alias("ord"), "value")
-        frames.append(parse_rule_lines(lines))
-        before += int(lines.count())
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    kept = ("at_file", "ln", "value")
+    frames = [numbered_lines(read_lines(spark, p)).withColumn("at_file", F.lit(i)).select(*kept) for i, p in enumerate(paths)]
+    lines = reduce(DataFrame.unionByName, frames)
+    return parse_rule_lines(dense_ids(lines, [F.col("at_file"), F.col("ln")], id_col="ord", start=0))
 
 
 __all__ = ["read_lines", "read_category_dictionary", "read_feature_dictionary", "read_idf_model",

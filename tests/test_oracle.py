@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from loomtext.plans import catalog, files
 from loomtext.sources.tables import TABLES
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.QUERIES | files.QUERIES  # the training-data operators have tests of their own
+SQL = catalog.ORACLE | files.ORACLE
 FAST = [n for n in SQL if n not in ("nb_predict", "holdout_metrics", "nb_priors", "nb_theta")]
 
 
