@@ -266,9 +266,9 @@ SELECT url, title AS tit, tag, count(*) AS n, 1::BIGINT AS kept FROM best GROUP
     "formatting_job": with_ctes(_LOG_RECS, SQL_RULES, r"""
 tk AS (
   SELECT page_id, TRY_CAST(substr(tag, 1, 4) AS INTEGER) AS label, unnest(list_distinct(list_concat(
-           list_transform(list_filter(string_split(replace(title, ''''', ''), ' '),
+           list_transform(list_filter(string_split(replace(title, '''', ''), ' '),
                                       lambda x: regexp_matches(x, '[^\x00-\x20]')), lambda x: x || '_1'),
-           list_transform(list_filter(string_split(replace(kw, ''''', ''), ' '),
+           list_transform(list_filter(string_split(replace(kw, '''', ''), ' '),
                                       lambda x: regexp_matches(x, '[^\x00-\x20]')), lambda x: x || '_2')))) AS feature
   FROM best),
 fv AS (
