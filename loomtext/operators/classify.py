@@ -6,12 +6,14 @@ whole literal ``pattern + "``" + tag``, then (2) the longest literal, then (3) t
 earliest ``ord``. The ranking depends on the rule alone, so every rule gets one
 ``rank_key`` (smaller is better; pattern and tag break ties) and the best hit is a ``min``.
 
-Plan: the substring test is an equi-join on k-grams. Each distinct URL explodes the
-k-grams of its text (k = shortest pattern), joins the rules on the pattern's first
-k characters (hash join, the rule table broadcast under a checked row bound) and keeps
-rows whose text really contains the pattern. A record containing a pattern contains its
-first k-gram, so no hit is lost. One partial + final aggregate per URL then takes
-``min(rank_key)``, and the labels join the records on the URL; records with no hit
+Plan: the substring test is an equi-join on k-grams. Patterns fall into length classes
+(``GRAM_SIZES``); a pattern of a class with k characters is indexed by one of its own
+k-grams, the one that the fewest patterns contain, so a start that many patterns share
+("www.") indexes none of them, and one short pattern does not shorten the grams of the
+others. Each distinct URL explodes its grams of the classes in use, joins the index and
+keeps rows whose text really contains the pattern. A text that contains a pattern
+contains each of its grams, so no hit is lost. One partial + final aggregate per URL then
+takes ``min(rank_key)``, and the labels join the records on the URL; records with no hit
 disappear (F1). No record column but the URL enters the grams, and no nested-loop join
 is planned.
 """
@@ -27,6 +29,7 @@ from loomtext.session import reliable_checkpoint
 from loomtext.functions.arrays import explode_rows
 
 RULE_SEP = "``"
+GRAM_SIZES = (1, 2, 4, 8)  # a pattern takes the largest that it is long enough for
 
 
 def parse_rule_lines(lines: DataFrame, value: str = "value", ord_col: str = "ord") -> DataFrame:
@@ -56,12 +59,28 @@ def ranked_rules(rules: DataFrame) -> DataFrame:
     return r.withColumn("rank_key", key).withColumn("category", java_trim("tag"))
 
 
-def shortest_pattern(rules: DataFrame) -> int:
-    """The shortest pattern's length in a rule table (1 without rules): one small job."""
-    k, empty = rules.agg(F.min(F.length("pattern")), F.bool_or(F.length("pattern") < 1)).first()
-    if empty:
-        raise ValueError("rule patterns must be non-empty")
-    return int(k or 1)
+def gram_size(length: Column) -> Column:
+    """k of the class of patterns with ``length`` characters (0 for an empty one)."""
+    return F.greatest(*[F.when(length >= k, F.lit(k)).otherwise(F.lit(0)) for k in GRAM_SIZES])
+
+
+def index_rules(rules: DataFrame) -> DataFrame:
+    """The stored index ``(_gram, _pat, _rk, k)`` of a rule table, one row per distinct
+    pattern: its best rule's rank (rules of one pattern hit together) and the k-gram that
+    the fewest patterns contain; of equally rare grams the one nearest the middle."""
+    best = ranked_rules(rules).where("pattern is not null").groupBy(F.col("pattern").alias("_pat")) \
+        .agg(F.min("rank_key").alias("_rk"))
+    best = reliable_checkpoint(best.withColumn("k", gram_size(F.length("_pat"))), "rules")
+    n = F.length("_pat")
+    spots = F.transform(F.sequence(F.lit(1), F.greatest(n - F.col("k") + 1, F.lit(1))), lambda i: F.struct(
+        F.substring("_pat", i, F.col("k")).alias("gram"), F.abs(2 * i + F.col("k") - n - 2).alias("off")))
+    grams = explode_rows(best.withColumn("_spots", spots), F.col("_spots"), "_at", ("_pat",))
+    grams = grams.groupBy("_pat", F.col("_at.gram").alias("_gram")).agg(F.min("_at.off").alias("_off"))
+    held = grams.groupBy(F.col("_gram").alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    rarest = grams.join(held, F.col("_gram") == F.col("_g")).groupBy("_pat").agg(
+        F.min(F.struct("_n", "_off", "_gram")).alias("_best")).select(F.col("_pat").alias("_p"), "_best._gram")
+    return reliable_checkpoint(best.join(rarest, F.col("_pat") == F.col("_p")).select("_gram", "_pat", "_rk", "k"),
+                               "rule-index")
 
 
 def kgrams(text: Column, k: int) -> Column:
@@ -74,8 +93,16 @@ def kgrams(text: Column, k: int) -> Column:
     return F.when(n >= 1, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
-def classify(records: DataFrame, rules: DataFrame, url: str = "url", field_prefix: str = "url=",
-             broadcast_bytes: int = BROADCAST_BYTES, store_rules: bool = False, gram_salts: int = 8) -> DataFrame:
+def url_grams(records: DataFrame, sizes: list[int], url: str = "url", field_prefix: str = "url=") -> DataFrame:
+    """``(_url, _hay, _gram)``: every distinct URL with its distinct grams of the sizes."""
+    urls = records.select(F.col(url).alias("_url")).where(F.col("_url").isNotNull()).distinct()
+    with_hay = urls.select("_url", F.concat(F.lit(field_prefix), F.col("_url")).alias("_hay"))
+    grams = F.concat(*[kgrams(F.col("_hay"), k) for k in sizes])
+    return explode_rows(with_hay, grams, "_gram", keep=("_url", "_hay"))
+
+
+def classify(records: DataFrame, rules: DataFrame | None, url: str = "url", field_prefix: str = "url=",
+             broadcast_bytes: int = BROADCAST_BYTES, gram_salts: int = 8, index: DataFrame | None = None) -> DataFrame:
     """J1 + F1: every column of ``records`` plus ``pattern``, ``tag``, ``category`` of
     the best hit; records with no hit (or no URL) are dropped.
 
@@ -84,29 +111,27 @@ def classify(records: DataFrame, rules: DataFrame, url: str = "url", field_prefi
     partial aggregate, so a hot URL collapses per partition); the join back is an
     equi-join on the URL whose hot keys AQE splits.
 
-    The rule table is read twice (statistics, gram side). ``store_rules=True`` writes it
-    once to the shared checkpoint folder first: worth it when the rule table is itself
-    costly to compute.
+    The rules are indexed and stored once per call; ``index`` (from :func:`index_rules`)
+    lets several calls share one.
     """
-    if store_rules:
-        rules = reliable_checkpoint(rules.select("ord", "pattern", "tag"), "rules")
-    k = shortest_pattern(rules)
-    by_gram = ranked_rules(rules).select(F.substring("pattern", 1, k).alias("_gram"), F.col("pattern").alias("_pat"),
-                                         F.col("rank_key").alias("_rk"))
-    urls = records.select(F.col(url).alias("_url")).where(F.col("_url").isNotNull()).distinct()
-    with_hay = urls.select("_url", F.concat(F.lit(field_prefix), F.col("_url")).alias("_hay"))
-    grams = explode_rows(with_hay, kgrams(F.col("_hay"), k), "_gram", keep=("_url", "_hay"))
-    if fits(rules.select("pattern", "pattern", "tag", "tag"), broadcast_bytes):
+    if index is None:
+        index = index_rules(rules)
+    sizes = sorted(r["k"] for r in index.select("k").distinct().collect())  # at most len(GRAM_SIZES) + 1
+    if 0 in sizes:
+        raise ValueError("rule patterns must be non-empty")
+    by_gram = index.select("_gram", "_pat", "_rk")
+    grams = url_grams(records, sizes or [max(GRAM_SIZES)], url, field_prefix)
+    if fits(index.select("_gram", "_pat", "_rk.*"), broadcast_bytes):
         hits = grams.join(F.broadcast(by_gram), "_gram")
     else:
-        # Shuffled join: most URL grams ("url=h", "http", ...) start no rule and would
-        # pile onto a few join keys. When the distinct rule grams fit the broadcast
-        # bound (rules often share a first gram), drop those URL grams before the
-        # shuffle; a shuffled pre-filter would meet the same hot keys, so none then.
-        starts = by_gram.select("_gram").distinct()
-        if fits(starts, broadcast_bytes):
-            grams = grams.join(F.broadcast(starts), "_gram", "left_semi")
-        # Grams that do start rules can still be hot: salt the URL side and copy each
+        # Shuffled join: most URL grams ("url=http", ...) index no rule and would pile onto
+        # a few join keys. When the distinct index grams fit the broadcast bound, drop
+        # those URL grams before the shuffle; a shuffled pre-filter would meet the same
+        # hot keys, so none then.
+        known = by_gram.select("_gram").distinct()
+        if fits(known, broadcast_bytes):
+            grams = grams.join(F.broadcast(known), "_gram", "left_semi")
+        # Grams that do index rules can still be hot: salt the URL side and copy each
         # rule once per salt, so one gram's rows spread over ``gram_salts`` join
         # partitions (every pair still meets exactly once).
         grams = grams.withColumn("_salt", F.pmod(F.hash("_url"), F.lit(gram_salts)))

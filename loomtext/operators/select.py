@@ -9,7 +9,9 @@ Only non-zero cells are stored. The zero-value cell of label l is ``n_l - S_fl``
 (``S_fl`` = documents of label l with a non-zero value), and summed over labels it
 reduces to ``(2 n_0 - N + sum_l S_fl^2 / n_l) / n_0`` with ``n_0`` documents at zero.
 So every term comes from observed (feature, value, label) groups: no features x labels
-grid is ever built. Counts stay integers until the last step.
+grid is ever built. With O, n_v and S_fl beside each group, a group adds ``O^2 / (n_v n_l)``
+to the first sum and ``O S_fl / n_l`` to the second (the groups of a label add up to
+``S_fl^2 / n_l``), so one exchange of the groups by feature serves both.
 """
 
 from __future__ import annotations
@@ -36,18 +38,15 @@ def chi_square(entries: DataFrame, docs: DataFrame) -> DataFrame:
     n_l = broadcast_if_small(docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")))
     obs = (entries.where(F.col("value") != 0)
            .groupBy("fidx", "value", "label").agg(F.count(F.lit(1)).alias("o")))
-    obs = obs.join(n_l, "label")
-    # Per (feature, value): n_v and sum_l O^2 / n_l; per (feature, label): S_fl.
-    by_value = obs.groupBy("fidx", "value").agg(
-        F.sum("o").alias("n_v"), F.sum(F.col("o") * F.col("o") / F.col("n_l")).alias("q_v"))
-    term1 = by_value.groupBy("fidx").agg(F.sum(F.col("q_v") / F.col("n_v")).alias("t1"))
-    by_label = obs.groupBy("fidx", "label", "n_l").agg(F.sum("o").alias("s_fl"))
-    zero = by_label.groupBy("fidx").agg(
-        F.sum("s_fl").alias("s_f"), F.sum(F.col("s_fl") * F.col("s_fl") / F.col("n_l")).alias("q"))
+    obs = obs.join(n_l, "label").repartition("fidx")  # serves both windows and the sums per feature
+    obs = obs.withColumn("n_v", F.sum("o").over(Window.partitionBy("fidx", "value"))) \
+        .withColumn("s_fl", F.sum("o").over(Window.partitionBy("fidx", "label")))
+    sums = obs.groupBy("fidx").agg(
+        F.sum(F.col("o") * F.col("o") / (F.col("n_v") * F.col("n_l"))).alias("t1"),
+        F.sum(F.col("o") * F.col("s_fl") / F.col("n_l")).alias("q"), F.sum("o").alias("s_f"))
     n0 = F.lit(n_total) - F.col("s_f")
     z = F.when(n0 > 0, (2 * n0 - F.lit(n_total) + F.col("q")) / n0).otherwise(F.lit(0.0))
-    return term1.join(zero, "fidx").select(
-        "fidx", (F.lit(n_total) * (F.col("t1") + z - 1.0)).alias("chi2"))
+    return sums.select("fidx", (F.lit(n_total) * (F.col("t1") + z - 1.0)).alias("chi2"))
 
 
 def top_features(chi: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:

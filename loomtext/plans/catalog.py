@@ -100,7 +100,7 @@ def _selected(spark, sf):
     features."""
     docs, cv = _count_entries(spark, sf, store=True)
     entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
-    alld = docs.select("doc_id", "label")
+    alld = reliable_checkpoint(docs.select("doc_id", "label"), "labels")  # N, label counts and both splits
     top = reliable_checkpoint(top_features(chi_square(entries, alld), TOP_K))
     return alld, entries, top
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loomtext.functions.records import last_field
-from loomtext.operators.classify import classify
-from loomtext.session import reliable_checkpoint
+from loomtext.operators.classify import classify, index_rules
 from loomtext.sources.text import identified_lines
 
 
@@ -26,11 +25,11 @@ def browse_records(lines: DataFrame) -> DataFrame:
                         last_field(v, "tit").alias("tit"), last_field(v, "kw").alias("kw"))
 
 
-def label_batch(batch: DataFrame, rules: DataFrame, batch_id: int) -> DataFrame:
+def label_batch(batch: DataFrame, index: DataFrame, batch_id: int) -> DataFrame:
     """One micro-batch: records are named by (batch, rec_id), rec_id from the line's
-    content, so a retried batch names them alike. The rule table is stored once per
-    stream, not per batch."""
-    labelled = classify(browse_records(identified_lines(batch, "rec_id")), rules)
+    content, so a retried batch names them alike. ``index`` is the rule index, stored once
+    per stream, not per batch."""
+    labelled = classify(browse_records(identified_lines(batch, "rec_id")), None, index=index)
     return labelled.withColumn("batch", F.lit(batch_id))
 
 
@@ -41,10 +40,10 @@ def start_labelling(spark: SparkSession, source_dir: str, rules: DataFrame, out_
     ``checkpoint`` must be a shared folder (it holds the source offsets and commit log).
     """
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)
-    rules = reliable_checkpoint(rules.select("ord", "pattern", "tag"), "stream-rules")
+    index = index_rules(rules)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        labelled = label_batch(batch, rules, batch_id)
+        labelled = label_batch(batch, index, batch_id)
         (labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(out_dir))
 

@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
-from loomtext.operators.classify import classify, ranked_rules, rules_frame
+from loomtext.operators.classify import classify, index_rules, ranked_rules, rules_frame, url_grams
 from loomtext.plans import corpus
 from loomtext.sources.tables import table
 
@@ -107,3 +108,41 @@ def test_no_html_in_the_gram_plan(spark):
     from loomtext.plans.catalog import QUERIES
     plan = QUERIES["category_counts"](spark, SF_ORACLE)._jdf.queryExecution().executedPlan().toString()
     assert "html" not in plan
+
+
+def test_shared_starts_and_one_short_pattern(spark):
+    # 5,000 rules that start alike: candidates stay near the hits, whether or not the
+    # table also holds a pattern of one character
+    many = [(i, f"www.site{i:04d}.example.com", f"{i % 32:04d}") for i in range(5000)]
+    recs = spark.createDataFrame([(i, f"http://www.site{i * 7 % 6000:04d}.example.com/p{i}") for i in range(600)],
+                                 "rec_id long, url string")
+    rules = rules_frame(spark, many)
+    index = index_rules(rules)
+    hits = url_grams(recs, [8]).join(index, "_gram")
+    real = hits.where(F.instr("_hay", F.col("_pat")) > 0).count()
+    assert 0 < real <= hits.count() <= 3 * real
+    short = index_rules(rules.unionByName(rules_frame(spark, [(9000, "~", "0099")])))
+    assert rows_of(short.where("k = 8")) == rows_of(index)
+    fast = {tuple(r) for r in classify(recs, None, index=index).select("rec_id", "category").collect()}
+    assert fast == {tuple(r) for r in naive(recs, rules).collect()}
+
+
+def rows_of(index):
+    return {(r["_gram"], r["_pat"]) for r in index.collect()}
+
+
+def test_every_length_class_equals_naive(spark):
+    rules = rules_frame(spark, [(1, "~", "0001"), (2, "/a", "0002"), (3, ".com", "0003"), (4, "example.", "0004"),
+                                (5, "aaaaaaaaaa", "0005"), (6, "aaa", "0006"), (7, "\u00e9\U0001F600", "0007"), (8, "url=h", "0008")])
+    recs = spark.createDataFrame(list(enumerate(["http://example.com/~x", "f/a", "", "~", "x.example.", "aaaaaaaaaaaa", "baaab",
+                                                 "z\u00e9\U0001F600", "http", None])), "rec_id long, url string")
+    for limit in (1 << 20, 0):
+        got = {tuple(r) for r in classify(recs, rules, broadcast_bytes=limit).select("rec_id", "category").collect()}
+        assert got == {tuple(r) for r in naive(recs, rules).collect()}
+
+
+def test_no_rules_and_empty_pattern(spark):
+    recs = spark.createDataFrame([(1, "http://a.com/")], "rec_id long, url string")
+    assert classify(recs, rules_frame(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        classify(recs, rules_frame(spark, [(1, "", "0001")]))
