@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import java_trim
-from loomtext.operators.sizing import BROADCAST_BYTES, fits
+from loomtext.operators.sizing import BROADCAST_BYTES, fits, row_bytes
 from loomtext.session import reliable_checkpoint
 from loomtext.functions.arrays import explode_rows
 
@@ -116,12 +116,13 @@ def classify(records: DataFrame, rules: DataFrame | None, url: str = "url", fiel
     """
     if index is None:
         index = index_rules(rules)
-    sizes = sorted(r["k"] for r in index.select("k").distinct().collect())  # at most len(GRAM_SIZES) + 1
+    flat = index.select("_gram", "_pat", "_rk.*", "k")
+    sizes, held = flat.agg(F.sort_array(F.collect_set("k")), F.sum(row_bytes(flat))).first()  # len(GRAM_SIZES) + 1 at most
     if 0 in sizes:
         raise ValueError("rule patterns must be non-empty")
     by_gram = index.select("_gram", "_pat", "_rk")
     grams = url_grams(records, sizes or [max(GRAM_SIZES)], url, field_prefix)
-    if fits(index.select("_gram", "_pat", "_rk.*"), broadcast_bytes):
+    if int(held or 0) <= broadcast_bytes:
         hits = grams.join(F.broadcast(by_gram), "_gram")
     else:
         # Shuffled join: most URL grams ("url=http", ...) index no rule and would pile onto

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -19,10 +19,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
 def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when the rows of ``df`` (strings and numbers) take at most ``max_bytes``:
     long strings count by their bytes, so few rows can be too large (one job)."""
-    fixed = _ROW_BYTES + _VALUE_BYTES * len(df.columns)
     named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    size = F.lit(fixed)
-    for f in named.schema.fields:
+    return int(named.agg(F.sum(row_bytes(named))).first()[0] or 0) <= max_bytes
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """The bytes a row of ``df`` (distinct column names) counts for."""
+    size = F.lit(_ROW_BYTES + _VALUE_BYTES * len(df.columns))
+    for f in df.schema.fields:
         if isinstance(f.dataType, StringType):
             size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
-    return int(named.agg(F.sum(size.cast("long"))).first()[0] or 0) <= max_bytes
+    return size.cast("long")
