@@ -39,6 +39,7 @@ from loomtext.sources.tables import spread, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed parameters of the registered queries (reference defaults where it has them).
+PATH_RULES = [o for o, p, _ in corpus.SEED_RULES if not p.startswith(".example.")]
 SAMPLE_FRACTION = 0.1
 TEST_FRACTION = 0.3
 TOP_K = 100
@@ -189,6 +190,22 @@ def q_classify_url(spark, sf):
     return _classified(spark, sf).select("page_id", "url", "pattern", "tag", "category")
 
 
+def q_path_rules(spark, sf):
+    """J1 and F1 under the seed rules that name no whole domain: many pages hit none."""
+    pages = table(spark, sf, "pages")
+    rules = corpus.page_rules(spark, pages).where(F.col("ord").isin(PATH_RULES))
+    return classify(pages.select("page_id", "url"), rules).select("page_id", "pattern", "tag", "category")
+
+
+def q_repeated_fields(spark, sf):
+    """S3 and P1 on lines that name two fields twice: the last wins, field values take the first."""
+    pages = _pages(spark, sf)
+    line = F.concat("line", F.lit("`url="), "title", F.lit("`kw=again"))
+    return pages.select("page_id", line.alias("line")).select(
+        "page_id", last_field(F.col("line"), "url").alias("url"), last_field(F.col("line"), "kw").alias("kw"),
+        field_value(F.col("line"), "url").alias("url_first"))
+
+
 def q_category_counts(spark, sf):
     return _classified(spark, sf).groupBy("category").agg(F.count(F.lit(1)).alias("pages"))
 
@@ -359,6 +376,8 @@ QUERIES: dict[str, Query] = {
     "url_domain_path": q_url_domain_path,
     "site_rollup": q_site_rollup,
     "classify_url": q_classify_url,
+    "path_rules": q_path_rules,
+    "repeated_fields": q_repeated_fields,
     "category_counts": q_category_counts,
     "dedupe_title": q_dedupe_title,
     "hash_sample": q_hash_sample,
@@ -605,6 +624,14 @@ FROM t GROUP BY 1""",
 
     "classify_url": with_ctes(SQL_RECS, SQL_RULES) + "\nSELECT page_id, url, pattern, tag, category FROM best",
 
+    "path_rules": with_ctes(SQL_RECS, SQL_RULES) + f"""
+SELECT page_id, pattern, tag, category
+FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pieces DESC, lit_len DESC, ord, pattern, tag) AS k
+      FROM hits WHERE ord IN ({', '.join(map(str, PATH_RULES))})) WHERE k = 1""",
+
+    "repeated_fields": with_ctes(SQL_RECS) + """
+SELECT page_id, title AS url, 'again' AS kw, url AS url_first FROM recs""",
+
     "category_counts": with_ctes(SQL_RECS, SQL_RULES) + "\nSELECT category, count(*) AS pages FROM best GROUP BY category",
 
     "dedupe_title": with_ctes(SQL_RECS, SQL_RULES) + """

@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 
 QUERIES = entry.queries()
 CHECKED = ["word_count", "classify_url", "dedupe_title", "vocabulary", "tfidf_vectors", "chi_square",
-           "top_features", "libsvm_text", "active_days", "key_join"]
+           "top_features", "libsvm_text", "active_days", "key_join", "path_rules", "reindexed_vectors", "nb_theta", "identity"]
 ALLOWED_BELOW_SINGLE = re.compile(r"HashAggregate\(keys=\[\], functions=\[partial_|dense-ids|FileScan parquet \[name#|_pid|"
                                   r"HashAggregate\(keys=\[_pid")
 
