@@ -5,6 +5,11 @@ stands in the inverted lists of its first ``LISTED`` pivots; two vectors of a li
 share ``SHARED`` or more of their ``DEPTH`` nearest pivots are candidates, and their
 cosine is verified in double precision. A pair is counted in the list of the smallest
 pivot that lists both, so links need no pair table.
+
+Pivots are Gaussian directions drawn without the data, not sampled rows: the inner
+products of two unit vectors with such a direction are normal with their cosine as
+correlation, so whether a pair meets depends on its cosine and the number of pivots
+alone, not on how dense the table is around it.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ from loomtext.llm.search import finite, matrix
 
 COSINE = 0.9
 PIVOTS_PER_ROOT = 4  # pivots per square root of the number of distinct vectors
-MOST_PIVOTS = 16_384  # bound of the sample, and of what each task holds of it
+MOST_PIVOTS = 16_384  # bound of what each task holds of them
+SEED = 42
 DEPTH, LISTED, SHARED = 16, 8, 2
 LIST_BLOCK = 1024  # members of a list that one task compares; longer lists are cut
 
@@ -34,6 +40,13 @@ def units(vectors: pd.Series, width: int) -> np.ndarray:
     return m / np.sqrt((m ** 2).sum(axis=1, keepdims=True))
 
 
+def directions(n: int, width: int, seed: int = SEED) -> np.ndarray:
+    """Pivots for ``n`` distinct vectors. Their lengths stay as drawn: with unit lengths
+    what a pair shares would depend on the width, too."""
+    some = min(MOST_PIVOTS, max(DEPTH, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n))))
+    return np.random.default_rng(seed).normal(size=(some, width))
+
+
 def describe(classes: DataFrame, pivots: np.ndarray, width: int, depth: int = DEPTH) -> DataFrame:
     """``classes`` (id, v, n) with near: the indexes of the nearest pivots, nearest first."""
 
@@ -120,9 +133,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not n:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    some = min(MOST_PIVOTS, max(DEPTH, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n))))
-    sample = classes.select("digest", "v").orderBy("digest").limit(some).toPandas()  # bounded by MOST_PIVOTS
-    described = store(describe(classes.select("id", "v", "n"), units(sample["v"], width), width), "described")
+    described = store(describe(classes.select("id", "v", "n"), directions(n, width), width), "described")
     linked = store(link_lists(described, width, cosine), "vector-links")
     counts = linked.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "_u")
     parts = connected_components(linked.where("v is not null").select("u", "v"))

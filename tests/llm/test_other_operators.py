@@ -98,6 +98,37 @@ def test_embedding_recall_on_given_vectors(spark):
     assert sum(r.n_links for r in got) >= 0.9 * sum(links.values())
 
 
+@pytest.mark.parametrize(("n", "cosine"), [(1500, 0.92), (4000, 0.92), (4000, 0.98)])
+def test_embedding_recall_in_a_hot_cluster(spark, n, cosine):
+    """A third of the rows near one centre, each two of them at about ``cosine``."""
+    rng = np.random.default_rng(n)
+    u, centre = rng.normal(size=(n, 64)), rng.normal(size=64)
+    spread = np.linalg.norm(centre) * np.sqrt((1 / cosine - 1) / 64)
+    u[: n // 3] = centre + spread * u[: n // 3]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(u)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df).collect()}
+    found = np.array([got[i].n_links for i in range(n)])
+    assert (found <= links).all() and found.sum() >= 0.99 * links.sum() > n
+    assert sum(r.kept for r in got.values()) == n - n // 3 + 1
+
+
+def test_embedding_lists_hold_pairs_at_the_bound_in_any_width():
+    """The share of pairs at cosine 0.9 that meet in a list, with the pivots of 60,000 and
+    of at least 16,777,216 distinct vectors."""
+    rng = np.random.default_rng(5)
+    for n, width in [(60_000, 3), (60_000, 64), (1 << 24, 8)]:
+        pivots = embeddings.directions(n, width)
+        u, w = rng.normal(size=(2, 400, width))
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        w -= (w * u).sum(axis=1, keepdims=True) * u
+        v = 0.9 * u + np.sqrt(1 - 0.81) * w / np.linalg.norm(w, axis=1, keepdims=True)
+        a, b = [np.argsort(-x @ pivots.T, axis=1)[:, :embeddings.DEPTH] for x in (u, v)]
+        met = (a[:, :embeddings.LISTED, None] == b[:, None, :embeddings.LISTED]).any(axis=(1, 2))
+        assert (met & ((a[:, :, None] == b[:, None]).sum(axis=(1, 2)) >= embeddings.SHARED)).mean() >= 0.95
+
+
 def test_embedding_tables_without_links(spark):
     assert embeddings.near_duplicates(vectors(spark, ODD)).count() == len(ODD)
     assert embeddings.near_duplicates(vectors(spark, ODD).limit(0)).count() == 0
