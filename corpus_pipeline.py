@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtext.llm import mixing, packing, quality, secrets, simhash
-from loomtext.llm.common import columns_of, store
+from loomtext.llm.common import columns_of, running_offsets, store
+
+SHARE = 1 << 28  # a whole document in the running totals of shares
+RUN_ROWS = 10_000  # documents in one run of a size class, about
 
 
 def _same(a: str, b: str):
@@ -44,13 +47,33 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return secrets.redact(docs)
 
 
+def _times(taken: DataFrame) -> DataFrame:
+    """``taken`` (_id, _source, _taken, _size) with _times: _taken / _size, rounded. Where
+    a source's words then miss its taken words by more than its largest document, the
+    shares are rounded as a running total instead, in the order of quarter-octave size
+    classes (hash order inside), so every length keeps its share to about a document."""
+    some = taken.where("_size > 0")
+    plain = F.round(F.col("_taken") / F.greatest("_size", F.lit(1))).cast("long")
+    off = some.groupBy(F.col("_source").alias("_s")).agg(
+        (F.abs(F.sum(plain * F.col("_size")) - F.sum("_taken")) > F.max("_size")).alias("_off"))
+    some = some.join(off, _same("_source", "_s")).drop("_s")
+    share = F.round(F.col("_taken") * SHARE / F.greatest("_size", F.lit(1))).cast("long")
+    runs = -(-taken.count() // RUN_ROWS) or 1
+    spread = F.floor(4 * F.log2("_size")) * runs + F.pmod(F.xxhash64("_id"), F.lit(runs))
+    placed = running_offsets(some, ["_source"], [F.col("_id")], spread, share, 256 * runs, "_before")
+    up = lambda x: F.shiftright(x + SHARE // 2, SHARE.bit_length() - 1)
+    total = up(F.col("_before") + share) - up(F.col("_before"))
+    placed = placed.withColumn("_times", F.when(F.col("_off"), total).otherwise(plain).cast("int"))
+    return placed.select("_id", "_source", "_times").unionByName(
+        taken.where("_size = 0").select("_id", "_source", F.lit(1).alias("_times")))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, rounded (never to row parts):
-    0 to 3 times. Documents without words stay once."""
-    taken = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
-        F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    times = F.when(F.col("_size") == 0, 1).otherwise(F.round(F.col("_taken") / F.col("_size"))).cast("int")
-    per = taken.withColumn("_times", times).where("_times > 0").drop("_taken", "_size")
+    """Each document as often as the mix takes its words (never row parts), 0 to 3 times,
+    so that a source's words come near the taken ones. Documents without words stay once."""
+    taken = store(mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
+        F.sum("taken").alias("_taken"), F.sum("size").alias("_size")), "mix-taken")
+    per = _times(taken).where("_times > 0")
     met = docs.join(per, _same("doc_id", "_id") & _same("source", "_source"))
     again = met.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_times")))
     return again.select(*[F.col(f"`{c}`") for c in docs.columns])

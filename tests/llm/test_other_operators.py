@@ -186,6 +186,23 @@ def test_pipeline_stages_follow_their_operators(spark, tmp_path):
     assert sorted(map(str, corpus_pipeline.run(spark, sf).collect())) == sorted(map(str, docs.collect()))
 
 
+def test_pipeline_mix_meets_the_words_of_each_source(spark):
+    rng = random.Random(3)
+    sizes = lambda n: [rng.choice([30, 200, 500, 2000]) for _ in range(n)]
+    rows = [(f"s{k:02}", x) for k in range(20) for x in sizes(300 if k == 0 else 30)]
+    docs = spark.createDataFrame([(i, "w " * x, s, x) for i, (s, x) in enumerate(rows)], "doc_id long, text string, source string, x int")
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(docs).collect()}
+    out = [r.doc_id for r in corpus_pipeline.mix(spark, docs, "").collect()]
+    assert max(out.count(i) for i in taken) <= 3
+    for k in range(20):
+        own = [i for i, (s, _) in enumerate(rows) if s == f"s{k:02}"]
+        emitted = sum(out.count(i) * rows[i][1] for i in own)
+        assert abs(emitted - sum(taken[i] for i in own)) <= 2000
+    for x in (30, 200, 500, 2000):  # no length of the hot source is lost
+        own = [i for i, (s, y) in enumerate(rows) if s == "s00" and y == x]
+        assert abs(sum(out.count(i) for i in own) - sum(taken[i] / x for i in own)) <= 1.01
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     rows = [(1, "a b c", "en", "s", 5, 1), (1, "a b c", "en", "s", 5, 1), (2, None, None, None, None, 2), (3, "", "en", None, 0, 3),
             (None, "a b c", "en", "s", 5, 4), (None, "other words here", "en", "s", 5, 4), (4, "x " * 20_000, "en", "t", 1, 5)]
