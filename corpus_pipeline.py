@@ -31,15 +31,19 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, once
-    if its row repeats. A group whose ids are all null keeps its rows."""
-    found = simhash.simhash_components(docs)
-    kept = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    own = docs.join(kept, _same("doc_id", "_id"), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    """One document of each group of near duplicates: the one with the smallest id (of
+    equal ids, the smallest text hash), once if its row repeats. A group whose ids are
+    all null keeps its rows."""
+    # a row is named by id and text, as an id may repeat with another text; null ids come last
+    name = F.struct(F.col("doc_id").isNull().cast("int").alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    found = simhash.simhash_components(docs.select(name.alias("doc_id"), "text"))
+    kept = found.where((F.col("component_id.no_id") == 1) | _same("doc_id", "component_id"))
+    kept = kept.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash")).distinct()
+    own = docs.withColumn("_text", F.xxhash64("text"))
+    own = own.join(kept, _same("doc_id", "_id") & (F.col("_text") == F.col("_hash")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
     once = own.where("doc_id is not null").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return once.unionByName(own.where("doc_id is null"))
+    return once.unionByName(own.where("doc_id is null")).drop("_text")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,6 +186,14 @@ def test_pipeline_stages_follow_their_operators(spark, tmp_path):
     assert sorted(map(str, corpus_pipeline.run(spark, sf).collect())) == sorted(map(str, docs.collect()))
 
 
+def test_pipeline_near_dedup_keeps_other_texts_of_an_id(spark):
+    a, b, c, d = [" ".join(f"{x}{k * k % 97}" for k in range(40)) for x in "abcd"]
+    rows = [(3, a), (5, a), (5, b), (5, b), (None, a), (None, c), (6, d), (None, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (5, b), (None, c), (6, d)], key=str)
+
+
 def test_pipeline_mix_meets_the_words_of_each_source(spark):
     rng = random.Random(3)
     sizes = lambda n: [rng.choice([30, 200, 500, 2000]) for _ in range(n)]
