@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomtext.llm import chat, mixing, search, secrets
+from loomtext.llm import chat, manifest, mixing, search, secrets
 from loomtext.llm.common import WORD
 
 
@@ -124,7 +124,54 @@ def _search() -> str:
     select query_id, rank::int as rank, vec_id, score from r where rank <= {search.K}"""
 
 
+def _manifest() -> str:
+    def h(x: str) -> str:
+        return f"sha256({x})"
+
+    def leaf(more: str = "") -> str:
+        cols = [f"({c}{more if c == 'n_chars' else ''})::varchar" for c in manifest.FIELDS]
+        return h(" || ".join(f"case when {c} is null then '-' else strlen({c}) || ':' || {c} end" for c in cols))
+
+    # CRC-32 of the decimal digits, bit by bit; 3988292384 is its reversed polynomial
+    bits = ("list_reduce(list_concat([xor(a, b)], range(8)), lambda x, k : "
+            "case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)")
+    crc = ("xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), "
+           f"lambda c : ascii(c)::bigint)), lambda a, b : {bits}), 4294967295)")
+
+    def tree(name: str, rows: str) -> str:
+        """The levels of each grp of rows (grp, list), as (grp, level, list)."""
+        one = "coalesce(list[2 * i + 1], '') || coalesce(list[2 * i + 2], '')"
+        return f"""{name} as ({rows} union all
+            select grp, level + 1, list_transform(range((len(list) + 1) // 2), lambda i : {h(one)}) from {name} where len(list) > 1)"""
+
+    def steps(pos: str, levels: str) -> str:
+        """(left, right) of every level that has more than one node."""
+        at = f"({pos} // (1 << l.level)::bigint)"
+        return (f"list_transform(list_filter({levels}, lambda l : len(l.list) > 1), lambda l : struct_pack("
+                f"lft := case when {at} % 2 = 1 then l.list[{at}] else '' end, "
+                f"rgt := case when {at} % 2 = 0 then coalesce(l.list[{at} + 2], '') else '' end))")
+
+    return f"""
+    with recursive d as (select doc_id, lang, {leaf()} as leaf, case when {crc} % {manifest.TAMPER_MOD} = 0
+            then {leaf(' + 1')} else {leaf()} end as start from documents),
+    r as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos from d),
+    l as (select lang, list(leaf order by pos) as list from r group by lang),
+    g as (select lang, list, row_number() over (order by lang nulls first) - 1 as grp from l),
+    {tree('t', 'select grp, 0 as level, list from g')},
+    s as (select grp, list[1] as subroot from t where len(list) = 1),
+    {tree('u', 'select 0 as grp, 0 as level, list(subroot order by grp) as list from s')},
+    tl as (select grp, list(struct_pack(level := level, list := list) order by level) as levels from t group by grp),
+    ul as (select list(struct_pack(level := level, list := list) order by level) as tops, max(list[1]) filter (len(list) = 1) as root from u),
+    p as (select r.*, s.subroot, ul.root, list_concat({steps('r.pos', 'tl.levels')}, {steps('g.grp', 'ul.tops')}) as path
+        from r join g on r.lang is not distinct from g.lang join s on s.grp = g.grp join tl on tl.grp = g.grp, ul),
+    f as (select *, list_reduce(list_concat([struct_pack(lft := start, rgt := '')], path),
+            lambda a, b : struct_pack(lft := {h('b.lft || a.lft || b.rgt')}, rgt := '')).lft as folded_root from p)
+    select doc_id, leaf, subroot, root, {h("coalesce(array_to_string(list_transform(path, lambda x : x.lft || x.rgt), ''), '')")} as proof_sha256,
+        folded_root, folded_root = root as verified from f"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_merkle_manifest": _manifest(),
     "op5_chat_format": _chat(),
     "op9_topk_search": _search(),
     "op2_secret_scan": _secrets(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import chat, embeddings, mixing, oracles, packing, quality, search, secrets, simhash, suffix, tokens
+from loomtext.llm import chat, embeddings, manifest, mixing, oracles, packing, quality, search, secrets, simhash, suffix, tokens
 from loomtext.llm.common import columns_of
 
 
@@ -58,6 +58,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(columns_of(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = columns_of(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    return manifest.merkle_manifest(docs).drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk_search": op9_topk_search,
     "op10_mix_sources": op10_mix_sources,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = oracles.ORACLE
