@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import chat, embeddings, manifest, mixing, oracles, packing, quality, search, secrets, simhash, suffix, tokens
+from loomtext.llm import chat, embeddings, manifest, mixing, oracles, packing, quality, rules, search, secrets, simhash, suffix, tokens
 from loomtext.llm.common import columns_of
 
 
@@ -63,6 +63,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.merkle_manifest(docs).drop("path")
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = columns_of(spark, sf_dir, "documents", "doc_id", "text")
+    return rules.quality_rules(docs, columns_of(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk_search": op9_topk_search,
     "op10_mix_sources": op10_mix_sources,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 ORACLE: dict[str, str] = oracles.ORACLE
