@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import chat, embeddings, manifest, mixing, oracles, packing, quality, rules, search, secrets, simhash, suffix, tokens
+from loomtext.llm import (align, chat, embeddings, manifest, mixing, oracles, packing, quality, rules, search, secrets, simhash,
+                          suffix, tokens)
 from loomtext.llm.common import columns_of
 
 
@@ -68,6 +69,10 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(docs, columns_of(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(columns_of(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_quality_rules": op12_quality_rules,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = oracles.ORACLE
