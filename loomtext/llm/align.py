@@ -30,7 +30,7 @@ from loomtext.llm.common import store
 FOLDER = "/opt/tokenizers"  # the same for every executor is not needed: the driver reads and broadcasts the files
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RANGE_BYTES = 1 << 16  # of a long text's ranges
-SLICE_BYTES = 1 << 20  # of short texts aligned at once
+SLICE_BYTES = 1 << 18  # of short texts aligned at once
 FAN_IN = 16  # fragments that one step of the tree reduction composes
 HOT_PAIRS = 1 << 19  # most frequent pairs that every task holds; the rest are joined by shuffle
 # Fixed value: how the byte-level vocabulary cuts a text into pre-tokens.
@@ -263,9 +263,9 @@ def _align_slice(texts: list[str], tools: Tokenizers) -> tuple:
     return n_a, n_b, n_groups, n_links, sha, np.concatenate([[0], np.cumsum(held)]).astype(np.int32), keys % width, times
 
 
-def _slices(texts: list[str], most: int = SLICE_BYTES) -> Iterator[list[str]]:
+def _slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[list[str]]:
     held, size = [], 0
-    for t in texts:
+    for t in (x.as_py() for x in texts):
         if held and size + len(t) > most:
             yield held
             held, size = [], 0
@@ -286,7 +286,7 @@ def aligned_texts(docs: DataFrame, folder: str = FOLDER, range_bytes: int = RANG
         tools, key = _built(*held.value), TaskContext.get().partitionId() << 34
         for batch in batches:
             at = 0
-            for texts in _slices(batch.column(1).to_pylist()):
+            for texts in _slices(batch.column(1)):
                 *numbers, sha, bounds, pairs, times = _align_slice(texts, tools)
                 keys, key = np.arange(key, key + len(texts)), key + len(texts)
                 yield pa.RecordBatch.from_arrays(
