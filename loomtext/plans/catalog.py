@@ -18,11 +18,12 @@ from loomtext.functions.records import field_value, last_field, record_identity,
 from loomtext.functions.text import suffixed_tokens
 from loomtext.functions.urls import PREFIX_REGEX, canonical_url, domain_parts, domain_path, site_dirs
 from loomtext.operators.activity import active_days
+from loomtext.operators.bayes import Bayes, load_bayes, predict_bayes
 from loomtext.operators.classify import classify
 from loomtext.operators.evaluate import holdout_metrics
+from loomtext.operators.forest import POISSON, VOTE, grow_forest, load_forest, predict_forest
 from loomtext.operators.joins import key_join
-from loomtext.operators.models import fit_naive_bayes, fit_random_forest, nb_tables, predict, stable_layout, \
-    to_vectors
+from loomtext.operators.models import fit_naive_bayes, fit_random_forest, nb_tables, predict, to_vectors
 from loomtext.operators.sampling import hash_sample, one_per_key, split_column, two_stage_sample
 from loomtext.operators.select import chi_square, reindex, top_features
 from loomtext.operators.sites import site_rollup
@@ -32,7 +33,7 @@ from loomtext.operators.vocab import class_count, vocabulary
 from loomtext.operators.weights import doc_frequency, idf
 from loomtext.operators.wordcount import blob_lines, word_count
 from loomtext.plans import corpus
-from loomtext.session import reliable_checkpoint
+from loomtext.session import reliable_checkpoint, scratch_path
 from loomtext.sinks.text import libsvm_lines
 from loomtext.sources.tables import spread, table
 
@@ -45,7 +46,6 @@ TEST_FRACTION = 0.3
 TOP_K = 100
 SMOOTHING = 0.1
 RF_TREES, RF_DEPTH, RF_BINS, RF_SEED = 100, 4, 32, 7
-RF_LAYOUT = 32  # partitions of the training rows: bootstrap draws depend on the layout
 WEEK_DAYS = 7
 DIGITS = 10  # decimals kept for floating results
 CHI_DIGITS = 6
@@ -309,17 +309,39 @@ def q_nb_predict(spark, sf):
     return s.where(F.col("n_entries") > 0).select("doc_id", "label", "prediction")
 
 
+def _nb_tables(spark, sf):
+    """The naive Bayes tables saved and loaded, and the test documents that they label."""
+    train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
+    path = scratch_path(spark, "bayes")
+    Bayes(*nb_tables(train_e, train_docs, n_feat, SMOOTHING)).save(path)
+    return predict_bayes(load_bayes(spark, path), test_e, test_docs)
+
+
+def q_nb_table_predict(spark, sf):
+    """M6, M7, K5: naive Bayes on tables, no vectors."""
+    s = _nb_tables(spark, sf).where(F.col("n_entries") > 0)
+    return s.select("doc_id", *[F.col(c).cast("double").alias(c) for c in ("label", "prediction")])
+
+
+def q_table_metrics(spark, sf):
+    """The holdout metrics of the table form."""
+    m = holdout_metrics(_nb_tables(spark, sf))
+    return m.select("total", "classified", "errors", _r("test_err"), _r("test_acc"), _r("test_rec"), _r("f1"))
+
+
 def q_holdout_metrics(spark, sf):
     m = holdout_metrics(_nb_scored(spark, sf))
     return m.select("total", "classified", "errors", _r("test_err"), _r("test_acc"), _r("test_rec"), _r("f1"))
 
 
 def q_rf_predict(spark, sf):
+    """M5, K5, M7: the forest saved, loaded and asked."""
     train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
-    train = reliable_checkpoint(stable_layout(to_vectors(train_e, train_docs, n_feat), RF_LAYOUT))
-    model = fit_random_forest(train, RF_TREES, RF_DEPTH, RF_BINS, RF_SEED)
-    tv = to_vectors(test_e, test_docs, n_feat).where(F.col("n_entries") > 0)
-    return predict(model, tv)
+    path = scratch_path(spark, "forest")
+    grow_forest(train_e, train_docs, n_feat, RF_TREES, RF_DEPTH, RF_BINS, RF_SEED).save(path)
+    asked = test_docs.join(test_e.select("doc_id"), "doc_id", "left_semi")
+    found = predict_forest(load_forest(spark, path), test_e, asked, RF_TREES, RF_DEPTH)
+    return found.select("doc_id", *[F.col(c).cast("double").alias(c) for c in ("label", "prediction")])
 
 
 def q_rf_stump(spark, sf):
@@ -398,7 +420,9 @@ QUERIES: dict[str, Query] = {
     "nb_priors": q_nb_priors,
     "nb_theta": q_nb_theta,
     "nb_predict": q_nb_predict,
+    "nb_table_predict": q_nb_table_predict,
     "holdout_metrics": q_holdout_metrics,
+    "table_metrics": q_table_metrics,
     "rf_predict": q_rf_predict,
     "rf_stump": q_rf_stump,
     "token_dedupe": q_token_dedupe,
@@ -550,6 +574,58 @@ scored AS (
   FROM ted LEFT JOIN pred ON ted.doc_id = pred.doc_id)"""
 
 
+def _bits(text: str, part: str = "0") -> str:
+    return f"('0x' || substr(md5({text}), 1 + 8 * ({part}), 8))::BIGINT"
+
+
+def _forest(trees: int, depth: int, bins: int, seed: int) -> str:
+    """CTEs of the forest over tre / trd and its answers for ted / tee, a level at a time."""
+    boot = _bits(f"concat_ws(':', 'boot{seed}', t // 4, d.doc_id)", "t % 4")
+    times = " + ".join(f"(b >= {x})::INTEGER" for x in POISSON)
+    feat = _bits(f"concat_ws(':', 'feat{seed}', tree, node, fidx)")
+    out = [f"""
+vb0 AS (SELECT fidx, value, count(*) AS n FROM tre WHERE value <> 0 GROUP BY fidx, value),
+vb AS (SELECT fidx, value, CASE WHEN count(*) OVER (PARTITION BY fidx) < {bins} THEN row_number() OVER (PARTITION BY fidx ORDER BY value)
+              ELSE greatest(1, floor(((sum(n) OVER (PARTITION BY fidx ORDER BY value) - n + (SELECT count(*) FROM trd)
+                   - sum(n) OVER (PARTITION BY fidx)) * {bins})::DOUBLE / (SELECT count(*) FROM trd))) END::INTEGER AS bin FROM vb0),
+be AS (SELECT e.doc_id, e.fidx, v.bin FROM tre e JOIN vb v ON e.fidx = v.fidx AND e.value = v.value),
+take AS (SELECT ceil(sqrt(count(*))) AS k FROM top),
+n0 AS (SELECT doc_id, label, tree, {times} AS times, 1 AS node
+       FROM (SELECT d.doc_id, d.label, t AS tree, {boot} AS b FROM trd d, range({trees}) r(t)) WHERE {times} > 0),
+w0 AS (SELECT doc_id, t AS tree, 1 AS node FROM ted, range({trees}) r(t))"""]
+    for k in range(depth):
+        out.append(f"""
+a{k} AS (SELECT * FROM n{k} WHERE node >= {1 << k}),
+all{k} AS (SELECT tree, node, label, sum(times) AS total FROM a{k} GROUP BY ALL),
+ch{k} AS (SELECT tree, node, fidx FROM (
+    SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY {feat}, fidx) AS k
+    FROM (SELECT DISTINCT tree, node FROM a{k}), (SELECT DISTINCT fidx FROM vb)) WHERE k <= (SELECT k FROM take)),
+ce{k} AS (SELECT a.tree, a.node, b.fidx, b.bin, a.label, sum(a.times) AS times FROM a{k} a JOIN be b ON a.doc_id = b.doc_id
+    JOIN ch{k} c ON c.tree = a.tree AND c.node = a.node AND c.fidx = b.fidx GROUP BY ALL),
+at{k} AS (SELECT DISTINCT tree, node, fidx, bin FROM ce{k} UNION SELECT DISTINCT tree, node, fidx, 0 FROM ce{k}),
+gr{k} AS (SELECT x.*, total, label, coalesce(times, 0) AS times FROM at{k} x JOIN all{k} USING (tree, node)
+    LEFT JOIN ce{k} USING (tree, node, fidx, bin, label)),
+z{k} AS (SELECT * EXCLUDE (times), CASE WHEN bin = 0 THEN total - sum(times) OVER (PARTITION BY tree, node, fidx, label) ELSE times END AS times
+    FROM gr{k}),
+l{k} AS (SELECT *, sum(times) OVER (PARTITION BY tree, node, fidx, label ORDER BY bin) AS lo FROM z{k}),
+sc{k} AS (SELECT tree, node, fidx, bin, sum(lo * lo)::DOUBLE / sum(lo)::DOUBLE + sum((total - lo) * (total - lo))::DOUBLE / sum(total - lo)::DOUBLE AS score,
+        sum(total * total)::DOUBLE / sum(total)::DOUBLE AS whole
+    FROM l{k} GROUP BY tree, node, fidx, bin HAVING sum(lo) > 0 AND sum(total - lo) > 0),
+s{k} AS (SELECT tree, node, fidx, bin, coalesce((SELECT max(value) FROM vb WHERE vb.fidx = q.fidx AND vb.bin = q.bin), 0) AS threshold
+    FROM (SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, fidx, bin) AS r FROM sc{k} WHERE score > whole) q WHERE r = 1),
+n{k + 1} AS (SELECT n.doc_id, n.label, n.tree, n.times,
+        CASE WHEN s.fidx IS NULL THEN n.node ELSE 2 * n.node + (coalesce(b.bin, 0) > s.bin)::INTEGER END AS node
+    FROM n{k} n LEFT JOIN s{k} s ON s.tree = n.tree AND s.node = n.node LEFT JOIN be b ON b.doc_id = n.doc_id AND b.fidx = s.fidx),
+w{k + 1} AS (SELECT n.doc_id, n.tree, CASE WHEN s.fidx IS NULL THEN n.node ELSE 2 * n.node + (coalesce(b.value, 0) > s.threshold)::INTEGER END AS node
+    FROM w{k} n LEFT JOIN s{k} s ON s.tree = n.tree AND s.node = n.node LEFT JOIN tee b ON b.doc_id = n.doc_id AND b.fidx = s.fidx)""")
+    out.append(f"""
+leaf AS (SELECT tree, node, label, round(sum(times)::DOUBLE / sum(sum(times)) OVER (PARTITION BY tree, node) * {VOTE})::BIGINT AS votes
+    FROM n{depth} GROUP BY tree, node, label),
+won AS (SELECT doc_id, label AS prediction, row_number() OVER (PARTITION BY doc_id ORDER BY sum(votes) DESC, label) AS r
+    FROM w{depth} JOIN leaf USING (tree, node) GROUP BY doc_id, label)""")
+    return ",".join(out)
+
+
 def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -693,6 +769,10 @@ SELECT total, classified, errors,
        round(CASE WHEN acc = 0 OR rec = 0 THEN NULL ELSE 2.0::DOUBLE / (1.0::DOUBLE / acc + 1.0::DOUBLE / rec) END, 10) AS f1
 FROM r""",
 
+    "rf_predict": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB, _forest(RF_TREES, RF_DEPTH, RF_BINS, RF_SEED)) + """
+SELECT ted.doc_id, CAST(ted.label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction
+FROM ted JOIN won ON ted.doc_id = won.doc_id AND r = 1 WHERE ted.doc_id IN (SELECT doc_id FROM tee)""",
+
     "rf_stump": with_ctes(SQL_DOCS, SQL_CHI, SQL_NB, """
 sides AS (
   SELECT t.new_fidx AS f, d.label, count(e.doc_id) AS hi, count(*) - count(e.doc_id) AS lo
@@ -754,3 +834,6 @@ SELECT d.doc_id, CAST(d.label AS VARCHAR) || ' ' ||
 FROM alld d LEFT JOIN cv c ON d.doc_id = c.doc_id
 GROUP BY d.doc_id, d.label""",
 }
+
+ORACLE["nb_table_predict"] = ORACLE["nb_predict"]  # the same answers, with and without vectors
+ORACLE["table_metrics"] = ORACLE["holdout_metrics"]
