@@ -21,3 +21,12 @@ def explode_rows(df: DataFrame, array: Column, alias: str, keep=()) -> DataFrame
 def posexplode_rows(df: DataFrame, array: Column, pos: str, alias: str, keep=()) -> DataFrame:
     """``posexplode`` counterpart of :func:`explode_rows`."""
     return df.select(*keep, F.posexplode_outer(array).alias(pos, alias)).where(F.col(pos).isNotNull())
+
+
+def repeat_rows(df: DataFrame, times: str, out: str, step: int = 1 << 16) -> DataFrame:
+    """Each row as often as ``times`` (a positive count) says, numbered 1.. in ``out``: two
+    explodes of at most ``step`` numbers at a time for up to step^2 copies, so a row that
+    stands for a third of a table is never one array of that length."""
+    runs = df.withColumn("_run", F.explode(F.expr(f"sequence(0L, (`{times}` - 1) div {step})")))
+    numbers = F.expr(f"sequence(_run * {step} + 1, least((_run + 1) * {step}, `{times}`))")
+    return runs.withColumn(out, F.explode(numbers)).drop("_run")

@@ -9,8 +9,9 @@ Naive Bayes (multinomial, smoothing s, C classes, F features)::
 Only observed (c, f) pairs are stored; every other pair has ``theta_unseen_c`` =
 ``ln(s) - ln(S_c + F s)``, kept on the class row. These equal ``ml.NaiveBayes``.
 
-Vectors exist only at the ML edge: long entries are grouped per document into a dense
-array of the (selected, hence small) feature space and converted once.
+Vectors exist only at the ML edge: long entries are grouped per document into the indices
+and values of a sparse vector, so a document costs what its entries cost, whatever the
+width of the feature space.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from loomtext.operators.sizing import broadcast_if_small
+from loomtext.session import scratch_path
 
 DEFAULT_SMOOTHING = 0.1
 DEFAULT_TREES, DEFAULT_DEPTH, DEFAULT_BINS = 100, 4, 32
@@ -50,21 +53,26 @@ def nb_tables(entries: DataFrame, docs: DataFrame, num_features: int,
     return priors, theta
 
 
+SPARSE = 0  # how the vector type marks a sparse vector
+
+
 def to_vectors(entries: DataFrame, docs: DataFrame, num_features: int) -> DataFrame:
     """``(doc_id, label double, n_entries, features vector)`` for every document of
-    ``docs``; one shuffle on ``doc_id`` groups the entries of a document."""
-    grouped = entries.groupBy("doc_id").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("fidx").cast("long"), F.col("value").cast("double"))))
-        .alias("_m"))
+    ``docs``, stored (the learners pass over it several times); one shuffle on ``doc_id``
+    groups the entries of a document. The sparse vectors are written as the plain structs
+    that they are and read back under their type, all on the JVM."""
+    pair = F.struct(F.col("fidx").cast("int").alias("i"), F.col("value").cast("double").alias("v"))
+    grouped = entries.groupBy("doc_id").agg(F.sort_array(F.collect_list(pair)).alias("_e"))
     full = docs.select("doc_id", "label").join(grouped, "doc_id", "left")
-    if num_features > 0:
-        dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(num_features - 1).cast("long")),
-                            lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    else:  # sequence(0, -1) would count down; an empty feature space has empty vectors
-        dense = F.array().cast("array<double>")
-    return full.select("doc_id", F.col("label").cast("double").alias("label"),
-                       F.coalesce(F.size("_m"), F.lit(0)).alias("n_entries"),
-                       array_to_vector(dense).alias("features"))
+    held = F.coalesce("_e", F.array().cast("array<struct<i:int,v:double>>"))
+    vector = F.struct(F.lit(SPARSE).cast("tinyint").alias("type"), F.lit(int(num_features)).alias("size"),
+                      F.transform(held, lambda e: e["i"]).alias("indices"), F.transform(held, lambda e: e["v"]).alias("values"))
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "vectors")
+    full.select("doc_id", F.col("label").cast("double").alias("label"), F.size(held).alias("n_entries"),
+                vector.alias("features")).write.parquet(path)
+    kinds = [StructField("doc_id", docs.schema["doc_id"].dataType), StructField("label", DoubleType()),
+             StructField("n_entries", IntegerType()), StructField("features", VectorUDT())]
+    return spark.read.schema(StructType(kinds)).parquet(path)
 
 
 def fit_naive_bayes(vectors: DataFrame, smoothing: float = DEFAULT_SMOOTHING):
@@ -75,21 +83,13 @@ def fit_naive_bayes(vectors: DataFrame, smoothing: float = DEFAULT_SMOOTHING):
 
 def fit_random_forest(vectors: DataFrame, num_trees: int = DEFAULT_TREES, max_depth: int = DEFAULT_DEPTH,
                       max_bins: int = DEFAULT_BINS, seed: int = 7, bootstrap: bool = True, subsets: str = "auto"):
-    """M5: gini random forest, every feature continuous, ``auto`` feature subsets.
-
-    Bootstrap sampling depends on the row order of each partition; callers that need
-    repeatable forests pass input with a fixed layout (see :func:`stable_layout`).
-    """
+    """M5: gini random forest, every feature continuous, ``auto`` feature subsets. ``operators/forest.py`` grows
+    forests that do not depend on the layout of their rows."""
     return RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, impurity="gini",
                                   featureSubsetStrategy=subsets, bootstrap=bootstrap, seed=seed, labelCol="label",
                                   featuresCol="features").fit(vectors)
 
 
-def stable_layout(vectors: DataFrame, partitions: int) -> DataFrame:
-    """Hash-partition by ``doc_id`` and sort inside partitions: same layout every run."""
-    return vectors.repartition(partitions, "doc_id").sortWithinPartitions("doc_id")
-
-
 def predict(model, vectors: DataFrame) -> DataFrame:
     """M7: ``(doc_id, label, prediction)``."""
     return model.transform(vectors).select("doc_id", "label", "prediction")

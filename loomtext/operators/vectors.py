@@ -3,8 +3,8 @@
 A document row keeps its whole token array; per-document work (distinct tokens, term
 counts, token total) is done inside the row with array functions, so no shuffle is
 needed before the vocabulary join. The vocabulary is joined by equality on the token
-(broadcast when its checked size allows), and entries come out as
-``(doc_id, label, fid, value)``.
+(broadcast when its checked size allows; else its most frequent tokens are broadcast and
+the rest is shuffled), and entries come out as ``(doc_id, label, fid, value)``.
 """
 
 from __future__ import annotations
@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.operators.sizing import BROADCAST_BYTES, broadcast_if_small, fits
 from loomtext.functions.arrays import explode_rows
+from loomtext.operators.sizing import BROADCAST_BYTES, fits
+from loomtext.session import reliable_checkpoint
 
-# Vocabularies up to this many rows are broadcast; bigger ones are shuffle-joined.
+HEAVY_TOKENS = 20_000  # most frequent tokens that every task holds of a larger vocabulary
+HEAVY_BYTES = 64  # of a token among them, at most: rows x bytes bound the broadcast
 
 
 def with_term_counts(df: DataFrame, tokens: str, out: str = "term_counts") -> DataFrame:
@@ -42,8 +44,31 @@ def with_term_counts(df: DataFrame, tokens: str, out: str = "term_counts") -> Da
     return s.select(*keep, F.when(n > 0, runs).otherwise(empty).alias(out))
 
 
-def _vocab_side(vocab: DataFrame, limit: int) -> DataFrame:
-    return broadcast_if_small(vocab.select(F.col("feature").alias("token"), "fid"), limit)
+def frequent_tokens(vocab: DataFrame, heavy: int = HEAVY_TOKENS) -> DataFrame:
+    """The ``heavy`` most frequent tokens of a vocabulary (by its counts; without counts by
+    its ids, which count down from the most frequent feature)."""
+    order = F.col("cnt").desc() if "cnt" in vocab.columns else F.col("fid").asc()
+    return vocab.where(F.octet_length("token") <= HEAVY_BYTES).orderBy(order, "token").limit(heavy)
+
+
+def join_vocabulary(rows: DataFrame, vocab: DataFrame, limit: int = BROADCAST_BYTES, heavy: int = HEAVY_TOKENS) -> DataFrame:
+    """``rows`` (token, ...) with the other columns of ``vocab`` (token, fid, ...), rows
+    without a match gone.
+
+    A vocabulary within ``limit`` bytes is broadcast. Of a larger one the most frequent
+    tokens are, so a token that is in every document never moves; only rows of rarer
+    tokens, no key of which is large, are shuffled to the rest."""
+    if fits(vocab, limit):
+        return rows.join(F.broadcast(vocab), "token")
+    top = reliable_checkpoint(frequent_tokens(vocab, heavy), "frequent-tokens")
+    names = F.broadcast(top.select("token"))
+    rare = rows.join(names, "token", "left_anti").join(vocab.join(names, "token", "left_anti").hint("merge"), "token")
+    return rows.join(F.broadcast(top), "token").unionByName(rare)
+
+
+def _named(vocab: DataFrame) -> DataFrame:
+    counts = ["cnt"] if "cnt" in vocab.columns else []
+    return vocab.select(F.col("feature").alias("token"), "fid", *counts)
 
 
 def distinct_tokens(docs: DataFrame, tokens: str = "tokens", keep=("doc_id", "label")) -> DataFrame:
@@ -56,7 +81,7 @@ def binary_vectors(docs: DataFrame, vocab: DataFrame, tokens: str = "tokens",
     """M1 (+A13, J3, F4): ``(doc_id, label, fid, value=1)`` per distinct in-vocabulary
     token; a document with none has no rows."""
     dt = distinct_tokens(docs, tokens)
-    return dt.join(_vocab_side(vocab, limit), "token").select(
+    return join_vocabulary(dt, _named(vocab), limit).select(
         "doc_id", "label", "fid", F.lit(1).cast("int").alias("value"))
 
 
@@ -68,8 +93,8 @@ def count_vectors(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST
     ``one_row_per_feature=True`` states that the input already has one row per
     (document, feature), as :func:`counted_instances` gives, and skips that shuffle.
     """
-    v = _vocab_side(vocab, limit).withColumnRenamed("token", "feature")
-    e = instances.join(v, "feature")
+    rows = instances.select("doc_id", "label", F.col("feature").alias("token"), "value")
+    e = join_vocabulary(rows, _named(vocab), limit)
     if one_row_per_feature:
         return e.select("doc_id", "label", "fid", F.col("value").cast("long").alias("value"))
     return e.groupBy("doc_id", "label", "fid").agg(F.sum("value").cast("long").alias("value"))
@@ -85,48 +110,21 @@ def counted_instances(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
         "doc_id", "label", F.col("tc.token").alias("feature"), F.col("tc.tf").alias("value"), "n_tokens")
 
 
-def binary_from_instances(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """M1 over counted instances (one row per document and feature): value 1."""
-    v = _vocab_side(vocab, limit).withColumnRenamed("token", "feature")
-    return instances.join(v, "feature").select("doc_id", "label", "fid", F.lit(1).cast("int").alias("value"))
-
-
-def tfidf_from_instances(instances: DataFrame, vocab: DataFrame, idf: DataFrame,
-                         limit: int = BROADCAST_BYTES) -> DataFrame:
-    """M2 over counted instances carrying ``n_tokens`` (see :func:`tfidf_vectors`)."""
-    small = fits(vocab, limit)
-    side = vocab.select("feature", "fid")
-    e = instances.join(F.broadcast(side) if small else side, "feature")
-    return _weighted(e.withColumnRenamed("n_tokens", "_t"), idf, limit, vocab, small)
-
-
-def _weighted(e: DataFrame, idf: DataFrame, limit: int, vocab: DataFrame | None = None,
-              vocab_broadcast: bool = False) -> DataFrame:
-    w = idf.select(F.col("fidx"), F.col("idf"))
-    if vocab is not None and vocab_broadcast:
-        # At most one idf row per vocabulary id survives the semi join, so the
-        # vocabulary's checked size bounds this side too: broadcast without counting it.
-        ids = F.broadcast(vocab.select((F.col("fid") - 1).alias("fidx")))
-        w = F.broadcast(w.join(ids, "fidx", "left_semi"))
-    else:
-        w = broadcast_if_small(w, limit)
-    e = e.join(w, e["fid"] - 1 == w["fidx"], "left")
-    val = (F.lit(1.0) / F.col("_t")) * F.col("idf")
-    checked = F.when(F.col("idf").isNotNull(), val).otherwise(
-        F.raise_error(F.concat(F.lit("no idf for feature id "), F.col("fid").cast("string"))))
-    return e.select("doc_id", "label", "fid", checked.cast("double").alias("value"))
-
-
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, idf: DataFrame, tokens: str = "tokens",
                   limit: int = BROADCAST_BYTES) -> DataFrame:
     """M2 + J4: value = ``1/T * idf(fid - 1)``, T = all tokens of the document
     (repeats and out-of-vocabulary ones included); a repeated token counts once.
 
-    A vocabulary id without an idf row fails the query, as a missing model key must.
+    The weights join the vocabulary, one row a feature on both sides, and travel with it:
+    entries meet both in one join. A vocabulary id without an idf row fails the query, as
+    a missing model key must.
     """
     sized = docs.select("doc_id", "label", F.size(F.col(tokens)).alias("_t"), F.col(tokens))
     dt = explode_rows(sized, F.array_distinct(F.col(tokens)), "token", ("doc_id", "label", "_t"))
-    small = fits(vocab, limit)
-    side = vocab.select(F.col("feature").alias("token"), "fid")
-    side = F.broadcast(side) if small else side
-    return _weighted(dt.join(side, "token"), idf, limit, vocab, small)
+    weights = idf.select((F.col("fidx") + 1).alias("fid"), "idf")
+    side = reliable_checkpoint(_named(vocab).join(weights, "fid", "left"), "weighted-vocabulary")
+    e = join_vocabulary(dt, side, limit)
+    val = (F.lit(1.0) / F.col("_t")) * F.col("idf")
+    checked = F.when(F.col("idf").isNotNull(), val).otherwise(
+        F.raise_error(F.concat(F.lit("no idf for feature id "), F.col("fid").cast("string"))))
+    return e.select("doc_id", "label", "fid", checked.cast("double").alias("value"))

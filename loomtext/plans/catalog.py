@@ -117,14 +117,9 @@ def _split_sets(spark, sf):
     return train_docs, train_e, test_docs, test_e, n_feat
 
 
-def _vectors(entries, docs, n_feat):
-    """ML input, materialised: the learners pass over it several times."""
-    return reliable_checkpoint(to_vectors(entries, docs, n_feat))
-
-
 def _nb_scored(spark, sf):
     train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
-    model = fit_naive_bayes(_vectors(train_e, train_docs, n_feat), SMOOTHING)
+    model = fit_naive_bayes(to_vectors(train_e, train_docs, n_feat), SMOOTHING)
     tv = to_vectors(test_e, test_docs, n_feat)
     return model.transform(tv).select("doc_id", "label", "n_entries", "prediction")
 
@@ -348,7 +343,7 @@ def q_rf_stump(spark, sf):
     """M5 where SQL can follow it: one tree of one split on binary vectors, no sampling."""
     train_docs, train_e, test_docs, test_e, n_feat = _split_sets(spark, sf)
     train_e, test_e = [e.withColumn("value", F.lit(1)) for e in (train_e, test_e)]
-    model = fit_random_forest(_vectors(train_e, train_docs, n_feat), 1, 1, RF_BINS, RF_SEED, bootstrap=False, subsets="all")
+    model = fit_random_forest(to_vectors(train_e, train_docs, n_feat), 1, 1, RF_BINS, RF_SEED, bootstrap=False, subsets="all")
     return predict(model, to_vectors(test_e, test_docs, n_feat))
 
 

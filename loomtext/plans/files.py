@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions.records import last_field
 from loomtext.functions.text import suffixed_tokens
+from loomtext.operators.bayes import load_bayes
 from loomtext.operators.classify import classify
 from loomtext.operators.vectors import binary_vectors, count_vectors, counted_instances, distinct_tokens
 from loomtext.operators.vocab import category_dictionary, vocabulary
@@ -90,25 +91,28 @@ def q_libsvm_file(spark, sf):
 
 
 def q_idf_file(spark, sf):
-    """The IDF job over libsvm files in which documents have no entries."""
+    """The IDF job over libsvm files with label-only lines beside the
+    documents' own."""
     docs = _documents(spark, sf)
     vocab = vocabulary(distinct_tokens(docs).withColumnRenamed("token", "feature"))
     path = scratch_path(spark, "idf")
-    some = docs.where("doc_id % 9 <> 0")
-    write_libsvm(binary_vectors(some, vocab), docs, path + "-libsvm")
+    alone = docs.where("doc_id % 9 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), "label")
+    write_libsvm(binary_vectors(docs, vocab), docs.select("doc_id", "label").unionByName(alone), path + "-libsvm")
     jobs.run_idf(spark, path + "-libsvm", path)
     return read_idf_model(spark, path).select("fidx", F.round("idf", 10).alias("idf"))
 
 
 def _instance_file(spark, sf):
-    """Counted instances as lines ``lang feature:count ...``: every ninth document has a
-    label only, every fifth a value that is no number."""
+    """Counted instances as lines ``lang feature:count ...``: every fifth document has also a
+    value that is no number; for every ninth there is a second line, of its label only."""
     docs = corpus.token_docs(spark, sf).where("lang is not null").withColumnRenamed("lang", "label")
-    items = counted_instances(docs).where("doc_id % 9 <> 0").groupBy("doc_id").agg(
+    items = counted_instances(docs).groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.concat_ws(":", "feature", "value"))).alias("items"))
     full = docs.select("doc_id", "label").join(items, "doc_id", "left")
     bad = F.when(F.col("doc_id") % 5 == 0, F.lit("ur:l:x"))
-    return _written(full, "instances", F.concat(F.col("label"), F.lit(" "), F.concat_ws(" ", "items", bad)))
+    alone = table(spark, sf, "documents").where("doc_id % 9 = 0 and lang is not null").select(F.col("lang").alias("line"))
+    lines = full.select(F.concat(F.col("label"), F.lit(" "), F.concat_ws(" ", "items", bad)).alias("line"))
+    return _written(lines.unionByName(alone), "instances", F.col("line"))
 
 
 def q_instances_file(spark, sf):
@@ -123,20 +127,33 @@ def q_instances_file(spark, sf):
     return inst.unionByName(docs.select("label", F.lit("").alias("feature"), "n", zero.alias("total"), zero.alias("bad")))
 
 
-def q_training_job(spark, sf):
-    """The training job on instance files, with a category file that lacks the
-    last language, fitted on all rows; the saved naive Bayes model loaded again."""
+def _training(spark, sf, **options):
+    """The training job on instance files, with a category file that lacks the last
+    language, fitted on all rows; its output folder."""
     docs = table(spark, sf, "documents").select("lang").where("lang is not null")
     out = scratch_path(spark, "training")
     instances = _instance_file(spark, sf)
     kept = docs.where(F.col("lang") < docs.agg(F.max("lang")).scalar())
     cats = _written(category_dictionary(kept, "lang"), "training-categories", F.concat_ws("`", "category_id", "name"))
-    jobs.run_training(spark, cats, instances, out, model="nb", fit_on_all=True)
+    jobs.run_training(spark, cats, instances, out, fit_on_all=True, **options)
+    return out
+
+
+def q_training_job(spark, sf):
+    """The training job with selection, naive Bayes on sparse vectors; the saved
+    model loaded again."""
+    out = _training(spark, sf, model="nb")
     theta = NaiveBayesModel.load(f"{out}/nb_model").theta.toArray()  # classes x selected features
     rows = [(c, f, round(float(x), 8)) for c, row in enumerate(theta) for f, x in enumerate(row)]
     return spark.createDataFrame(rows, "label int, fidx long, theta double")
 
 
+def q_training_all_features(spark, sf):
+    """M9, K5 without selection (num_feats 0): the tables over the whole vocabulary, loaded again."""
+    model = load_bayes(spark, _training(spark, sf, model="nb_table", num_feats=0) + "/nb_table_model")
+    return model.theta.select("label", "fidx", F.round("theta", 8).alias("theta"))
+
+
 def _log_lines(spark, sf):
     """Pages as log lines: every tenth with a URL that holds no rule, every ninth without
     title and keywords, every fourth with its URL field given twice."""
@@ -200,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "idf_file": q_idf_file,
     "instances_file": q_instances_file,
     "training_job": q_training_job,
+    "training_all_features": q_training_all_features,
     "rule_files": q_rule_files,
     "labelling_job": q_labelling_job,
     "formatting_job": q_formatting_job,
@@ -216,9 +234,11 @@ recs AS (
            array_to_string(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1), ' ') END AS kw
   FROM pages)"""
 
-# as the instance lines: every ninth document has a label only
-_INSTANCES = SQL_DOCS.replace("FROM toks) GROUP BY", "FROM toks WHERE doc_id % 9 <> 0) GROUP BY")
-_TRAINING = _INSTANCES.replace("ON d.lang = k.name", "ON d.lang = k.name WHERE d.lang < (SELECT max(lang) FROM documents)")
+# as the lines of the files: for every ninth document another one with its label only
+_WITH_ALONE = SQL_DOCS.replace("alld AS (SELECT doc_id, label FROM toks)", """alld AS (
+  SELECT doc_id, label FROM toks UNION ALL SELECT -1 - doc_id, label FROM toks WHERE doc_id % 9 = 0)""")
+_TRAINING = _WITH_ALONE.replace("ON d.lang = k.name", "ON d.lang = k.name WHERE d.lang < (SELECT max(lang) FROM documents)")
+_NB_ALL = SQL_NB.replace("FROM split WHERE part = 'train'", "FROM split")
 
 ORACLE: dict[str, str] = {
     "file_lines": with_ctes(SQL_LINES) + "\nSELECT line AS value, count(*) AS n FROM lines GROUP BY line",
@@ -242,22 +262,26 @@ FROM cv GROUP BY 1, 2, 3
 UNION ALL
 SELECT CAST(label AS DOUBLE), -1, 0.0, count(*) FROM alld GROUP BY label""",
 
-    "idf_file": with_ctes(SQL_DOCS) + """
+    "idf_file": with_ctes(_WITH_ALONE) + """
 SELECT fid - 1 AS fidx, round(ln((SELECT count(*) FROM alld)::DOUBLE / count(*)), 10) AS idf
-FROM bv WHERE doc_id % 9 <> 0 GROUP BY fid""",
+FROM bv GROUP BY fid""",
 
-    "instances_file": with_ctes(_INSTANCES) + """
+    "instances_file": with_ctes(SQL_DOCS) + """
 SELECT k.name AS label, feature, count(*) AS n, CAST(sum(value) AS BIGINT) AS total, 0::BIGINT AS bad
 FROM terms JOIN dict k ON terms.label = k.category_id GROUP BY 1, 2
 UNION ALL
 SELECT lang, 'ur:l', count(*), 0, count(*) FROM documents WHERE lang IS NOT NULL AND doc_id % 5 = 0 GROUP BY lang
 UNION ALL
-SELECT lang, '', count(*), 0, 0 FROM documents WHERE lang IS NOT NULL GROUP BY lang""",
+SELECT lang, '', count(*) + count(*) FILTER (doc_id % 9 = 0), 0, 0 FROM documents WHERE lang IS NOT NULL GROUP BY lang""",
 
-    "training_job": with_ctes(_TRAINING, SQL_CHI, SQL_NB.replace("FROM split WHERE part = 'train'", "FROM split")) + """
+    "training_job": with_ctes(_TRAINING, SQL_CHI, _NB_ALL) + """
 SELECT p.label, t.new_fidx AS fidx, round(coalesce(h.theta, p.theta_unseen), 8) AS theta
 FROM priors p CROSS JOIN top t LEFT JOIN theta h ON h.label = p.label AND h.fidx = t.new_fidx""",
 
+    "training_all_features": with_ctes(_TRAINING, SQL_CHI, _NB_ALL.replace("FROM rv", "FROM ent").replace(
+        "SELECT count(*)::DOUBLE AS f FROM top", "SELECT max(fidx)::DOUBLE + 1 AS f FROM ent")) + """
+SELECT label, fidx, round(theta, 8) AS theta FROM theta""",
+
     "rule_files": with_ctes(SQL_RECS, SQL_RULES) + "\nSELECT page_id, url, pattern, tag FROM best",
 
     "labelling_job": with_ctes(_LOG_RECS, SQL_RULES) + """

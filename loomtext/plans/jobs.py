@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from loomtext.functions.records import last_field
 from loomtext.functions.text import suffixed_tokens
 from loomtext.operators.classify import classify
+from loomtext.operators.bayes import Bayes, load_bayes, predict_bayes
 from loomtext.operators.evaluate import holdout_metrics
+from loomtext.operators.forest import grow_forest, load_forest, predict_forest
 from loomtext.operators.models import (DEFAULT_BINS, DEFAULT_DEPTH, DEFAULT_SMOOTHING, DEFAULT_TREES,
-                                       fit_naive_bayes, fit_random_forest, save_model, stable_layout, to_vectors)
-from loomtext.operators.sampling import FIRST_SALT, SECOND_SALT, hash_sample, one_per_key, split_column
+                                       fit_naive_bayes, nb_tables, save_model, to_vectors)
+from loomtext.operators.sampling import SECOND_SALT, hash_sample, one_per_key, split_column
 from loomtext.operators.select import DEFAULT_TOP_K, chi_square, reindex, top_features
 from loomtext.operators.vectors import binary_vectors, count_vectors, tfidf_vectors
 from loomtext.operators.vocab import MIN_COUNT, vocabulary, with_category_id
@@ -27,7 +29,8 @@ from loomtext.operators.wordcount import word_count
 from loomtext.session import reliable_checkpoint
 from loomtext.sinks.text import write_dictionary, write_libsvm, write_lines, write_table
 from loomtext.sources.text import (identified_lines, instance_documents, parse_counted_instances, parse_libsvm,
-                                   read_category_dictionary, read_feature_dictionary, read_idf_model, read_lines)
+                                   read_category_dictionary, read_feature_dictionary, read_idf_model, read_lines,
+                                   sampled_lines)
 
 
 def run_word_count(spark: SparkSession, input_path: str, output_path: str) -> None:
@@ -48,11 +51,12 @@ def run_labelling(spark: SparkSession, logs: str | list[str], rules: DataFrame,
                   first: float = 0.1, second: float = 0.1) -> None:
     """Sample the logs, label by URL rules, keep a second sample, one record per title.
 
-    Samples and survivors depend on the lines alone, not on files or splits. The
+    The first sample is a filter on the raw lines; only what it keeps is shuffled for its
+    ids. Samples and survivors depend on the lines alone, not on files or splits. The
     labelled table is written once and the second stage reads it back, so labelling
     runs once.
     """
-    recs = hash_sample(browse_records(read_lines(spark, logs)), "rec_id", first, FIRST_SALT)
+    recs = browse_records(sampled_lines(read_lines(spark, logs), first))
     labelled = classify(recs, rules)
     labelled = labelled.withColumn("labelled", F.concat(F.lit("category="), F.col("tag"), F.lit("`"), F.col("line")))
     write_table(labelled, labelled_out)
@@ -103,10 +107,11 @@ class TrainResult:
 
 def run_training(spark: SparkSession, categories: str, instances: str, out: str, model: str = "nb,rf",
                  num_feats: int = DEFAULT_TOP_K, num_trees: int = DEFAULT_TREES, smoothing: float = DEFAULT_SMOOTHING,
-                 fit_on_all: bool = False, seed: int = 7, layout: int = 32) -> dict[str, TrainResult]:
-    """M9: category filter, vocabulary, libsvm, chi-square selection, then naive Bayes
-    and / or random forest with holdout metrics; every artefact goes under ``out``. The
-    forest's bootstrap follows the ``layout`` partitions of its training rows."""
+                 fit_on_all: bool = False, seed: int = 7) -> dict[str, TrainResult]:
+    """M9: category filter, vocabulary, libsvm, chi-square selection (none for
+    ``num_feats`` <= 0), then the models named by ``model`` with holdout metrics: ``nb``
+    (naive Bayes on sparse vectors), ``nb_table`` (the same on tables), ``rf`` (random
+    forest on tables). Every artefact goes under ``out``; models are asked as loaded."""
     cats = read_category_dictionary(spark, categories)
     lines = reliable_checkpoint(identified_lines(read_lines(spark, instances)), "instance-lines")
     raw = parse_counted_instances(lines).where(F.col("value").isNotNull())
@@ -127,18 +132,25 @@ def run_training(spark: SparkSession, categories: str, instances: str, out: str,
     else:
         largest = entries.agg(F.max("fidx")).first()[0]
         n_feat = 0 if largest is None else int(largest) + 1
-    vec_all = reliable_checkpoint(to_vectors(entries, docs, n_feat), "vectors")
     part = split_column("doc_id", 0.3)
-    train, test = vec_all if fit_on_all else vec_all.where(part == "train"), vec_all.where(part == "test")
+    tests, test_e = docs.where(part == "test"), entries.where(part == "test")
+    train, train_e = (docs, entries) if fit_on_all else (docs.where(part == "train"), entries.where(part == "train"))
     results = {}
     for name in [m for m in model.split(",") if m]:
+        path = f"{out}/{name}_model"
         if name == "nb":
-            fitted = fit_naive_bayes(train, smoothing)
+            fitted = fit_naive_bayes(to_vectors(train_e, train, n_feat), smoothing)
+            save_model(fitted, path)
+            scored = fitted.transform(to_vectors(test_e, tests, n_feat)).select("n_entries", "label", "prediction")
+        elif name == "nb_table":
+            Bayes(*nb_tables(train_e, train, n_feat, smoothing)).save(path)
+            scored = predict_bayes(load_bayes(spark, path), test_e, tests)
         elif name == "rf":
-            fitted = fit_random_forest(stable_layout(train, layout), num_trees, DEFAULT_DEPTH, DEFAULT_BINS, seed)
+            grow_forest(train_e, train, n_feat, num_trees, DEFAULT_DEPTH, DEFAULT_BINS, seed).save(path)
+            sized = test_e.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_entries"))
+            found = predict_forest(load_forest(spark, path), test_e, tests, num_trees, DEFAULT_DEPTH)
+            scored = found.join(sized, "doc_id", "left").withColumn("n_entries", F.coalesce("n_entries", F.lit(0)))
         else:
             continue
-        scored = fitted.transform(test).select("n_entries", "label", "prediction")
         results[name] = TrainResult(n_feat, holdout_metrics(scored).first().asDict())
-        save_model(fitted, f"{out}/{name}_model")
     return results

@@ -11,10 +11,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.functions.arrays import explode_rows, posexplode_rows
+from loomtext.functions.arrays import explode_rows, posexplode_rows, repeat_rows
+from loomtext.functions.hashing import in_sample
 from loomtext.functions.text import java_split, java_trim
 from loomtext.operators.classify import parse_rule_lines
 from loomtext.operators.ids import dense_ids
+from loomtext.operators.sampling import FIRST_SALT
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -33,12 +35,20 @@ def numbered_lines(df: DataFrame) -> DataFrame:
 def identified_lines(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Lines with an id from their content: the hash of the text and its how-manyeth
     copy. The same lines get the same ids whatever the files, splits and task order;
-    equal lines are counted (a partial aggregate) before they are told apart."""
+    equal lines are counted (a partial aggregate) before they are told apart. All lines
+    are shuffled once: where a sample is wanted, take it first (:func:`sampled_lines`)."""
     counted = df.groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
-    copies = counted.select("value", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_k"))
+    copies = repeat_rows(counted, "_n", "_k")
     return copies.select(F.xxhash64("value", "_k").alias(id_col), "value")
 
 
+def sampled_lines(df: DataFrame, fraction: float, salt: str = FIRST_SALT) -> DataFrame:
+    """R1 on raw lines: a narrow filter on the hash of a line's content, so nothing is
+    shuffled for the lines that go. It does not depend on files and splits; equal lines
+    are kept or dropped together."""
+    return df.where(in_sample(F.xxhash64("value"), fraction, salt))
+
+
 def read_category_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``id`name`` lines -> ``(name, category_id)``; fields trimmed; for a repeated
     name the later line wins."""

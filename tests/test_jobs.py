@@ -3,7 +3,7 @@ import tempfile
 
 from loomtext.operators.classify import rules_frame
 from loomtext.plans import jobs
-from loomtext.sources.text import read_lines
+from loomtext.sources.text import read_lines, sampled_lines
 
 
 def _file(text: str) -> str:
@@ -80,3 +80,19 @@ def test_training_keeps_documents_without_features(spark):
     jobs.run_training(spark, cats, _file("\n".join(rows) + "\n"), out, model="nb", num_feats=0)
     assert read_lines(spark, f"{out}/url_inst_fm").count() == 160
     assert sorted(r[0] for r in jobs.read_feature_dictionary(spark, f"{out}/feat_id_map").collect()) == ["le", "the"]
+
+
+def test_the_log_sample_shuffles_nothing(spark):
+    logs = _file("".join(f"url=http://h{i}.org/`tit=t{i}\n" for i in range(2000)))
+    some = sampled_lines(read_lines(spark, logs), 0.1)
+    assert "Exchange" not in some._jdf.queryExecution().executedPlan().toString()
+    kept = {r[0] for r in some.collect()}
+    assert 120 < len(kept) < 280 and kept == {r[0] for r in sampled_lines(read_lines(spark, logs).repartition(9), 0.1).collect()}
+
+
+def test_training_with_every_model(spark):
+    cats = _file("0`en\n1`fr\n")
+    rows = [("en the:2 and:1" if i % 2 else "fr le:1 et:2") + f" w{i % 3}:1" for i in range(150)] + ["fr"]
+    out = tempfile.mkdtemp(prefix="loomtext-models-")
+    res = jobs.run_training(spark, cats, _file("\n".join(rows) + "\n"), out, model="nb,nb_table,rf", num_feats=0, num_trees=5)
+    assert all(r.metrics["test_acc"] == 1.0 and r.num_features == 7 for r in res.values()) and len(res) == 3

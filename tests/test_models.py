@@ -5,6 +5,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
+from loomtext.operators.bayes import Bayes, load_bayes, predict_bayes
 from loomtext.operators.evaluate import holdout_metrics
 from loomtext.operators.models import fit_naive_bayes, nb_tables, to_vectors
 from loomtext.operators.select import chi_square, reindex, top_features
@@ -75,3 +76,23 @@ def test_metrics_golden(spark):
     assert (r["total"], r["classified"], r["errors"]) == (10, 8, 2)
     assert r["test_err"] == pytest.approx(0.25) and r["test_acc"] == pytest.approx(0.75)
     assert r["test_rec"] == pytest.approx(0.6) and r["f1"] == pytest.approx(0.666667, abs=1e-6)
+
+
+def test_sparse_vectors_and_bayes_on_tables(spark, tmp_path):
+    """A feature space of a million: vectors cost their entries; tables give the learner's answers."""
+    width = 1_000_000
+    data = [(d, d % 3, (d * 7919 + 31 * k * (d % 3 + 1)) % 40 * 20_000 + d % 3, 1 + k) for d in range(90) for k in range(4)]
+    entries = spark.createDataFrame(data, "doc_id long, label int, fidx long, value long").groupBy("doc_id", "label", "fidx") \
+        .agg(F.sum("value").alias("value"))
+    docs = entries.select("doc_id", "label").distinct().unionByName(spark.createDataFrame([(900, 1)], "doc_id long, label int"))
+    vectors = to_vectors(entries, docs, width)
+    got = {r.doc_id: r for r in vectors.collect()}
+    for r in entries.collect():
+        assert got[r.doc_id].features[r.fidx] == r.value
+    assert got[900].n_entries == 0 and got[900].features.numNonzeros() == 0
+    assert all(r.features.size == width and len(r.features.indices) == r.n_entries for r in got.values())
+    Bayes(*nb_tables(entries, docs, width)).save(str(tmp_path / "nb"))
+    ours = predict_bayes(load_bayes(spark, str(tmp_path / "nb")), entries, docs)
+    theirs = fit_naive_bayes(vectors).transform(vectors)
+    assert {r.doc_id: (r.n_entries, r.prediction) for r in ours.collect()} == \
+        {r.doc_id: (r.n_entries, int(r.prediction)) for r in theirs.collect()}

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from loomtext.functions.text import suffixed_tokens
 from loomtext.operators.ids import dense_ids
-from loomtext.operators.vectors import binary_vectors, counted_instances, tfidf_vectors, with_term_counts
+from loomtext.operators import vectors
+from loomtext.operators.vectors import (binary_vectors, count_vectors, counted_instances, distinct_tokens, frequent_tokens,
+                                        join_vocabulary, tfidf_vectors, with_term_counts)
 from loomtext.operators.vocab import vocabulary
 from loomtext.operators.weights import idf
 from loomtext.sinks.text import libsvm_lines
@@ -65,15 +67,43 @@ def test_counted_instances(spark):
     assert rows(counted_instances(docs)) == [(1, 0, "x", 2, 3), (1, 0, "y", 1, 3)]
 
 
-def test_instance_paths_equal_token_paths(spark):
-    from loomtext.operators.vectors import binary_from_instances, tfidf_from_instances
-    docs = spark.createDataFrame([(1, 0, ["a", "b", "a", "z"]), (2, 1, ["b", "c"])],
-                                 "doc_id long, label int, tokens array<string>")
-    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "feature string, fid long")
-    w = spark.createDataFrame([(0, 1, 0.5), (1, 2, 0.25), (2, 1, 1.5)], "fidx long, df long, idf double")
+def _hot_corpus(spark):
+    """Every document holds "the"; the other tokens are in a few."""
+    data = [(d, d % 2, ["the", "the", f"t{d % 60}", f"u{d % 7}", f"rare{d}"]) for d in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, label int, tokens array<string>")
+    vocab = vocabulary(distinct_tokens(docs).withColumnRenamed("token", "feature"), 2)
+    return docs, vocab
+
+
+def test_heavy_light_join_gives_the_rows_of_the_broadcast_one(spark, monkeypatch):
+    docs, vocab = _hot_corpus(spark)
     inst = counted_instances(docs)
-    assert rows(binary_from_instances(inst, vocab)) == rows(binary_vectors(docs, vocab))
-    a = {(r[0], r[2]): r[3] for r in tfidf_from_instances(inst, vocab, w).collect()}
-    b = {(r[0], r[2]): r[3] for r in tfidf_vectors(docs, vocab, w).collect()}
-    assert a.keys() == b.keys() and all(math.isclose(a[k], b[k]) for k in a)
-    assert math.isclose(a[(1, 1)], 0.5 / 4)
+    w = vocab.select((F.col("fid") - 1).alias("fidx"), (F.lit(1.0) / F.col("cnt")).alias("idf"))
+    builders = [lambda n: binary_vectors(docs, vocab, limit=n), lambda n: tfidf_vectors(docs, vocab, w, limit=n),
+                lambda n: count_vectors(inst, vocab, limit=n), lambda n: count_vectors(inst, vocab, limit=n, one_row_per_feature=True),
+                lambda n: binary_vectors(docs, vocab.drop("cnt"), limit=n)]
+    for build in builders:
+        whole = rows(build(1 << 30))
+        for heavy in (1, 20, 20_000):
+            monkeypatch.setattr(join_vocabulary, "__defaults__", (vectors.BROADCAST_BYTES, heavy))
+            assert rows(build(0)) == whole
+
+
+def test_frequent_tokens_are_never_shuffled(spark):
+    docs, vocab = _hot_corpus(spark)
+    top = frequent_tokens(vocab.withColumnRenamed("feature", "token"), 8)
+    names = {r.token for r in top.collect()}
+    assert "the" in names and len(names) == 8
+    tokens = distinct_tokens(docs)
+    rare = tokens.join(top.select("token"), "token", "left_anti").repartition(8, "token")
+    sizes = sorted(r["n"] for r in rare.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+    assert sizes[-1] <= 4 * sizes[len(sizes) // 2]  # with "the" one partition would hold 400 rows more
+    plan = join_vocabulary(tokens, vocab.withColumnRenamed("feature", "token"), 0, 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "left_anti" in plan.lower().replace("leftanti", "left_anti")
+
+
+def test_a_missing_weight_fails(spark):
+    docs, vocab = _hot_corpus(spark)
+    w = vocab.where("fid > 1").select((F.col("fid") - 1).alias("fidx"), F.lit(1.0).alias("idf"))
+    with pytest.raises(Exception, match="no idf for feature id 1"):
+        tfidf_vectors(docs, vocab, w).collect()
