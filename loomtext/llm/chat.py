@@ -72,10 +72,18 @@ def read_turns(formatted: Column) -> Column:
 
 
 def digest(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """What the formatted conversations say when read back, as counts and digests."""
+    """What the formatted conversations say when read back, as counts and digests. The loss
+    text is what stands under the mask, piece by piece, whatever role it was said in."""
     back = formatted.select("*", read_turns(F.col("formatted")).alias("back"))
     said = F.array_join(F.transform("back", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("back", lambda x: x["role"] == LOSS_ROLE), lambda x: x["text"]), "")
+    start = F.struct(F.lit(1).cast("long").alias("at"), F.array().cast("array<string>").alias("under"))
+
+    def further(a: Column, r: Column) -> Column:
+        piece = F.col("formatted").substr(a["at"].cast("int"), r["chars"].cast("int"))
+        return F.struct((a["at"] + r["chars"]).alias("at"), F.when(r["loss"], F.concat(a["under"], F.array(piece)))
+                        .otherwise(a["under"]).alias("under"))
+
+    loss = F.array_join(F.transform(F.aggregate("loss_runs", start, further)["under"], unescaped), "")
     masked = F.aggregate(F.filter("loss_runs", lambda r: r["loss"]), F.lit(0).cast("long"), lambda a, r: a + r["chars"])
     return back.select(id_col, F.size("back").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),

@@ -1,11 +1,12 @@
 """Mixing sources to target weights.
 
 Every source's documents, in a hash order, form one token stream cut into blocks of
-``block_words``. The mix has as many slots as the targets need. Its output shards draw
-their sources without replacement from all slots (a multinomial draw conditioned on the
-sources' totals, so the targets are met whatever the draw), and a slot's rank within its
-source is mapped through a pseudorandom permutation of that source's block indexes,
-one per pass; blocks join the slots by (source, block). DataFrame expressions only.
+``block_words``. The mix has as many slots as the targets need. Each slot draws its output
+shard by a hash, independently of all others, so the shards' counts of every source are
+multinomial draws that add up to the source's slots, and the targets are met whatever the
+draw. A slot's rank within its source is mapped through a pseudorandom permutation of that
+source's block indexes, one per pass; blocks join the slots by (source, block). DataFrame
+expressions only.
 """
 
 from __future__ import annotations
@@ -13,27 +14,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtext.functions.arrays import repeat_rows
 from loomtext.llm.common import WORD, running_offsets, store
 
 BLOCK_WORDS = 128
-SHARD_SLOTS = 1024
+SHARD_SLOTS = 1024  # slots of a shard, on average
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = 17
-ROUNDS = 6
+ROUNDS = 12
 BUCKET_ROWS = 500
-# Fixed values of the round function: a Mersenne prime and two multipliers.
-PRIME, FIRST, SECOND = 2147483647, 48271, 69621
+NUMBER = "CAST(conv({}, 16, 10) AS BIGINT)"  # Spark's number from hex digits
 
 
-def permute_round(x: str, n: str, salt: str, r: str) -> str:
-    """SQL (Spark and DuckDB alike) of one swap-or-not round on 0 <= x < n: x and its
-    mirror image under the round's key change places if a hash of the larger of the two
-    says so. Any number of rounds is a permutation of 0..n-1."""
-    key = f"((CAST({salt} AS BIGINT) + {r} * 1299709 + 1) % {PRIME} * {FIRST} % {PRIME})"
-    mirror = f"(({key} % {n} + {n} - {x}) % {n})"
-    hashed = f"((greatest({x}, {mirror}) % {PRIME} * {FIRST} + {key}) % {PRIME} * {SECOND} % {PRIME})"
-    return f"CASE WHEN {hashed} % 131072 >= 65536 THEN {mirror} ELSE {x} END"
+def permute_round(x: str, n: str, salt: str, r: str, number: str = NUMBER) -> str:
+    """SQL (for any engine with its ``number`` from hex digits) of one swap-or-not round on
+    0 <= x < n: x and its mirror image under the round's key change places if a hash of
+    the larger of the two says so. Any number of rounds is a permutation of 0..n-1. Keys
+    have 60 bits, so they reach every place of any n up to there."""
+    named = lambda *parts: ", ".join(f"CAST({c} AS STRING)" for c in parts)
+    key = "(" + number.format(f"substr(md5(concat_ws(':', 'key', {named(salt, r)})), 1, 15)") + f" % {n})"
+    mirror = f"(({key} - {x} + {n}) % {n})"
+    hashed = f"md5(concat_ws(':', {named(salt, r, f'greatest({x}, {mirror})')}))"
+    return f"CASE WHEN substr({hashed}, 1, 1) < '8' THEN {mirror} ELSE {x} END"
 
 
 def permuted(x: str, n: str, salt: str, rounds: int = ROUNDS) -> str:
@@ -73,25 +76,28 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: fl
 
 def plan_sources(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """source_targets plus blocks, full_blocks, passes (whole ones), rest (words of the
-    last, partial pass), slots and base (slots of the sources before)."""
+    last, partial pass) and slots."""
     t = source_targets(sized).withColumn("goal", F.floor(F.col("target") + 1e-9))
-    t = t.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("goal") / F.col("source_size"))).otherwise(0)) \
+    return t.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("goal") / F.col("source_size"))).otherwise(0)) \
         .withColumn("rest", F.col("goal") - F.col("passes") * F.col("source_size")) \
         .withColumn("blocks", F.ceil(F.col("source_size") / block_words)) \
         .withColumn("full_blocks", F.floor(F.col("source_size") / block_words)) \
         .withColumn("slots", F.col("passes") * F.col("blocks") + F.ceil(F.col("rest") / block_words))
-    ahead = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    return t.withColumn("base", F.coalesce(F.sum("slots").over(ahead), F.lit(0)))
+
+
+def shard_draw(seed: int) -> str:
+    """SQL of 60 random bits of the slot ``nth`` of the source ``rank``: the MD5 of both."""
+    return f"substr(md5(concat_ws(':', '{seed}', CAST(rank AS STRING), CAST(nth AS STRING))), 1, 15)"
 
 
 def draw_slots(plan: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS,
                shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """One row per slot: shard, place (in the shard), rank (of the source), block, words
-    (how many of the block's words the slot takes, from its start)."""
+    """One row per slot: shard, draw (its order in the shard), rank (of the source), block,
+    words (how many of the block's words the slot takes, from its start)."""
     spark = plan.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = int(plan.agg(F.sum("slots")).first()[0] or 0)
-    some = plan.where("slots > 0").select("rank", "blocks", "full_blocks", "passes", "rest", "slots", "base")
+    some = plan.where("slots > 0").select("rank", "blocks", "full_blocks", "passes", "rest", "slots")
     step = 1024  # two levels of bounded arrays; runs of slots are dealt out before the last
     runs = some.select("*", F.explode(F.expr(f"sequence(0, (slots - 1) div {step * step})")).alias("hi"))
     runs = runs.select("*", F.explode(F.expr(
@@ -107,9 +113,10 @@ def draw_slots(plan: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS
     slots = slots.withColumn("block", F.expr(f"CASE WHEN at < full_blocks THEN {image} ELSE at END"))
     left = F.when(F.expr("pass < passes"), F.lit(block_words)).otherwise(F.expr(f"rest - at * {block_words}"))
     slots = slots.withColumn("words", F.least(left, F.lit(block_words)).cast("long"))
-    slots = slots.withColumn("spot", F.expr(permuted("(base + nth)", str(max(1, total)), str(seed))))
-    return slots.select(F.expr(f"spot div {shard_slots}").alias("shard"), F.expr(f"spot % {shard_slots}").alias("place"),
-                        "rank", "block", "words")
+    shards = max(1, -(-total // shard_slots))
+    draw = F.conv(F.expr(shard_draw(seed)), 16, 10).cast("long")
+    return slots.withColumn("draw", draw).select(F.expr(f"draw % {shards}").alias("shard"), F.expr(f"draw div {shards}").alias("draw"),
+                                                 "rank", "block", "words")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -145,5 +152,5 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
         F.coalesce(F.sum("got"), F.lit(0)).alias("taken"),
         F.coalesce(F.min(F.when(F.col("got") > 0, F.col("shard"))), F.lit(-1)).alias("first_shard"),
         F.sum(F.when(F.col("size") == 0, 1).otherwise(0)).alias("rows"))
-    out = out.withColumn("_", F.explode(F.expr("sequence(1, greatest(rows, 1))")))
+    out = repeat_rows(out.withColumn("rows", F.greatest("rows", F.lit(1).cast("long"))), "rows", "nth")
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "first_shard", "source")

@@ -24,7 +24,7 @@ def _secrets() -> str:
     per = ", ".join(f"count(*) filter (kind = {i}) as n_{k}" for i, k in enumerate(secrets.BASE))
     names = "[" + ", ".join(f"'{k}'" for k, _, _ in secrets.KINDS) + "]"
     return f"""
-    with d as (select doc_id as id, coalesce(text, '') as text, coalesce(source, '?null') as owner,
+    with d as (select row_number() over () as id, doc_id, coalesce(text, '') as text, coalesce(source, '?null') as owner,
             concat_ws('/', source, lang) as repo from documents),
     m as ({" union all ".join(parts)}),
     p as (select *, sum(length(gap) + length(hit)) over (partition by id, kind order by nth) as stop from m),
@@ -40,13 +40,13 @@ def _secrets() -> str:
             string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' order by start, kind) filter (kind < {base}) as base,
             string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' order by start, kind) as spans
         from k group by id)
-    select id as doc_id, {counts}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+    select doc_id, {counts}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
         coalesce(n_live, 0)::bigint as n_live, coalesce(n_copied, 0)::bigint as n_copied from d left join a using (id)"""
 
 
 def _permuted(x: str, n: str, salt: str) -> str:
     """The permutation of mixing.permute_round as a fold over the round numbers."""
-    one = mixing.permute_round("x", f"({n})::bigint", salt, "r")
+    one = mixing.permute_round("x", f"({n})::bigint", salt, "r", "('0x' || {})::bigint")
     steps = ", ".join(map(str, range(mixing.ROUNDS)))
     return f"list_reduce([({x})::bigint, {steps}], lambda x, r : {one})"
 
@@ -72,13 +72,12 @@ def _mix() -> str:
         ceil(source_size / {n})::bigint as blocks, source_size // {n} as full_blocks from h),
     q as (select *, goal - passes * source_size as rest from p),
     s as (select *, passes * blocks + ceil(rest / {n})::bigint as slots from q),
-    s2 as (select *, (coalesce(sum(slots) over (order by rank rows between unbounded preceding and 1 preceding), 0))::bigint
-        as base, (sum(slots) over ())::bigint as total from s),
+    s2 as (select *, greatest(1, ceil(sum(slots) over () / {mixing.SHARD_SLOTS}))::bigint as shards from s),
     e as (select *, unnest(range(slots)) as nth from s2),
     e2 as (select *, nth // blocks as pass, nth % blocks as pos, greatest(full_blocks, 1) as n from e),
     e3 as (select rank, case when pos < full_blocks then {_permuted('pos', 'n', salt)} else pos end as block,
         least({n}, case when pass < passes then {n} else rest - pos * {n} end) as words,
-        {_permuted('base + nth', 'total', str(mixing.SEED))} // {mixing.SHARD_SLOTS} as shard from e2),
+        ('0x' || {mixing.shard_draw(mixing.SEED)})::bigint % shards as shard from e2),
     b as (select greatest(1, ceil(count(*) / {mixing.BUCKET_ROWS})::bigint) as buckets from d),
     f as (select d.*, rank, source_size, target, (coalesce(sum(size) over (partition by rank order by h % buckets, doc_id, size
         rows between unbounded preceding and 1 preceding), 0))::bigint as start
@@ -115,12 +114,12 @@ def _chat() -> str:
 
 def _search() -> str:
     return f"""
-    with v as (select distinct vec_id, list_transform(embedding, lambda x : floor({search.SCALE} * x::double)::bigint) as e
+    with v as (select row_number() over () as n, vec_id, list_transform(embedding, lambda x : floor({search.SCALE} * x::double)::bigint) as e
         from embeddings where vec_id is not null and embedding is not null
             and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0),
-    s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.e::double[], c.e::double[])::bigint as score
-        from v q join v c on q.vec_id % {search.QUERY_MOD} = 0 and q.vec_id <> c.vec_id),
-    r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+    s as (select q.n as q, q.vec_id as query_id, c.vec_id, list_dot_product(q.e::double[], c.e::double[])::bigint as score
+        from v q join v c on q.vec_id % {search.QUERY_MOD} = 0 and q.n <> c.n),
+    r as (select *, row_number() over (partition by q order by score desc, vec_id) as rank from s)
     select query_id, rank::int as rank, vec_id, score from r where rank <= {search.K}"""
 
 

@@ -48,7 +48,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.remove_repeats(columns_of(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
+    """With n_kept and kept_text, what remains (cut characters become U+FFFD)."""
+    out = suffix.remove_repeats(columns_of(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.withColumn("n_kept", F.octet_length("kept").cast("long")) \
+        .withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

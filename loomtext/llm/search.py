@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtext.functions.arrays import repeat_rows
 from loomtext.llm.common import store
 
 K = 10
@@ -85,14 +86,17 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     Queries are the rows whose id is divisible by 100, or for which ``query`` holds.
     Vectors that are null or hold null or non-finite components, and rows with a null
     id, take no part; an empty vector scores 0; of vectors of different lengths the
-    shorter counts as padded with zeros. Rows that repeat an id and a vector count once;
-    an id with several vectors has a row, and a query, for each. Scores beyond 64 bits
+    shorter counts as padded with zeros. Rows that repeat an id, with the same vector or
+    another, are rows and queries of their own: each finds the others. Scores beyond 64 bits
     stop at their ends. Ties go to the smaller id; an empty table gives no rows; other
     columns are ignored.
     """
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.where(finite(v) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
-    rows = rows.withColumn("copy", F.xxhash64("v")).dropDuplicates(["id", "copy"])
+    # equal rows are counted, then told apart by a number
+    rows = rows.groupBy("id", F.xxhash64("v").alias("copy")).agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("times"))
+    rows = repeat_rows(rows, "times", "nth").withColumn("copy", F.when(F.col("nth") == 1, F.col("copy")).otherwise(
+        F.xxhash64("copy", "nth"))).select("id", "copy", "v")
     asks = (F.col("id") % QUERY_MOD == 0) if query is None else query
     rows = store(rows.withColumn("asks", asks), "search-rows")
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1))).first()

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtext.llm.common import store
+
 # The patterns that base spans must follow. Group 2 of a match is the
 # value; the last number is its least length.
 ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
@@ -39,36 +41,41 @@ def _matches(text: Column, kind: int, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.filter(entry, lambda x: x["size"] > 0)).otherwise(none)
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, copy, kind, start, end, value, value_hash): every match that is long enough,
-    in code points, end exclusive. copy is the text's hash: rows with one id and one
-    text count once."""
-    text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+def named_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None,
+               owner: Column | None = None) -> DataFrame:
+    """(row, id, text, owner, repo, copy): row is the whole input row. copy is a hash of
+    text, owner and repository, so rows that share an id (or have none) keep their own
+    owners. A null repository or owner counts as one of its own."""
+    owner = F.coalesce((F.col("source") if owner is None else owner).cast("string"), F.lit("\0null"))
+    repo = F.coalesce((F.concat_ws("/", "source", "lang") if repo is None else repo).cast("string"), F.lit("\0null"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), text.alias("text"), owner.alias("owner"), repo.alias("repo"))
+    return rows.withColumn("copy", F.xxhash64("text", "owner", "repo"))
+
+
+def find_spans(rows: DataFrame) -> DataFrame:
+    """(id, copy, owner, repo, kind, start, end, value, value_hash) of :func:`named_rows`:
+    every match that is long enough, in code points, end exclusive. Rows that agree in id,
+    text, owner and repository count once."""
+    text, named = F.col("text"), ["id", "copy", "owner", "repo"]
     some = rows.where(text.rlike("|".join(p for _, p, _ in KINDS)))
-    some = some.withColumn("copy", F.xxhash64("text"))
     hits = F.concat(*[_matches(text, i, p) for i, (_, p, _) in enumerate(KINDS)])
-    found = some.select("id", "copy", F.posexplode_outer(hits).alias("nth", "hit")).where("nth is not null") \
-        .select("id", "copy", "nth", "hit.*").dropDuplicates(["id", "copy", "nth"])
+    found = some.select(*named, F.posexplode_outer(hits).alias("nth", "hit")).where("nth is not null") \
+        .select(*named, "nth", "hit.*").dropDuplicates(["id", "copy", "nth"])
     run = Window.partitionBy("id", "copy", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.col("size")).over(run)
     least = F.element_at(F.array(*[F.lit(n) for _, _, n in KINDS]), F.col("kind") + 1)
     mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Z]") & F.col("value").rlike("[a-z]")
     spans = found.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")) \
         .where(F.length("value") >= least).where((F.col("kind") < len(BASE)) | mixed)
-    return spans.select("id", "copy", "kind", "start", "end", "value", F.sha2("value", 256).alias("value_hash"))
+    return spans.select(*named, "kind", "start", "end", "value", F.sha2("value", 256).alias("value_hash"))
 
 
-def ownership(spans: DataFrame, docs: DataFrame, id_col: str = "doc_id", repo: Column | None = None,
-              owner: Column | None = None) -> DataFrame:
+def ownership(spans: DataFrame) -> DataFrame:
     """Per value_hash: n_repos, n_owners, copied (many owners), live (one owner and a
-    value of mixed characters). A null repository or owner counts as one of its own."""
-    owner = F.coalesce((F.col("source") if owner is None else owner).cast("string"), F.lit("\0null"))
-    repo = F.coalesce((F.concat_ws("/", "source", "lang") if repo is None else repo).cast("string"), F.lit("\0null"))
-    of = docs.select(F.col(id_col).alias("_id"), owner.alias("owner"), repo.alias("repo")).distinct()
-    held = spans.select("id", "value", "value_hash").distinct().join(of, F.col("id").eqNullSafe(F.col("_id")))
+    value of mixed characters)."""
     # distinct (value, repository) rows first: a value in a third of all rows folds map-side
-    pairs = held.groupBy("value_hash", "owner", "repo").agg(F.first("value").alias("value"))
+    pairs = spans.groupBy("value_hash", "owner", "repo").agg(F.first("value").alias("value"))
     mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
     per_owner = pairs.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.first("value").alias("value"))
     out = per_owner.groupBy("value_hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"),
@@ -81,10 +88,8 @@ def judged_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  owner: Column | None = None) -> DataFrame:
     """All spans of the result with their value's ownership: base spans, and owned spans
     that lie outside every base span of their text and belong to one owner."""
-    from loomtext.llm.common import store
-
-    spans = store(find_spans(docs, id_col, text_col), "secret-spans")
-    judged = spans.join(ownership(spans, docs, id_col, repo, owner), "value_hash")
+    spans = store(find_spans(named_rows(docs, id_col, text_col, repo, owner)), "secret-spans")
+    judged = spans.join(ownership(spans), "value_hash")
     base = F.col("kind") < len(BASE)
     # longest reach of the base spans that start at or before a span, and the first after it
     order = Window.partitionBy("id", "copy").orderBy("start", "kind")
@@ -99,12 +104,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
     n_copied.
 
-    Null and empty texts have no spans; rows that repeat an id and a text get the same
-    result each; a null id is an id of its own; an empty table gives no rows; ties of
-    start order by kind; other columns are ignored.
+    Null and empty texts have no spans; texts of any length are scanned whole; a value's
+    owners are those of the very rows that hold it, whatever ids they share; equal rows
+    get the same result each; an empty table gives no rows; ties of start order by kind;
+    other columns, whatever their names, are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-                       .alias("copy"))
+    rows = named_rows(docs, id_col, text_col, repo, owner).select("id", "copy")
     judged = judged_spans(docs, id_col, text_col, repo, owner)
     name = F.element_at(F.array(*[F.lit(k) for k, _, _ in KINDS]), F.col("kind") + 1)
     shown = judged.withColumn("shown", F.concat_ws(":", name, "start", "end"))
@@ -124,14 +129,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]",
            repo: Column | None = None, owner: Column | None = None) -> DataFrame:
     """``docs`` with every value that is not a widely copied example replaced by ``mark``
-    in the texts it was found in. Texts without such values, and all other columns,
-    stay as they are; rows are never dropped."""
+    in the texts it was found in. Texts without such values (null and empty ones among
+    them), and all other columns, whatever their names, stay as they are; rows are never
+    dropped; equal rows are masked alike; an empty table gives no rows."""
     judged = judged_spans(docs, id_col, text_col, repo, owner).where(~F.col("copied"))
     longest = F.sort_array(F.collect_set(F.struct((-F.length("value")).alias("n"), "value")))
-    per = judged.groupBy(F.col("id").alias("_id"), F.col("copy").alias("_copy")).agg(longest.alias("_values"))
-    text = F.col(text_col).cast("string")
-    out = docs.withColumn("_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
-    out = out.join(per, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_copy")), "left")
-    cleaned = F.aggregate("_values", text, lambda t, v: F.replace(t, v["value"], F.lit(mark)))
-    return out.withColumn(text_col, F.when(F.col("_values").isNull(), F.col(text_col)).otherwise(cleaned)) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    per = judged.groupBy(F.col("id").alias("of_id"), F.col("copy").alias("of_copy")).agg(longest.alias("values"))
+    rows = named_rows(docs, id_col, text_col, repo, owner)
+    met = rows.join(per, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("copy") == F.col("of_copy")), "left")
+    cleaned = F.aggregate("values", F.col("text"), lambda t, v: F.replace(t, v["value"], F.lit(mark)))
+    whole = F.when(F.col("values").isNull(), F.col("row")).otherwise(F.col("row").withField(f"`{text_col}`", cleaned))
+    return met.select(whole.alias("row")).select("row.*")

@@ -278,7 +278,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     todo = kinds.join(per_key, "key").where((F.col("kinds") > 1) | ((F.col("copies") == 1) & inner))
     wanted = todo.groupBy(F.col("src.id").alias("_id"), F.col("src.copy").alias("_copy")).agg(F.collect_list(
         F.struct(F.col("src.start").alias("start"), "starts", "key", "digest", "copies", "kinds")).alias("want"))
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")))
+    # of rows that repeat an id and a text one is cut, for all
+    named = F.col("id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
+    again = docs.groupBy("id", "copy").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        F.col("id").alias("_i"), F.col("copy").alias("_c"), F.lit(True).alias("again"))
+    wanted = store(wanted.join(again, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_copy") == F.col("_c")), "left"), "suffix-wanted")
+    once = docs.join(wanted.where("again is null"), named).select("text", "want")
+    many = docs.join(wanted.where("again"), named).groupBy("id", "copy").agg(F.first("text").alias("text"), F.first("want").alias("want"))
+    texts = once.unionByName(many.select("text", "want"))
     cut = F.transform("want", lambda s: F.struct(
         s["key"].alias("key"), s["digest"].alias("digest"), s["copies"].alias("copies"), s["kinds"].alias("kinds"),
         F.substring(F.col("text"), (s["start"] + 1).cast("int"), (s["starts"] + length - 1).cast("int")).alias("bytes")))
@@ -294,7 +301,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     found = _shards(dealt, length)
     whole = kinds.where("copies > 1").select("key", "digest", F.lit(0).cast("long").alias("from"), F.col("starts").alias("to"))
     ranges = found.union(whole).groupBy("key", "digest").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
-    at = shared.join(ranges, ["key", "digest"]).select("id", "copy", F.transform("ranges", lambda r: F.struct(
+    at = shared.dropDuplicates(["id", "copy", "start"]).join(ranges, ["key", "digest"]).select("id", "copy", F.transform("ranges", lambda r: F.struct(
         (F.col("start") + r["from"]).alias("from"), (F.col("start") + r["to"] + (length - 1)).alias("to"))).alias("spans"))
     return at.groupBy("id", "copy").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
@@ -304,9 +311,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the
     bytes that remain).
 
-    Null and empty texts, and texts shorter than ``length`` bytes, lose nothing. Rows
-    that repeat an id and a text are copies of each other like any two documents. A null
-    id is an id of its own; an empty table gives no rows; other columns are ignored.
+    Null and empty texts, and texts shorter than ``length`` bytes, lose nothing; texts of
+    any length are read whole. Rows that repeat an id and a text are copies of each other
+    like any two documents. A null id is an id of its own; an empty table gives no rows;
+    other columns, whatever their names, are not read.
     """
     text = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("copy", F.xxhash64("text"))

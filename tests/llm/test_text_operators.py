@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from loomtext.llm import common, mixing, packing, quality, secrets, simhash, suffix, tokens
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, fp long, size long, rank int, score string, "
@@ -122,6 +123,33 @@ def test_copied_examples_stay_and_live_secrets_go(spark):
     assert sorted(t for t in texts if t) == [f"k {i} password=CopiedExample1234 password=[SECRET]" for i in range(4)]
 
 
+def test_secrets_belong_to_the_rows_that_hold_them(spark):
+    """Rows without an id, and rows of one id, do not lend each other their owners."""
+    rows = [(None, f"password=Private{i}Value99", f"s{i}") for i in range(4)]
+    rows += [(7, "token=OnlyInThisRow1234", "s1"), (7, "nothing here", "s2"), (7, "nothing here", "s3"), (7, None, "s4")]
+    docs = make(spark, rows)
+    for r in secrets.scan_secrets(docs).collect():
+        assert r.n_copied == 0 and r.n_live == r.n_assign
+    texts = [r.text or "" for r in secrets.redact(docs).collect()]
+    assert sum("[SECRET]" in t for t in texts) == 5 and not any("Value99" in t or "OnlyIn" in t for t in texts)
+
+
+CLASHES = ["_text", "_hash", "_id", "_nth", "_times", "_values", "_copy", "_source", "row", "id", "hash", "nth", "copy", "owner",
+           "repo", "values", "times", "kept_id", "of_id", "of_copy", "before", "size", "taken"]
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    rows = [(1, "a b password=Private1Value99 c", "en", "s"), (2, None, None, None), (None, "x y z", "en", "t"), (3, "", "de", "t")]
+    docs = spark.createDataFrame([(*r, 5, *(f"{c}{k}" for c in CLASHES)) for k, r in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert {r[c][len(c):] for c in CLASHES} == {r["_text"][5:]}, name  # each column is its own row's
+
+
 def brute_repeats(texts, length):
     starts = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
@@ -135,11 +163,22 @@ def brute_repeats(texts, length):
     return out
 
 
+def test_repeated_rows_hold_each_span_once(spark):
+    text = words(random.Random(6), 300)
+    for copies in (2, 40):
+        docs = make(spark, [(None, text, "s")] * copies + [(1, text, "s")])
+        rows = docs.selectExpr("doc_id as id", "encode(text, 'utf-8') as text", "xxhash64(encode(text, 'utf-8')) as copy")
+        spans = {len(r.spans) for r in suffix.repeated_spans(rows).collect()}
+        assert len(spans) == 1 and spans.pop() <= 60
+        got = suffix.remove_repeats(docs).collect()
+        assert len(got) == copies + 1 and all(r.n_removed == r.n_bytes for r in got)
+
+
 @pytest.mark.parametrize("shard_segments", [1024, 2])
 def test_suffix_dedup_matches_brute_force(spark, odd, shard_segments):
     rng = random.Random(3)
     passage = words(rng, 60)
-    rows = [r for r in odd if r[0] != 68] + [
+    rows = odd + [
         (100 + i, words(rng, 40) + " " + passage + words(rng, 9 + i), "s") for i in range(12)]
     rows += [(200, "ab" * 900, "s"), (201, words(rng, 20) + "xyz" * 300, "s")]
     got = suffix.remove_repeats(make(spark, rows), shard_segments=shard_segments).collect()
@@ -286,12 +325,39 @@ def test_permutation_and_slots(spark):
     sized = spark.createDataFrame([("a", 1000), ("b", 5000), ("c", 10)], "source string, size long")
     plan = mixing.plan_sources(sized, 16)
     slots = mixing.draw_slots(plan, block_words=16, shard_slots=64).collect()
-    assert len({(r.shard, r.place) for r in slots}) == len(slots) == sum(r.slots for r in plan.collect())
+    assert len({(r.shard, r.draw) for r in slots}) == len(slots) == sum(r.slots for r in plan.collect())
     counts = Counter((r["rank"], r.block) for r in slots)
     assert max(counts.values()) <= 3
     assert len({sum(r["rank"] == 0 for r in slots if r.shard == s) for s in range(4)}) > 1  # drawn, not dealt evenly
 
 
+@pytest.mark.parametrize("sizes", [[200_000, 300_000, 500_000], [50_000] * 20])
+def test_shard_counts_vary_as_multinomial_draws(spark, sizes):
+    sized = spark.createDataFrame([(f"s{k:02}", n) for k, n in enumerate(sizes)], "source string, size long")
+    plan = mixing.plan_sources(sized, 16)
+    per_source = {r["rank"]: r.slots for r in plan.collect()}
+    total = sum(per_source.values())
+    shards = -(-total // 128)
+    seen = {(r["rank"], r.shard): r.n for r in mixing.draw_slots(plan, block_words=16, shard_slots=128).groupBy("rank", "shard").count()
+            .withColumnRenamed("count", "n").collect()}
+    ratios = []
+    for rank, n in per_source.items():
+        counts = np.array([seen.get((rank, s), 0) for s in range(shards)])
+        assert counts.sum() == n and max(s for _, s in seen) < shards
+        ratios.append(counts.var() / (n / shards * (1 - 1 / shards)))
+    assert 0.8 < np.mean(ratios) < 1.2
+
+
+def test_permutation_spreads_runs_and_reaches_large_places(spark):
+    n = 10_000
+    image = [r.x for r in spark.range(n).selectExpr(f"{mixing.permuted('id', str(n), '9')} AS x").collect()]
+    shares = np.bincount(np.array(image[:2000]) // 500, minlength=20)  # a run of places lands everywhere
+    assert shares.min() > 60 and shares.max() < 150
+    big = 430_000_000_000
+    far = [r.x for r in spark.range(2000).selectExpr(f"{mixing.permuted('id', str(big), '9')} AS x").collect()]
+    assert len(set(far)) == 2000 and np.histogram(far, 10, (0, big))[0].min() > 120
+
+
 def test_empty_tables(spark):
     none = make(spark, [(1, "a", "s")]).limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int")
