@@ -24,67 +24,67 @@ def _same(a: str, b: str):
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learnt from the labels, rates 1; the rest go."""
+    """Documents that the quality classifier, learnt from the labels, rates 1; the rest go.
+    Null and empty texts are rated as all-zero statistics, equal rows alike, texts of any
+    length whole; all columns stay; an empty table gives no rows."""
     labels = columns_of(spark, sf_dir, "labels", "doc_id", "quality")
     score = quality.scorer(quality.train(docs, labels))
     return docs.where(score(F.col("text").cast("string")) >= quality.THRESHOLD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id (of
-    equal ids, the smallest text hash), once if its row repeats. A group whose ids are
-    all null keeps its rows."""
-    # a row is named by id and text, as an id may repeat with another text; null ids come last
-    name = F.struct(F.col("doc_id").isNull().cast("int").alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    """One document of each group of near duplicates: the one with the smallest id, null
+    ids last (of equal ids, the smallest text hash), once if its row repeats. Null and
+    empty texts have fingerprint zero and form a group; texts of any length are read
+    whole; other columns, whatever their names, stay; an empty table gives no rows."""
+    # a row is named by id and text, as an id may repeat with another text
+    id_, hash_ = F.col("doc_id"), F.xxhash64("text")
+    name = F.struct(id_.isNull().cast("int").alias("no_id"), id_.alias("id"), hash_.alias("hash"))
     found = simhash.simhash_components(docs.select(name.alias("doc_id"), "text"))
-    kept = found.where((F.col("component_id.no_id") == 1) | _same("doc_id", "component_id"))
-    kept = kept.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.hash").alias("_hash")).distinct()
-    own = docs.withColumn("_text", F.xxhash64("text"))
-    own = own.join(kept, _same("doc_id", "_id") & (F.col("_text") == F.col("_hash")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
-    once = own.where("doc_id is not null").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return once.unionByName(own.where("doc_id is null")).drop("_text")
+    kept = found.where(_same("doc_id", "component_id"))
+    kept = kept.select(F.col("doc_id.id").alias("kept_id"), F.col("doc_id.hash").alias("kept_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), id_.alias("id"), hash_.alias("hash"))
+    own = rows.join(kept, _same("id", "kept_id") & (F.col("hash") == F.col("kept_hash")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("hash"))
+    return own.withColumn("nth", nth).where("nth = 1").select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets that are not widely copied examples are masked in the texts; no row goes."""
+    """Secrets that are not widely copied examples are masked in the texts; no row goes.
+    Odd rows are handled as :func:`loomtext.llm.secrets.redact` says."""
     return secrets.redact(docs)
 
 
 def _times(taken: DataFrame) -> DataFrame:
-    """``taken`` (_id, _source, _taken, _size) with _times: _taken / _size, rounded. Where
-    a source's words then miss its taken words by more than its largest document, the
-    shares are rounded as a running total instead, in the order of quarter-octave size
-    classes (hash order inside), so every length keeps its share to about a document."""
-    some = taken.where("_size > 0")
-    plain = F.round(F.col("_taken") / F.greatest("_size", F.lit(1))).cast("long")
-    off = some.groupBy(F.col("_source").alias("_s")).agg(
-        (F.abs(F.sum(plain * F.col("_size")) - F.sum("_taken")) > F.max("_size")).alias("_off"))
-    some = some.join(off, _same("_source", "_s")).drop("_s")
-    share = F.round(F.col("_taken") * SHARE / F.greatest("_size", F.lit(1))).cast("long")
+    """``taken`` (id, source, taken, size) with times: taken / size, rounded as a running
+    total over a source in the order of quarter-octave size classes (hash order inside),
+    so a source's copies, and those of each length, keep their share to about a document."""
+    some = taken.where("size > 0")
+    share = F.round(F.col("taken") * SHARE / F.greatest("size", F.lit(1))).cast("long")
     runs = -(-taken.count() // RUN_ROWS) or 1
-    spread = F.floor(4 * F.log2("_size")) * runs + F.pmod(F.xxhash64("_id"), F.lit(runs))
-    placed = running_offsets(some, ["_source"], [F.col("_id")], spread, share, 256 * runs, "_before")
+    spread = F.floor(4 * F.log2("size")) * runs + F.pmod(F.xxhash64("id"), F.lit(runs))
+    placed = running_offsets(some, ["source"], [F.col("id")], spread, share, 256 * runs, "before")
     up = lambda x: F.shiftright(x + SHARE // 2, SHARE.bit_length() - 1)
-    total = up(F.col("_before") + share) - up(F.col("_before"))
-    placed = placed.withColumn("_times", F.when(F.col("_off"), total).otherwise(plain).cast("int"))
-    return placed.select("_id", "_source", "_times").unionByName(
-        taken.where("_size = 0").select("_id", "_source", F.lit(1).alias("_times")))
+    total = up(F.col("before") + share) - up(F.col("before"))
+    return placed.select("id", "source", total.cast("int").alias("times")).unionByName(
+        taken.where("size = 0").select("id", "source", F.lit(1).alias("times")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words (never row parts), 0 to 3 times,
-    so that a source's words come near the taken ones. Documents without words stay once."""
-    taken = store(mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
-        F.sum("taken").alias("_taken"), F.sum("size").alias("_size")), "mix-taken")
-    per = _times(taken).where("_times > 0")
-    met = docs.join(per, _same("doc_id", "_id") & _same("source", "_source"))
-    again = met.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_times")))
-    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
+    so that a source's words come near the taken ones. Documents without words (null and
+    empty texts) stay once; rows that share id and source share their times, other columns,
+    whatever their names, stay; an empty table gives no rows."""
+    taken = store(mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("id"), "source").agg(
+        F.sum("taken").alias("taken"), F.sum("size").alias("size")), "mix-taken")
+    per = _times(taken).where("times > 0").select(F.col("id").alias("of_id"), F.col("source").alias("of_source"), "times")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("source").cast("string").alias("source"))
+    met = rows.join(per, _same("id", "of_id") & _same("source", "of_source"))
+    return met.withColumn("nth", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row's length bucket and batch."""
+    """Every row's length bucket and batch, as :func:`loomtext.llm.packing.pack` says."""
     return packing.pack(docs)
 
 
@@ -96,8 +96,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# A classifier learnt from rows and XXH64 fingerprints have no SQL form; tests/llm hold
-# each stage against a brute-force version.
+# A classifier learnt from rows and XXH64 fingerprints have no SQL form; tests/llm hold the
+# stages against plain versions and against the operators that they call.
 ORACLE_SQL = None
 
 
