@@ -35,9 +35,14 @@ def nb_tables(entries: DataFrame, docs: DataFrame, num_features: int,
               smoothing: float = DEFAULT_SMOOTHING) -> tuple[DataFrame, DataFrame]:
     """A9 + M6 as tables: ``priors(label, n_docs, pi, theta_unseen)`` and
     ``theta(label, fidx, theta)`` for observed pairs."""
-    s = float(smoothing)
     per_class = docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
-    sums = entries.groupBy("label", "fidx").agg(F.sum("value").alias("s_cf"))
+    return nb_from_sums(entries.groupBy("label", "fidx").agg(F.sum("value").alias("s_cf")), per_class, num_features, smoothing)
+
+
+def nb_from_sums(sums: DataFrame, per_class: DataFrame, num_features: int,
+                 smoothing: float = DEFAULT_SMOOTHING) -> tuple[DataFrame, DataFrame]:
+    """The tables of ``(label, fidx, s_cf)`` and ``(label, n_docs)``."""
+    s = float(smoothing)
     class_sums = sums.groupBy("label").agg(F.sum("s_cf").alias("s_c"))
     totals = per_class.agg(F.sum("n_docs").cast("double").alias("n"), F.count(F.lit(1)).alias("c"))
     n_all, n_classes = totals.select("n").scalar(), totals.select("c").scalar()

@@ -34,10 +34,16 @@ def chi_square(entries: DataFrame, docs: DataFrame) -> DataFrame:
     ``entries``: ``(doc_id, label, fidx, value)``; ``docs``: ``(doc_id, label)`` with
     every document, including those without entries.
     """
-    n_total = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    n_l = broadcast_if_small(docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")))
     obs = (entries.where(F.col("value") != 0)
            .groupBy("fidx", "value", "label").agg(F.count(F.lit(1)).alias("o")))
+    return chi_square_of_groups(obs, docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_l")))
+
+
+def chi_square_of_groups(obs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A7 of ``(fidx, value, label, o)``, the documents o of each group with a non-zero value,
+    and ``(label, n_l)``, all documents of each label."""
+    n_total = labels.agg(F.sum("n_l").cast("double")).scalar()
+    n_l = broadcast_if_small(labels)
     obs = obs.join(n_l, "label").repartition("fidx")  # serves both windows and the sums per feature
     obs = obs.withColumn("n_v", F.sum("o").over(Window.partitionBy("fidx", "value"))) \
         .withColumn("s_fl", F.sum("o").over(Window.partitionBy("fidx", "label")))

@@ -20,9 +20,14 @@ def feature_frequency(instances: DataFrame, feature: str = "feature") -> DataFra
 def vocabulary(instances: DataFrame, min_count: int = MIN_COUNT, feature: str = "feature") -> DataFrame:
     """A2 + F5 + O1: ``(feature, fid, cnt)`` for features seen at least ``min_count``
     times, ``fid`` = 1.. by descending count, then feature text."""
-    freq = feature_frequency(instances, feature).where(F.col("cnt") >= min_count)
-    voc = dense_ids(freq, [F.col("cnt").desc(), F.col(feature).asc()], id_col="fid", start=1)
-    return voc.select(F.col(feature).alias("feature"), "fid", "cnt")
+    return numbered_features(feature_frequency(instances, feature).withColumnRenamed(feature, "feature"), min_count)
+
+
+def numbered_features(freq: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """F5 + O1 of ``(feature, cnt)``."""
+    kept = freq.where(F.col("cnt") >= min_count)
+    voc = dense_ids(kept, [F.col("cnt").desc(), F.col("feature").asc()], id_col="fid", start=1)
+    return voc.select("feature", "fid", "cnt")
 
 
 def category_dictionary(labels: DataFrame, label: str) -> DataFrame:

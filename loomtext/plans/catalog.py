@@ -17,6 +17,7 @@ from loomtext.functions.bits import day_boundary_ms
 from loomtext.functions.records import field_value, last_field, record_identity, record_pairs
 from loomtext.functions.text import suffixed_tokens
 from loomtext.functions.urls import PREFIX_REGEX, canonical_url, domain_parts, domain_path, site_dirs
+from loomtext.operators import daily
 from loomtext.operators.activity import active_days
 from loomtext.operators.bayes import Bayes, load_bayes, predict_bayes
 from loomtext.operators.classify import classify
@@ -287,6 +288,40 @@ def q_reindexed_vectors(spark, sf):
     return reindex(entries, top)
 
 
+def _days(spark, sf):
+    """Each third of the documents as a day of its own: statistics stored, loaded, added up."""
+    docs, paths = _docs(spark, sf), []
+    for day in range(3):
+        own = docs.where(F.col("doc_id") % 3 == day)
+        paths.append(scratch_path(spark, f"statistics-{day}"))
+        daily.statistics(counted_instances(own), own).save(paths[-1])
+    return paths
+
+
+def q_merged_statistics(spark, sf):
+    """A2, A3, A4, A7 from three stored days."""
+    stats = daily.load_statistics(spark, _days(spark, sf))
+    voc = reliable_checkpoint(daily.vocabulary_of(stats), "vocabulary")
+    out = voc.select("feature", "cnt", (F.col("fid") - 1).alias("fidx"))
+    out = out.join(daily.idf_of(stats, voc), "fidx").join(daily.chi_square_of(stats, voc), "fidx")
+    return out.select("feature", "fidx", "cnt", "df", _r("idf"), _r("chi2", CHI_DIGITS))
+
+
+def q_merged_theta(spark, sf):
+    """A9 from three stored days, over the whole vocabulary."""
+    stats = daily.load_statistics(spark, _days(spark, sf))
+    voc = reliable_checkpoint(daily.vocabulary_of(stats), "vocabulary")
+    return daily.bayes_of(stats, voc, voc.count(), SMOOTHING)[1].select("label", "fidx", _r("theta"))
+
+
+def q_grown_dictionary(spark, sf):
+    """The first day's dictionary, grown by the counts of all three."""
+    paths = _days(spark, sf)
+    first = reliable_checkpoint(daily.vocabulary_of(daily.load_statistics(spark, paths[:1])), "dictionary")
+    counts = daily.load_statistics(spark, paths).cells.groupBy("feature").agg(F.sum("n").alias("cnt"))
+    return daily.grown_dictionary(first.select("feature", "fid"), counts)
+
+
 def q_nb_priors(spark, sf):
     train_docs, train_e, _, _, n_feat = _split_sets(spark, sf)
     priors, _ = nb_tables(train_e, train_docs, n_feat, SMOOTHING)
@@ -412,6 +447,9 @@ QUERIES: dict[str, Query] = {
     "chi_square": q_chi_square,
     "top_features": q_top_features,
     "reindexed_vectors": q_reindexed_vectors,
+    "merged_statistics": q_merged_statistics,
+    "merged_theta": q_merged_theta,
+    "grown_dictionary": q_grown_dictionary,
     "nb_priors": q_nb_priors,
     "nb_theta": q_nb_theta,
     "nb_predict": q_nb_predict,
@@ -832,3 +870,17 @@ GROUP BY d.doc_id, d.label""",
 
 ORACLE["nb_table_predict"] = ORACLE["nb_predict"]  # the same answers, with and without vectors
 ORACLE["table_metrics"] = ORACLE["holdout_metrics"]
+ORACLE["merged_statistics"] = with_ctes(SQL_DOCS, SQL_CHI) + """
+SELECT v.feature, v.fid - 1 AS fidx, v.cnt, f.df, round(ln((SELECT n FROM ntot) / f.df), 10) AS idf, round(chi.chi2, 6) AS chi2
+FROM vocab v JOIN (SELECT fid, count(*) AS df FROM bv GROUP BY fid) f ON v.fid = f.fid JOIN chi ON chi.fidx = v.fid - 1"""
+ORACLE["merged_theta"] = with_ctes(SQL_DOCS) + """,
+s AS (SELECT label, fid - 1 AS fidx, sum(value) AS s_cf FROM cv GROUP BY label, fid),
+c AS (SELECT label, sum(s_cf) AS s_c FROM s GROUP BY label)
+SELECT label, fidx, round(ln(s_cf + 0.1::DOUBLE) - ln(s_c + (SELECT count(*) FROM vocab) * 0.1::DOUBLE), 10) AS theta FROM s JOIN c USING (label)"""
+ORACLE["grown_dictionary"] = with_ctes(SQL_DOCS) + """,
+day1 AS (SELECT feature, count(*) AS cnt FROM terms WHERE doc_id % 3 = 0 GROUP BY feature HAVING count(*) >= 31),
+old AS (SELECT feature, row_number() OVER (ORDER BY cnt DESC, feature) AS fid FROM day1)
+SELECT feature, fid FROM old
+UNION ALL
+SELECT feature, row_number() OVER (ORDER BY cnt DESC, feature) + (SELECT coalesce(max(fid), 0) FROM old) AS fid
+FROM vocab WHERE feature NOT IN (SELECT feature FROM old)"""
