@@ -53,3 +53,15 @@ def one_per_key(df: DataFrame, key: str, order: str, keep_null_keys: bool = Fals
     if keep_null_keys:
         out = out.unionByName(df.where(F.col(key).isNull()).select(*cols))
     return out
+
+
+def picked_lines(labelled: DataFrame, fraction: float) -> DataFrame:
+    """R2's second stage on labelled log records: a narrow filter on the hash of ``line``,
+    so it holds for a batch and a stream alike; equal lines are kept or dropped together."""
+    return labelled.where(in_sample(F.xxhash64("line"), fraction, SECOND_SALT))
+
+
+def one_per_title(labelled: DataFrame) -> DataFrame:
+    """A6 on labelled log records: ``(tit, line, tag)``, per title the smallest line, which
+    does not depend on files, hours or copies."""
+    return one_per_key(labelled.select("tit", "line", "tag"), key="tit", order="line")

@@ -26,6 +26,8 @@ from loomtext.sources.tables import table
 from loomtext.sources.text import (identified_lines, instance_documents, parse_counted_instances, parse_libsvm,
                                    read_category_dictionary, read_feature_dictionary, read_idf_model, read_lines,
                                    read_rule_files)
+from loomtext.streaming.labelling import start_labelling
+from loomtext.streaming.titles import current_records, start_one_per_title
 
 FORMAT_MIN_COUNT = 3  # of the formatting query's vocabulary
 NO_RULE = "zz://none/"  # URLs that hold no rule
@@ -209,7 +211,24 @@ def q_formatting_job(spark, sf):
     return entries.groupBy("label", "fidx").agg(F.count(F.lit(1)).alias("n"))
 
 
+HOURS = 4  # folders of logs that the stream query deals the records into
+
+
+def q_labelling_stream(spark, sf):
+    """A6 over a stream (S1, S3, J1, F1): the log lines arrive in hours, the first one twice;
+    they are labelled as they land, and a second stream keeps one record per title."""
+    logs, path = _log_lines(spark, sf), scratch_path(spark, "labelling-stream")
+    for hour in range(HOURS):
+        write_lines(logs.where(F.col("page_id") % HOURS == hour), f"{path}/logs/hour-{hour}")
+    write_lines(logs.where(F.col("page_id") % HOURS == 0), f"{path}/logs/hour-{HOURS}")
+    rules = corpus.page_rules(spark, table(spark, sf, "pages"))
+    start_labelling(spark, f"{path}/logs/*", rules, f"{path}/labelled", f"{path}/offsets-1", once=True).awaitTermination()
+    start_one_per_title(spark, f"{path}/labelled", f"{path}/titles", f"{path}/offsets-2", 1.0, once=True).awaitTermination()
+    return current_records(spark, f"{path}/titles")
+
+
 QUERIES: dict[str, Query] = {
+    "labelling_stream": q_labelling_stream,
     "file_lines": q_file_lines,
     "category_file": q_category_file,
     "feature_file": q_feature_file,
@@ -287,6 +306,12 @@ SELECT label, fidx, round(theta, 8) AS theta FROM theta""",
     "labelling_job": with_ctes(_LOG_RECS, SQL_RULES) + """
 SELECT url, title AS tit, tag, count(*) AS n, 1::BIGINT AS kept FROM best GROUP BY url, title, tag""",
 
+    "labelling_stream": with_ctes(_LOG_RECS, SQL_RULES) + """
+, l AS (
+  SELECT title, tag, CASE WHEN page_id % 4 = 0 THEN 'url=http://old.example.com/`' ELSE '' END
+                     || 'url=' || url || '`tit=' || title || '`kw=' || kw AS line FROM best)
+SELECT title AS tit, min(line) AS line, arg_min(tag, line) AS tag FROM l GROUP BY title""",
+
     "formatting_job": with_ctes(_LOG_RECS, SQL_RULES, r"""
 tk AS (
   SELECT page_id, TRY_CAST(substr(tag, 1, 4) AS INTEGER) AS label, unnest(list_distinct(list_concat(

@@ -20,13 +20,13 @@ from loomtext.operators.evaluate import holdout_metrics
 from loomtext.operators.forest import grow_forest, load_forest, predict_forest
 from loomtext.operators.models import (DEFAULT_BINS, DEFAULT_DEPTH, DEFAULT_SMOOTHING, DEFAULT_TREES,
                                        fit_naive_bayes, nb_tables, save_model, to_vectors)
-from loomtext.operators.sampling import SECOND_SALT, hash_sample, one_per_key, split_column
+from loomtext.operators.sampling import one_per_title, picked_lines, split_column
 from loomtext.operators.select import DEFAULT_TOP_K, chi_square, reindex, top_features
 from loomtext.operators.vectors import binary_vectors, count_vectors, tfidf_vectors
 from loomtext.operators.vocab import MIN_COUNT, vocabulary, with_category_id
 from loomtext.operators.weights import idf
 from loomtext.operators.wordcount import word_count
-from loomtext.session import reliable_checkpoint
+from loomtext.plans.stages import Stages
 from loomtext.sinks.text import write_dictionary, write_libsvm, write_lines, write_table
 from loomtext.sources.text import (identified_lines, instance_documents, parse_counted_instances, parse_libsvm,
                                    read_category_dictionary, read_feature_dictionary, read_idf_model, read_lines,
@@ -58,12 +58,14 @@ def run_labelling(spark: SparkSession, logs: str | list[str], rules: DataFrame,
     """
     recs = browse_records(sampled_lines(read_lines(spark, logs), first))
     labelled = classify(recs, rules)
-    labelled = labelled.withColumn("labelled", F.concat(F.lit("category="), F.col("tag"), F.lit("`"), F.col("line")))
-    write_table(labelled, labelled_out)
-    stored = spark.read.parquet(labelled_out)
-    picked = hash_sample(stored, "rec_id", second, SECOND_SALT)
-    one = one_per_key(picked.select("tit", "rec_id", "labelled"), key="tit", order="rec_id")
-    write_lines(one, sample_out, column="labelled")
+    write_table(labelled.withColumn("labelled", labelled_line()), labelled_out)
+    one = one_per_title(picked_lines(spark.read.parquet(labelled_out), second))
+    write_lines(one.select(labelled_line().alias("labelled")), sample_out, column="labelled")
+
+
+def labelled_line():
+    """The line of a labelled sample: ``category=TAG`LINE``."""
+    return F.concat(F.lit("category="), F.col("tag"), F.lit("`"), F.col("line"))
 
 
 def labelled_token_docs(lines: DataFrame) -> DataFrame:
@@ -107,23 +109,28 @@ class TrainResult:
 
 def run_training(spark: SparkSession, categories: str, instances: str, out: str, model: str = "nb,rf",
                  num_feats: int = DEFAULT_TOP_K, num_trees: int = DEFAULT_TREES, smoothing: float = DEFAULT_SMOOTHING,
-                 fit_on_all: bool = False, seed: int = 7) -> dict[str, TrainResult]:
+                 fit_on_all: bool = False, seed: int = 7, resume: str | None = None) -> dict[str, TrainResult]:
     """M9: category filter, vocabulary, libsvm, chi-square selection (none for
     ``num_feats`` <= 0), then the models named by ``model`` with holdout metrics: ``nb``
     (naive Bayes on sparse vectors), ``nb_table`` (the same on tables), ``rf`` (random
-    forest on tables). Every artefact goes under ``out``; models are asked as loaded."""
+    forest on tables). Every artefact goes under ``out``; models are asked as loaded.
+
+    With ``resume`` (a shared folder) the stages are kept there under their inputs and
+    parameters: a run that was stopped goes on after its last finished stage, and a run
+    with another model or selection starts from the same vocabulary and entries."""
+    keep = Stages(spark, resume, [categories, instances]).keep
     cats = read_category_dictionary(spark, categories)
-    lines = reliable_checkpoint(identified_lines(read_lines(spark, instances)), "instance-lines")
+    lines = keep("instance-lines", lambda: identified_lines(read_lines(spark, instances)))
     raw = parse_counted_instances(lines).where(F.col("value").isNotNull())
-    inst, docs = [with_category_id(x, cats, "label").drop("label").withColumnRenamed("category_id", "label")
-                  for x in (raw, instance_documents(lines))]
-    inst, docs = reliable_checkpoint(inst, "instances"), reliable_checkpoint(docs, "documents")
-    vocab = vocabulary(inst, MIN_COUNT)
+    named = lambda x: with_category_id(x, cats, "label").drop("label").withColumnRenamed("category_id", "label")
+    inst, docs = keep("instances", lambda: named(raw)), keep("documents", lambda: named(instance_documents(lines)))
+    vocab = keep("vocabulary", lambda: vocabulary(inst, MIN_COUNT), least=MIN_COUNT)
     write_dictionary(vocab, f"{out}/feat_id_map", ("feature", "fid"), "fid")
-    entries = count_vectors(inst, vocab).select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
+    entries = keep("entries", lambda: count_vectors(inst, vocab).select(
+        "doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value"), least=MIN_COUNT)
     write_libsvm(entries.withColumn("fid", F.col("fidx") + 1), docs, f"{out}/url_inst_fm")
     if num_feats > 0:
-        top = reliable_checkpoint(top_features(chi_square(entries, docs), num_feats), "selected")
+        top = keep("selected", lambda: top_features(chi_square(entries, docs), num_feats), least=MIN_COUNT, top=num_feats)
         write_dictionary(top.select("fidx", "new_fidx"), f"{out}/feat_sel_id_map", ("fidx", "new_fidx"), "fidx",
                          single_file=True)
         entries = reindex(entries, top)

@@ -4,7 +4,8 @@ The batch labelling job reads a day of hourly log folders. The same job as a str
 a file source over the log folder, each micro-batch labelled by the rule table with
 the batch operators, and written with the batch id as an idempotent partition, so a
 retried batch replaces its own output (exactly-once at the sink). The best-rule choice
-needs no state across records, so the stream holds no aggregation state.
+needs no state across records, so the stream holds no aggregation state; one record per
+title is the stream that follows (``titles.py``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomtext.functions.records import last_field
 from loomtext.operators.classify import classify, index_rules
-from loomtext.sources.text import identified_lines
+from loomtext.sources.text import identified_lines, sampled_lines
 
 
 def browse_records(lines: DataFrame) -> DataFrame:
@@ -34,12 +35,14 @@ def label_batch(batch: DataFrame, index: DataFrame, batch_id: int) -> DataFrame:
 
 
 def start_labelling(spark: SparkSession, source_dir: str, rules: DataFrame, out_dir: str, checkpoint: str,
-                    max_files_per_trigger: int = 100, once: bool = False) -> StreamingQuery:
-    """Label every new text file under ``source_dir`` into Parquet under ``out_dir``.
+                    max_files_per_trigger: int = 100, once: bool = False, first: float = 1.0) -> StreamingQuery:
+    """Label every new text file under ``source_dir`` into Parquet under ``out_dir``, of
+    its lines the sample ``first``.
 
     ``checkpoint`` must be a shared folder (it holds the source offsets and commit log).
     """
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)
+    stream = sampled_lines(stream, first) if first < 1 else stream
     index = index_rules(rules)
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -1,8 +1,11 @@
 import os
 import tempfile
 
+import pytest
+
 from loomtext.operators.classify import rules_frame
 from loomtext.plans import jobs
+from loomtext.plans.stages import Stages
 from loomtext.sources.text import read_lines, sampled_lines
 
 
@@ -96,3 +99,45 @@ def test_training_with_every_model(spark):
     out = tempfile.mkdtemp(prefix="loomtext-models-")
     res = jobs.run_training(spark, cats, _file("\n".join(rows) + "\n"), out, model="nb,nb_table,rf", num_feats=0, num_trees=5)
     assert all(r.metrics["test_acc"] == 1.0 and r.num_features == 7 for r in res.values()) and len(res) == 3
+
+
+def test_a_stopped_training_goes_on_where_it_was(spark, monkeypatch):
+    cats = _file("0`en\n1`fr\n")
+    text = "en the:2 and:1\nfr le:1 et:2\n" * 60
+    inst, keep = _file(text), tempfile.mkdtemp(prefix="loomtext-resume-")
+    plain, out = [tempfile.mkdtemp(prefix="loomtext-train-") for _ in range(2)]
+
+    def stop(*a, **k):
+        raise RuntimeError("stopped")
+
+    def run(to, folder, **options):
+        return jobs.run_training(spark, cats, inst, to, model="nb_table", num_feats=3, resume=folder, **options)
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "chi_square", stop)
+        with pytest.raises(RuntimeError):
+            run(out, keep)
+    with monkeypatch.context() as m:  # nothing up to the entries is built again
+        for name in ("identified_lines", "vocabulary", "count_vectors"):
+            m.setattr(jobs, name, stop)
+        got = run(out, keep)
+        assert got == run(out, keep)
+    assert got == run(plain, None)
+    for table in ("theta", "pi"):
+        a, b = [sorted(map(str, spark.read.parquet(f"{x}/nb_table_model/{table}").collect())) for x in (plain, out)]
+        assert a == b and a
+
+
+def test_stages_of_other_input_or_unfinished_writes_are_not_read(spark):
+    src, keep = _file("a\n"), tempfile.mkdtemp(prefix="loomtext-resume-")
+    stages = Stages(spark, keep, [src])
+    build = lambda: read_lines(spark, src)
+    never = lambda: pytest.fail("built again")
+    unmarked = build().selectExpr("'old' AS value").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unmarked.parquet(stages.path("lines", n=1))
+    assert [r[0] for r in stages.keep("lines", build, n=1).collect()] == ["a"]  # unfinished: written anew
+    assert [r[0] for r in stages.keep("lines", never, n=1).collect()] == ["a"]
+    assert Stages(spark, keep, [src]).path("lines", n=1) == stages.path("lines", n=1) != stages.path("lines", n=2)
+    with open(src, "w") as f:
+        f.write("bb\n")
+    assert [r[0] for r in Stages(spark, keep, [src]).keep("lines", build, n=1).collect()] == ["bb"]
