@@ -8,9 +8,10 @@ earliest ``ord``. The ranking depends on the rule alone, so every rule gets one
 
 Plan: the substring test is an equi-join on k-grams. Patterns fall into length classes
 (``GRAM_SIZES``); a pattern of a class with k characters is indexed by one of its own
-k-grams, the one that the fewest patterns contain, so a start that many patterns share
-("www.") indexes none of them, and one short pattern does not shorten the grams of the
-others. Each distinct URL explodes its grams of the classes in use, joins the index and
+k-grams, the one that costs the join the least: the patterns that contain it times the URLs
+that do (a sketch of hash slots, over a share of the URLs). So neither a start that many
+patterns share ("www.") nor a piece that most URLs share indexes a pattern, and one short
+pattern does not shorten the grams of the others. The choice alters no result. Each distinct URL explodes its grams of the classes in use, joins the index and
 keeps rows whose text really contains the pattern. A text that contains a pattern
 contains each of its grams, so no hit is lost. One partial + final aggregate per URL then
 takes ``min(rank_key)``, and the labels join the records on the URL; records with no hit
@@ -24,12 +25,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import java_trim
+from loomtext.operators.sampling import hash_sample
 from loomtext.operators.sizing import BROADCAST_BYTES, fits, row_bytes
 from loomtext.session import reliable_checkpoint
 from loomtext.functions.arrays import explode_rows
 
 RULE_SEP = "``"
 GRAM_SIZES = (1, 2, 4, 8)  # a pattern takes the largest that it is long enough for
+SKETCH_SLOTS = 1 << 18  # counters of the URL sketch: 4 MB when broadcast
+URL_SHARE = 1 / 16  # of the distinct URLs that the sketch of one call counts
+SKETCH_SALT = "sketch:"
 
 
 def parse_rule_lines(lines: DataFrame, value: str = "value", ord_col: str = "ord") -> DataFrame:
@@ -64,10 +69,25 @@ def gram_size(length: Column) -> Column:
     return F.greatest(*[F.when(length >= k, F.lit(k)).otherwise(F.lit(0)) for k in GRAM_SIZES])
 
 
-def index_rules(rules: DataFrame) -> DataFrame:
+def gram_slot(gram: Column) -> Column:
+    """The sketch counter of a gram."""
+    return F.pmod(F.xxhash64(gram), F.lit(SKETCH_SLOTS))
+
+
+def url_sketch(records: DataFrame, sizes: list[int], url: str = "url", field_prefix: str = "url=") -> DataFrame:
+    """``(_slot, _urls)``: how many distinct URLs hold a gram of the slot, at least the
+    number of each of its grams. At most ``SKETCH_SLOTS`` rows, counted before the shuffle;
+    sketches of several days add up."""
+    grams = url_grams(records, sizes, url, field_prefix)
+    return grams.groupBy(gram_slot(F.col("_gram")).alias("_slot")).agg(F.count(F.lit(1)).alias("_urls"))
+
+
+def index_rules(rules: DataFrame, records: DataFrame | None = None, url: str = "url",
+                field_prefix: str = "url=") -> DataFrame:
     """The stored index ``(_gram, _pat, _rk, k)`` of a rule table, one row per distinct
-    pattern: its best rule's rank (rules of one pattern hit together) and the k-gram that
-    the fewest patterns contain; of equally rare grams the one nearest the middle."""
+    pattern: its best rule's rank (rules of one pattern hit together) and the k-gram with
+    the smallest product of the patterns and the URLs of ``records`` that contain it (the
+    patterns alone without records); of equal ones the one nearest the middle."""
     best = ranked_rules(rules).where("pattern is not null").groupBy(F.col("pattern").alias("_pat")) \
         .agg(F.min("rank_key").alias("_rk"))
     best = reliable_checkpoint(best.withColumn("k", gram_size(F.length("_pat"))), "rules")
@@ -77,8 +97,14 @@ def index_rules(rules: DataFrame) -> DataFrame:
     grams = explode_rows(best.withColumn("_spots", spots), F.col("_spots"), "_at", ("_pat",))
     grams = grams.groupBy("_pat", F.col("_at.gram").alias("_gram")).agg(F.min("_at.off").alias("_off"))
     held = grams.groupBy(F.col("_gram").alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-    rarest = grams.join(held, F.col("_gram") == F.col("_g")).groupBy("_pat").agg(
-        F.min(F.struct("_n", "_off", "_gram")).alias("_best")).select(F.col("_pat").alias("_p"), "_best._gram")
+    weighed = grams.join(held, F.col("_gram") == F.col("_g")).withColumn("_cost", F.lit(0).cast("long"))
+    sizes = [r["k"] for r in best.select("k").distinct().collect() if r["k"]] if records is not None else []
+    if sizes:
+        seen = F.broadcast(url_sketch(records, sizes, url, field_prefix))  # SKETCH_SLOTS rows at most
+        weighed = weighed.join(seen, gram_slot(F.col("_gram")) == F.col("_slot"), "left") \
+            .withColumn("_cost", F.col("_n") * F.coalesce("_urls", F.lit(0)))
+    rarest = weighed.groupBy("_pat").agg(F.min(F.struct("_cost", "_n", "_off", "_gram")).alias("_best")) \
+        .select(F.col("_pat").alias("_p"), "_best._gram")
     return reliable_checkpoint(best.join(rarest, F.col("_pat") == F.col("_p")).select("_gram", "_pat", "_rk", "k"),
                                "rule-index")
 
@@ -115,7 +141,7 @@ def classify(records: DataFrame, rules: DataFrame | None, url: str = "url", fiel
     lets several calls share one.
     """
     if index is None:
-        index = index_rules(rules)
+        index = index_rules(rules, hash_sample(records.select(url), url, URL_SHARE, SKETCH_SALT), url, field_prefix)
     flat = index.select("_gram", "_pat", "_rk.*", "k")
     sizes, held = flat.agg(F.sort_array(F.collect_set("k")), F.sum(row_bytes(flat))).first()  # len(GRAM_SIZES) + 1 at most
     if 0 in sizes:

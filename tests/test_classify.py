@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from conftest import SF_ORACLE, rows
 from loomtext.operators.classify import classify, index_rules, ranked_rules, rules_frame, url_grams
 from loomtext.plans import corpus
 from loomtext.sources.tables import table
@@ -146,3 +146,20 @@ def test_no_rules_and_empty_pattern(spark):
     assert classify(recs, rules_frame(spark, [])).count() == 0
     with pytest.raises(ValueError):
         classify(recs, rules_frame(spark, [(1, "", "0001")]))
+
+
+def test_grams_that_most_urls_share_index_no_rule(spark):
+    """Every gram of a pattern is held by few patterns; its middle is in every URL."""
+    rules = rules_frame(spark, [(i, f"/archive/pages/q{i:03}", f"{i:04}") for i in range(40)])
+    urls = [f"http://h.org/archive/pages/q{i % 2000:04}/x" for i in range(4000)] + ["http://h.org/archive/pages/q0390"]
+    recs = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "id long, url string")
+    met = {}
+    for name, index in (("rules", index_rules(rules)), ("both", index_rules(rules, recs))):
+        met[name] = url_grams(recs, [8]).join(index, "_gram").count()
+    hits = sum(any(f"/archive/pages/q{i:03}" in u for i in range(40)) for u in set(urls))
+    assert met["both"] <= 2 * hits and hits <= met["rules"]
+    one = rules_frame(spark, [(1, "archive/pages/q0390", "0001")])  # one rule: all its grams are equally rare among rules
+    joined = lambda index: url_grams(recs, [8]).join(index, "_gram").count()
+    assert joined(index_rules(one)) == 2001 and joined(index_rules(one, recs)) <= 20
+    a, b = [rows(classify(recs, rules, index=x).select("id", "tag")) for x in (index_rules(rules), index_rules(rules, recs))]
+    assert a == b == rows(classify(recs, rules).select("id", "tag")) and a
