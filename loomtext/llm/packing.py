@@ -20,28 +20,40 @@ BUCKETS = 16
 BATCH_TOKENS = 65_536
 # Lengths up to here have a histogram bin each; above, a bin is 1/1024 of its power of
 # two wide, so the histogram that the driver sees has at most 4096 + 1024 * 51 bins.
+# A bin carries its longest row, rows and words, so bounds are lengths that rows have and
+# costs are exact; only cuts inside a bin are not looked at. Moving such a cut to its
+# bin's longest row pads a row by less than 1/1024 of its bucket's bound.
 EXACT = 4096
 
 
 def histogram_bin(length: Column) -> Column:
-    """The smallest bin bound that is at least ``length``."""
+    """The bin of ``length``: the largest length that falls in it."""
     power = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")))
     step = F.pow(F.lit(2.0), F.greatest(power - 10, F.lit(0))).cast("long")
     return F.when(length <= EXACT, length).otherwise(F.ceil(length / step) * step).cast("long")
 
 
-def optimal_bounds(histogram: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int]:
+def length_histogram(sized: DataFrame, length_col: str = "n_tokens") -> list[tuple[int, int, int]]:
+    """(longest length, rows, words) of every bin in use; bounded, see EXACT."""
+    n = F.col(length_col)
+    bins = sized.groupBy(histogram_bin(n).alias("bin")).agg(F.max(n).alias("top"), F.count(n).alias("rows"), F.sum(n).alias("words"))
+    return sorted((int(r["top"]), int(r["rows"]), int(r["words"])) for r in bins.collect())
+
+
+def optimal_bounds(histogram: list[tuple], buckets: int = BUCKETS) -> list[int]:
     """At most ``buckets`` upper bounds, the last the largest length, that minimise the
-    sum of (bound - length). Exact: minimum over cut points by the convex hull of lines
-    (slopes fall, lengths rise), buckets x bins steps. Ties take the earliest cut."""
+    sum of (bound - length). ``histogram`` has (length, rows) or, for bins of several
+    lengths, (longest length, rows, words). Exact: minimum over the ends of bins by the
+    convex hull of lines (slopes fall, lengths rise), buckets x bins steps. Ties take the
+    earliest cut."""
     rows = sorted(histogram)
     if not rows:
         return []
-    length = [x for x, _ in rows]
+    length = [x for x, *_ in rows]
     count, total = [0], [0]
-    for x, n in rows:
+    for x, n, *words in rows:
         count.append(count[-1] + n)
-        total.append(total[-1] + n * x)
+        total.append(total[-1] + (words[0] if words else n * x))
     m = len(rows)
     cost: list = [0] + [None] * m
     cuts = []
@@ -90,14 +102,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
 
     Batches of a bucket take rows in the order of an id hash, then id, then length; a
     row longer than the budget is a batch alone, never cut. Null and empty texts have
-    length 0 and sit in the first bucket; repeated rows are packed each; an empty table
-    gives no rows; other columns are ignored.
+    length 0 and sit in the first bucket; the last bucket's bound is the longest row;
+    repeated rows are packed each; an empty table gives no rows; other columns, whatever
+    their names, are ignored.
     """
     n = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
     sized = store(docs.select(F.col(id_col).alias("id"), n.alias("n_tokens")), "pack-lengths")
-    bins = sized.groupBy(histogram_bin(F.col("n_tokens")).alias("bin")).count().collect()  # bounded, see EXACT
-    bounds = optimal_bounds([(int(r["bin"]), int(r["count"])) for r in bins], buckets)
-    total = sum(int(r["count"]) for r in bins)
+    histogram = length_histogram(sized)
+    bounds = optimal_bounds(histogram, buckets)
+    total = sum(n for _, n, _ in histogram)
     tops = F.array(*[F.lit(b).cast("long") for b in bounds or [0]])
     dealt = sized.withColumn("bucket", bucket_of(F.col("n_tokens"), bounds).cast("int")) \
         .withColumn("bucket_tokens", F.element_at(tops, F.col("bucket") + 1))
