@@ -4,7 +4,8 @@ A unigram model scores each piece of a public vocabulary; a pre-token (a word wi
 blank before it) is cut where the sum of scores is largest. The distinct pre-tokens of a
 batch form a trie, and the forward scores of a prefix are computed once for all words
 that begin with it, all prefixes of one length together in numpy; the token counts stand
-at the words' last nodes.
+at the words' last nodes. Below ``DEEP`` bytes, where few words are left, the trie is
+walked depth first in word order instead, with the scores of the path at hand.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CHUNK_WORDS = 1 << 17  # distinct pre-tokens in one trie, at most
-LONG = 64  # longer pre-tokens are solved one by one, by the same recurrence
+DEEP = 64  # levels of the trie that are solved whole; deeper nodes are walked depth first
 
 
 class Unigram:
@@ -41,44 +42,29 @@ class Unigram:
         if children:
             parent, byte, node = np.array(children).T
             self.child[parent, byte] = node
+        self.step = {p << 8 | b: n for p, b, n in children}  # the same, for single steps
         self.score = np.array(scores)
+        self.value = scores
         self.longest = max((len(p) for p, _ in pieces), default=1)
 
-    def count(self, word: bytes) -> int:
-        """Tokens of the best cut of one pre-token; ties take fewer tokens."""
-        best: list[tuple[float, int]] = [(0.0, 0)] + [(-np.inf, 0)] * len(word)
-        for a in range(len(word)):
-            node = 0
-            for b in range(a, min(len(word), a + self.longest)):
-                node = self.child[node, word[b]]
-                if not node:
-                    break
-                score = best[a][0] + self.score[node]
-                if (score, -best[a][1] - 1) > (best[b + 1][0], -best[b + 1][1]):
-                    best[b + 1] = (score, best[a][1] + 1)
-        return best[-1][1]
-
     def counts(self, words: list[bytes]) -> np.ndarray:
-        """Tokens of each of the sorted, distinct ``words``, sharing prefixes."""
+        """Tokens of the best cut of each of the sorted, distinct ``words``; ties take
+        fewer tokens. No prefix is scored twice."""
         out = np.zeros(len(words), np.int64)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        for i in set(range(len(words))) - set(short):
-            out[i] = self.count(words[i])
-        if not short:
+        if not words:
             return out
-        lengths = np.array([len(words[i]) for i in short])
-        width = int(lengths.max())
-        raw = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in short), np.uint8).reshape(len(short), width)
-        same = np.zeros((len(short), width), bool)  # shares this and all earlier bytes with the word before
+        lengths = np.array([len(w) for w in words])
+        width = min(int(lengths.max()), DEEP)
+        raw = np.frombuffer(b"".join(w[:width].ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+        same = np.zeros((len(words), width), bool)  # shares this and all earlier bytes with the word before
         if width:
             same[1:] = np.logical_and.accumulate(raw[1:] == raw[:-1], axis=1)
             same[1:] &= np.arange(width) < np.minimum(lengths[1:], lengths[:-1])[:, None]
-        at = np.zeros(len(short), np.int64)  # each word's node at the current depth
+        at = np.zeros(len(words), np.int64)  # each word's node at the current depth
         # per depth: forward score and token count of every node
         forward, tokens = [np.zeros(1)], [np.zeros(1, np.int64)]
         starts = [(0, np.zeros(1, np.int64))]  # per start offset: (offset, vocabulary node for each node)
         up = []  # per depth: each node's parent
-        solved = np.zeros(len(short), np.int64)
         for depth in range(width):
             reach = lengths > depth
             new = reach & ~same[:, depth]
@@ -108,8 +94,41 @@ class Unigram:
             place = np.cumsum(new) - 1
             at = np.where(reach, place, at)
             ends = np.flatnonzero(lengths == depth + 1)
-            solved[ends] = used[at[ends]]
-        out[short] = solved
+            out[ends] = used[at[ends]]
+        deep = np.flatnonzero(lengths > width)
+
+        def heads() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for first in range(0, len(deep), 1024):
+                nodes, head = at[deep[first: first + 1024]], []
+                for level in range(width, -1, -1):
+                    head.append((forward[level][nodes], tokens[level][nodes]))
+                    nodes = up[level - 1][nodes] if level else nodes
+                yield from zip(*[np.stack(x, axis=1) for x in zip(*reversed(head), strict=True)], strict=True)
+
+        out[deep] = self._walk([words[i] for i in deep], heads())
+        return out
+
+    def _walk(self, words: list[bytes], heads: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[int]:
+        """Tokens of the sorted ``words``, whose first offsets have the scores and token
+        counts ``heads``: down the path of each from where it leaves the word before."""
+        out, last = [], b""
+        path: list[tuple[float, int]] = []
+        for word, (score, n) in zip(words, heads, strict=True):
+            known = _shared(word, last) if path else 0
+            if known < len(score):
+                path, known = list(zip(score.tolist(), (-n).tolist(), strict=True)), len(score) - 1
+            del path[known + 1:]
+            path += [(-np.inf, 0)] * (len(word) - known)
+            for a in range(max(0, known + 1 - self.longest), len(word)):
+                node, (value, taken) = 0, path[a]
+                for b in range(a, min(len(word), a + self.longest)):
+                    node = self.step.get(node << 8 | word[b])
+                    if node is None:
+                        break
+                    if b >= known:
+                        path[b + 1] = max(path[b + 1], (value + self.value[node], taken - 1))
+            out.append(-path[-1][1])
+            last = word
         return out
 
     @property
@@ -120,6 +139,15 @@ class Unigram:
         return self._dead
 
 
+def _shared(a: bytes, b: bytes) -> int:
+    """Bytes that both begin with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return low
+
+
 def zipf_pieces(path: str = VOCABULARY) -> list[tuple[bytes, float]]:
     """The pieces of a rank file ("base64 rank" lines) with unigram log scores after
     Zipf's law: the piece of rank r has a share in proportion to 1 / (r + 2)."""
@@ -151,9 +179,10 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, n_tokens, n_pre_tokens, n_distinct (pre-tokens).
 
     Null and empty texts have no tokens; repeated rows and null ids each give a row; an
-    empty table gives no rows; other columns are ignored. A text is never cut: tries hold
-    a bounded number of distinct pre-tokens, and a text may need several. Every executor
-    reads the vocabulary file from ``vocabulary``.
+    empty table gives no rows; other columns, whatever their names, are ignored. A text is
+    never cut, nor a pre-token of any length; a trie is solved when it holds
+    ``CHUNK_WORDS`` distinct pre-tokens. Every executor reads the vocabulary file from
+    ``vocabulary``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
