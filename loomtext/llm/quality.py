@@ -144,8 +144,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``sample_rows`` labelled, not held-out documents, the ones with the
-    smallest id hashes. Repeated labels of a document are averaged; null labels and ids
-    are left out. Without both classes the model answers the share of label 1 (0.5)."""
+    smallest id hashes; of rows that repeat an id, the one with the smallest text hash.
+    Repeated labels of a document are averaged; null labels and ids are left out. Without
+    both classes the model answers the share of label 1 (0.5)."""
     kept = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     marks = kept.groupBy(id_col).agg((F.avg(F.col(label_col).cast("double")) >= 0.5).cast("double").alias("_y"))
     sample = marks.orderBy(F.xxhash64(id_col), id_col).limit(sample_rows)
@@ -156,7 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def describe(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts])
 
-    got = rows.select("_y", describe("_text").alias("_x")).limit(2 * sample_rows).toPandas()
+    described = rows.select(id_col, "_y", F.struct(F.xxhash64("_text"), describe("_text").alias("x")).alias("_s"))
+    one = described.groupBy(id_col).agg(F.first("_y").alias("_y"), F.min("_s").alias("_s"))
+    got = one.select("_y", F.col("_s.x").alias("_x")).toPandas()  # at most sample_rows rows
     x = np.array(got["_x"].tolist(), float).reshape(len(got), len(FEATURES))
     order = np.lexsort([*x.T, got["_y"].to_numpy(float)])  # the same trees whatever order the rows came in
     return fit(x[order], got["_y"].to_numpy(float)[order])

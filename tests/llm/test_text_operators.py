@@ -198,17 +198,38 @@ def test_suffix_array_and_prefixes():
         assert suffix.common_prefixes(data, order).tolist() == [0] * min(1, n) + shared
 
 
+def plain_count(scores, longest, word):
+    """Tokens of the best cut of one word, by the recurrence over its offsets."""
+    best = [(0.0, 0)] + [(float("-inf"), 0)] * len(word)
+    for a in range(len(word)):
+        for b in range(a + 1, min(len(word), a + longest) + 1):
+            score = scores.get(word[a:b])
+            if score is not None:
+                best[b] = max(best[b], (best[a][0] + score, best[a][1] - 1))
+    return -best[-1][1]
+
+
 def test_token_counts_match_plain_recurrence(spark, odd):
-    unigram = tokens.model(tokens.VOCABULARY)
-    for r in tokens.token_counts(make(spark, odd)).collect():
-        if r.doc_id is not None and r.doc_id != 68:
-            text = (next(t for i, t, _ in odd if i == r.doc_id) or "").encode()
-            cut = tokens.pre_tokens(text)
-            assert b"".join(cut) == text
-            assert (r.n_tokens, r.n_pre_tokens) == (sum(map(unigram.count, cut)), len(cut))
+    scores = dict(tokens.zipf_pieces())
+    longest = max(map(len, scores))
+    unspaced = "".join(chr(0x4E00 + k * k % 900) for k in range(400))
+    rows = odd + [(900, unspaced, "s"), (901, unspaced[:300] + "x" + unspaced, "s"), (902, "=" * 3000 + " " + "=" * 2999, "s")]
+    texts = {i: (t or "").encode() for i, t, _ in reversed(rows) if i is not None}
+    known = {}
+    got = tokens.token_counts(make(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is not None:
+            cut = tokens.pre_tokens(texts[r.doc_id])
+            assert b"".join(cut) == texts[r.doc_id]
+            for w in set(cut) - known.keys():
+                known[w] = plain_count(scores, longest, w)
+            assert (r.n_tokens, r.n_pre_tokens, r.n_distinct) == (sum(known[w] for w in cut), len(cut), len(set(cut)))
 
 
-def test_shared_prefixes_give_the_best_cut():
+@pytest.mark.parametrize("deep", [tokens.DEEP, 4, 0])
+def test_shared_prefixes_give_the_best_cut(deep, monkeypatch):
+    monkeypatch.setattr(tokens, "DEEP", deep)
     pieces = [(bytes([b]), -9.0) for b in range(256)] + [(b"ab", -4.0), (b"abc", -4.5), (b"ca", -4.2), (b"bca", -3.0), (b"aa", -18.0)]
     unigram = tokens.Unigram(pieces)
 
@@ -219,9 +240,29 @@ def test_shared_prefixes_give_the_best_cut():
         return max(cuts)
 
     rng = random.Random(2)
-    some = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 9))) for _ in range(150)} | {b"a" * 70, b"\0", b"a\0"})
-    assert unigram.counts(some).tolist() == [unigram.count(w) for w in some]
-    assert all(unigram.count(w) == -best(w)[1] for w in some if len(w) < 7)
+    draw = lambda n: bytes(rng.choice(b"abc") for _ in range(n))
+    long = [draw(90) for _ in range(5)]
+    some = sorted({draw(rng.randrange(1, 9)) for _ in range(150)} | {b"", b"a" * 70, b"a" * 200, b"\0", b"a\0"}
+                  | {w[:k] + draw(30) for w in long for k in (10, 64, 65, 80, 90)} | set(long))
+    assert unigram.counts(some).tolist() == [plain_count(dict(pieces), 3, w) for w in some]
+    assert all(plain_count(dict(pieces), 3, w) == -best(w)[1] for w in some if len(w) < 7)
+    assert unigram.counts([]).tolist() == []
+
+
+def test_trie_scores_no_prefix_twice(monkeypatch):
+    pieces = [(bytes([b]), -9.0) for b in range(256)] + [(b"ab", -4.0)]
+    unigram = tokens.Unigram(pieces)
+    monkeypatch.setattr(tokens, "DEEP", 8)
+    asked = []
+
+    class Steps(dict):
+        def get(self, key):
+            asked.append(key)
+            return dict.get(self, key)
+
+    unigram.step = Steps(unigram.step)
+    unigram.counts([b"ab" * 500 + bytes([k]) for k in range(100)])
+    assert len(asked) < 5 * 1000  # the common 1,000 bytes once, not a hundred times
 
 
 def test_classifier_learns_and_scores_odd_rows(spark, odd):
@@ -238,6 +279,18 @@ def test_classifier_learns_and_scores_odd_rows(spark, odd):
     assert {r.score for r in none} == {0.5}
 
 
+def test_classifier_takes_one_text_of_a_repeated_id(spark):
+    rng = random.Random(3)
+    rows = [(i, words(rng, 60) if i % 3 else "junk!! " * 50, "s") for i in range(300)]
+    twice = rows + [(i, words(rng, 40), "s") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    fits = []
+    for some, parts in ((twice, 1), (twice[::-1], 7), (twice + twice, 3)):
+        model = quality.train(make(spark, some).repartition(parts), labels, sample_rows=100)
+        fits.append((model.base, model.feature.tolist(), model.threshold.tolist(), model.leaf.tolist()))
+    assert fits[0] == fits[1] == fits[2]
+
+
 def test_classifier_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = [spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels")]
@@ -277,6 +330,26 @@ def test_bounds_are_optimal():
     assert packing.optimal_bounds([]) == []
 
 
+def test_bounds_are_lengths_of_rows(spark):
+    rng = random.Random(8)
+    lengths = [0, 1, 4096, 4097, 99_991] + [round(10 ** rng.uniform(3.4, 6)) for _ in range(3000)]
+    sized = spark.createDataFrame([(x,) for x in lengths], "n_tokens long")
+    histogram = packing.length_histogram(sized)
+    assert sum(n for _, n, _ in histogram) == len(lengths) and sum(w for *_, w in histogram) == sum(lengths)
+    assert {x for x, *_ in histogram} <= set(lengths)
+    bounds, exact = packing.optimal_bounds(histogram, 6), sorted(Counter(lengths).items())
+    assert bounds[-1] == max(lengths)
+    least = packing.padding(exact, packing.optimal_bounds(exact, 6))
+    assert least <= packing.padding(exact, bounds) <= least + sum(lengths) / 1024
+    # what the bins say a choice of their ends costs is what it costs
+    tops = [x for x, *_ in histogram]
+    for _ in range(50):
+        some = sorted(rng.sample(tops[:-1], 5)) + tops[-1:]
+        rows = {t: [sum(n for x, n, _ in histogram if low < x <= t), sum(w for x, _, w in histogram if low < x <= t)]
+                for low, t in zip([-1] + some, some)}
+        assert sum(t * n - w for t, (n, w) in rows.items()) == packing.padding(exact, some) >= packing.padding(exact, bounds)
+
+
 def test_packing_fills_batches(spark, odd):
     got = packing.pack(make(spark, odd), buckets=4, batch_tokens=1000).collect()
     sizes = Counter(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in odd)
