@@ -4,7 +4,9 @@ Every vector is described by its nearest reference points (pivots), nearest firs
 stands in the inverted lists of its first ``LISTED`` pivots; two vectors of a list that
 share ``SHARED`` or more of their ``DEPTH`` nearest pivots are candidates, and their
 cosine is verified in double precision. A pair is counted in the list of the smallest
-pivot that lists both, so links need no pair table.
+pivot that lists both, so links need no pair table. Candidate pairs of a dense list may
+be as many as all its pairs, so vectors travel to the lists, once, and pairs never leave
+them.
 
 Pivots are Gaussian directions drawn without the data, not sampled rows: the inner
 products of two unit vectors with such a direction are normal with their cosine as
@@ -21,13 +23,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from loomtext.llm.common import connected_components, forest, store
 from loomtext.llm.search import finite, matrix
 
 COSINE = 0.9
 PIVOTS_PER_ROOT = 4  # pivots per square root of the number of distinct vectors
-MOST_PIVOTS = 16_384  # bound of what each task holds of them
+MOST_PIVOTS = 16_384  # bound of what each task holds of them, and of the table of list sizes
 SEED = 42
 DEPTH, LISTED, SHARED = 16, 8, 2
 LIST_BLOCK = 1024  # members of a list that one task compares; longer lists are cut
@@ -47,10 +50,12 @@ def directions(n: int, width: int, seed: int = SEED) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(some, width))
 
 
-def describe(classes: DataFrame, pivots: np.ndarray, width: int, depth: int = DEPTH) -> DataFrame:
-    """``classes`` (id, v, n) with near: the indexes of the nearest pivots, nearest first."""
+def describe(classes: DataFrame, n: int, width: int, depth: int = DEPTH) -> DataFrame:
+    """``classes`` (id, v, n), ``n`` of them, with near: the indexes of the nearest pivots,
+    nearest first. Every task draws the pivots itself."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pivots = directions(n, width)
         for batch in batches:
             for at in range(0, len(batch), 1024):
                 part = batch.iloc[at: at + 1024]
@@ -58,9 +63,10 @@ def describe(classes: DataFrame, pivots: np.ndarray, width: int, depth: int = DE
                 k = min(depth, close.shape[1])
                 near = np.argpartition(-close, k - 1, axis=1)[:, :k]
                 by = np.argsort(-np.take_along_axis(close, near, axis=1), axis=1, kind="stable")
-                yield part.assign(near=list(np.take_along_axis(near, by, axis=1).astype(np.int32)))
+                yield part.assign(near=list(np.take_along_axis(near, by, axis=1).astype(np.int16)))
 
-    return classes.mapInPandas(run, "id long, v array<double>, n long, near array<int>")
+    kind = classes.schema["v"].dataType.simpleString()
+    return classes.mapInPandas(run, f"id long, v {kind}, n long, near array<short>")
 
 
 def link_lists(described: DataFrame, width: int, cosine: float = COSINE, block: int = LIST_BLOCK,
@@ -69,7 +75,8 @@ def link_lists(described: DataFrame, width: int, cosine: float = COSINE, block:
     edge (u, v) of a forest over the list's links (v null: none)."""
     lists = described.select("id", "v", "n", "near", F.explode(F.slice("near", 1, listed)).alias("pivot"))
     sizes = lists.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    placed = lists.join(sizes, "pivot").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    # at most MOST_PIVOTS rows of two numbers: a proven bound for the broadcast
+    placed = lists.join(F.broadcast(sizes), "pivot").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
     placed = placed.withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = placed.select(F.xxhash64("pivot", F.least("side", "other"), F.greatest("side", "other")).alias("key"),
@@ -77,7 +84,7 @@ def link_lists(described: DataFrame, width: int, cosine: float = COSINE, block:
 
     def links(group: pd.DataFrame) -> pd.DataFrame:
         unit, ids, n = units(group["v"], width), group["id"].to_numpy(), group["n"].to_numpy()
-        near = np.stack(group["near"].to_numpy())
+        near = np.stack(group["near"].to_numpy()).astype(np.int32)
         names, code = np.unique(near, return_inverse=True)
         has = np.zeros((len(group), len(names)), np.float32)
         np.put_along_axis(has, code.reshape(near.shape), 1, axis=1)
@@ -119,10 +126,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     vectors of different lengths the shorter is padded with zeros. An empty table gives
     no rows; other columns are ignored.
     """
-    v = F.col(vector_col).cast("array<double>")
-    rows = vectors.select(F.col(id_col).alias("id"), v.alias("v"))
+    # components given as floats travel as floats, half as wide; cosines are computed in doubles
+    kind = "array<float>" if vectors.schema[vector_col].dataType in (ArrayType(FloatType(), True), ArrayType(FloatType(), False)) else "array<double>"
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("v"))
     valid = finite(F.col("v")) & F.exists("v", lambda x: x != 0) & F.col("id").isNotNull()
-    rows = rows.withColumn("v", F.when(F.coalesce(valid, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0))))
+    rows = rows.withColumn("v", F.when(F.coalesce(valid, F.lit(False)), F.transform("v", lambda x: x + F.lit(0.0)).cast(kind)))
     rows = rows.withColumn("digest", F.when(F.col("v").isNotNull(), F.sha2(F.col("v").cast("string"), 256)))
     rows = store(rows, "vectors")
     # one class per distinct vector, named by its smallest id
@@ -133,7 +141,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not n:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    described = store(describe(classes.select("id", "v", "n"), directions(n, width), width), "described")
+    described = store(describe(classes.select("id", "v", "n"), n, width), "described")
     linked = store(link_lists(described, width, cosine), "vector-links")
     counts = linked.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "_u")
     parts = connected_components(linked.where("v is not null").select("u", "v"))

@@ -129,6 +129,23 @@ def test_embedding_lists_hold_pairs_at_the_bound_in_any_width():
         assert (met & ((a[:, :, None] == b[:, None]).sum(axis=(1, 2)) >= embeddings.SHARED)).mean() >= 0.95
 
 
+def test_embedding_vectors_meet_one_exchange_on_their_way_to_the_lists(spark):
+    rows = spark.createDataFrame([(i, np.float32(v).tolist(), 1) for i, (_, v) in enumerate(clustered())], "id long, v array<float>, n long")
+    described = embeddings.describe(rows, rows.count(), 16)
+    assert described.schema["v"].dataType == rows.schema["v"].dataType
+    plan = embeddings.link_lists(described, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_embedding_links_do_not_depend_on_the_component_type(spark):
+    rows, found = clustered(), []
+    for kind in ("float", "double"):
+        df = vectors(spark, rows + ODD)
+        df = df.withColumn("embedding", df["embedding"].cast(f"array<{kind}>"))
+        found.append(sorted(map(str, embeddings.near_duplicates(df).collect())))
+    assert found[0] == found[1]
+
+
 def test_embedding_tables_without_links(spark):
     assert embeddings.near_duplicates(vectors(spark, ODD)).count() == len(ODD)
     assert embeddings.near_duplicates(vectors(spark, ODD).limit(0)).count() == 0
