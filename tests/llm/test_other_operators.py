@@ -189,6 +189,24 @@ def test_search_few_rows_and_large_numbers(spark):
     assert search.top_k(vectors(spark, [(100, [1.0])])).count() == 0
 
 
+def test_search_scores_beyond_64_bits_tie_whatever_the_blocks(spark):
+    rows = [(100, [1e10, 0.5])] + [(i, [1e10 + 2e3 * i, 0.5]) for i in range(1, 31)] + [(i, [-1e10 - i, 0.5]) for i in range(31, 36)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for size in (8192, 3):
+        got = sorted((r["rank"], r.vec_id, r.score) for r in search.top_k(df, block_rows=size).collect())
+        assert got == [(i, i, (1 << 63) - 1) for i in range(1, 11)]
+    rows = [(100, [-1e10, 0.5])] + [(i, [1e10 - 2e3 * i, 0.5]) for i in range(1, 31)]
+    got = sorted((r["rank"], r.vec_id, r.score) for r in search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(i, i, -(1 << 63)) for i in range(1, 11)]
+
+
+def test_search_takes_rows_without_id_as_candidates(spark):
+    rows = [(100, [1.0, 0.0]), (None, [3.0, 0.0]), (None, [2.0, 0.0]), (7, [2.0, 0.0]), (None, None), (8, [1.0, 0.0])]
+    got = sorted(map(tuple, search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()))
+    unit = 1 << 20
+    assert got == [(100, 1, None, 3 * unit), (100, 2, 7, 2 * unit), (100, 3, None, 2 * unit), (100, 4, 8, unit)]
+
+
 def test_pipeline_stages_follow_their_operators(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
