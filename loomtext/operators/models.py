@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from loomtext.operators.sizing import broadcast_if_small
-from loomtext.session import scratch_path
+from loomtext.session import reliable_checkpoint, scratch_path
 
 DEFAULT_SMOOTHING = 0.1
 DEFAULT_TREES, DEFAULT_DEPTH, DEFAULT_BINS = 100, 4, 32
@@ -36,7 +36,9 @@ def nb_tables(entries: DataFrame, docs: DataFrame, num_features: int,
     """A9 + M6 as tables: ``priors(label, n_docs, pi, theta_unseen)`` and
     ``theta(label, fidx, theta)`` for observed pairs."""
     per_class = docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
-    return nb_from_sums(entries.groupBy("label", "fidx").agg(F.sum("value").alias("s_cf")), per_class, num_features, smoothing)
+    # one row an observed pair, stored: both tables read it
+    sums = reliable_checkpoint(entries.groupBy("label", "fidx").agg(F.sum("value").alias("s_cf")), "class-sums")
+    return nb_from_sums(sums, per_class, num_features, smoothing)
 
 
 def nb_from_sums(sums: DataFrame, per_class: DataFrame, num_features: int,

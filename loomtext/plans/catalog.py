@@ -91,25 +91,37 @@ def _count_entries(spark, sf, store=False):
     if not store:
         docs, inst, voc = _corpus(spark, sf)
         return docs, count_vectors(inst, voc, one_row_per_feature=True)
+    docs, inst, voc = _stored_corpus(spark, sf)
+    return docs, count_vectors(inst, voc, one_row_per_feature=True)
+
+
+def _stored_corpus(spark, sf):
     docs = _docs(spark, sf)
     inst = reliable_checkpoint(counted_instances(docs), "instances")
-    return docs, count_vectors(inst, vocabulary(inst), one_row_per_feature=True)
+    return docs, inst, vocabulary(inst)
+
+
+def _entries(inst, voc):
+    cv = count_vectors(inst, voc, one_row_per_feature=True)
+    return cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
 
 
 def _selected(spark, sf):
-    """Count vectors (over the stored instances: chi-square, the reindex and both
-    splits read them, as the reference wrote libsvm and read it back) and the top-k
-    features."""
-    docs, cv = _count_entries(spark, sf, store=True)
-    entries = cv.select("doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value")
+    """The top-k features by chi-square over the count vectors of the stored instances, and
+    the count vectors of these features: a feature that is not selected meets none of the
+    few rows of the vocabulary that are left, so the rest of it never travels."""
+    docs, inst, voc = _stored_corpus(spark, sf)
     alld = reliable_checkpoint(docs.select("doc_id", "label"), "labels")  # N, label counts and both splits
-    top = reliable_checkpoint(top_features(chi_square(entries, alld), TOP_K))
-    return alld, entries, top
+    top = reliable_checkpoint(top_features(chi_square(_entries(inst, voc), alld), TOP_K))
+    picked = voc.join(F.broadcast(top.select((F.col("fidx") + 1).alias("fid"))), "fid", "left_semi")  # TOP_K rows at most
+    return alld, _entries(inst, reliable_checkpoint(picked, "selected-vocabulary")), top
 
 
 def _split_sets(spark, sf):
+    """Both splits of the documents and their reindexed vectors, which are stored: the
+    learner and the holdout read them, several times."""
     alld, entries, top = _selected(spark, sf)
-    rv = reindex(entries, top)
+    rv = reliable_checkpoint(reindex(entries, top), "selected-entries")
     n_feat = top.count()
     # the split depends on the document id alone: a filter on either side, no join
     part = split_column("doc_id", TEST_FRACTION)
