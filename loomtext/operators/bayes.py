@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtext.operators.sizing import broadcast_if_small
+from loomtext.session import reliable_checkpoint
 
+BLOCK = 8  # classes in a row of gains
 RANK_DECIMALS = 9  # scores equal at so many decimals tie, and the smaller label wins
 
 
@@ -38,15 +40,23 @@ def load_bayes(spark: SparkSession, path: str) -> Bayes:
 def score_classes(model: Bayes, entries: DataFrame, docs: DataFrame) -> DataFrame:
     """``(doc_id, label, n_entries, class, score)`` for every document and class.
 
-    Entries fold to one row per document and class before they are shuffled. The classes
-    are one row each, a list that every task holds; theta is broadcast behind a check of
-    its bytes, else joined by feature."""
+    The classes are one row each, a list that every task holds, and stand ``BLOCK`` to a
+    row of gains: an entry meets one row of its feature per block, not one per class, and
+    entries fold to one row per document and block before they are shuffled. Gains are
+    broadcast behind a check of their bytes, else joined by feature."""
     classes = model.priors.agg(F.collect_list(F.struct(F.col("label").alias("class"), "pi", "theta_unseen"))).scalar()
-    unseen = F.broadcast(model.priors.select(F.col("label").alias("class"), "theta_unseen"))
-    gain = model.theta.withColumnRenamed("label", "class").join(unseen, "class") \
-        .select("fidx", "class", (F.col("theta") - F.col("theta_unseen")).alias("gain"))
-    met = entries.select("doc_id", "fidx", "value").join(broadcast_if_small(gain), "fidx")
-    more = met.groupBy("doc_id", "class").agg(F.sum(F.col("value") * F.col("gain")).alias("gain"))
+    order = Window.orderBy("label")  # one row per class
+    places = F.broadcast(model.priors.select(F.col("label").alias("class"), "theta_unseen", (F.row_number().over(order) - 1).alias("at")))
+    gain = F.col("theta") - F.col("theta_unseen")
+    held = model.theta.withColumnRenamed("label", "class").join(places, "class") \
+        .groupBy("fidx", F.floor(F.col("at") / BLOCK).cast("int").alias("block")) \
+        .agg(*[F.sum(F.when(F.col("at") % BLOCK == k, gain)).alias(f"g{k}") for k in range(BLOCK)])
+    held = reliable_checkpoint(held, "bayes-gains")
+    met = entries.select("doc_id", "fidx", "value").join(broadcast_if_small(held), "fidx")
+    sums = met.groupBy("doc_id", "block").agg(*[F.sum(F.col("value") * F.col(f"g{k}")).alias(f"g{k}") for k in range(BLOCK)])
+    more = sums.select("doc_id", "block", F.posexplode(F.array(*[f"g{k}" for k in range(BLOCK)])).alias("k", "gain"))
+    more = more.where("gain is not null").withColumn("at", F.col("block") * BLOCK + F.col("k")) \
+        .join(places, "at").select("doc_id", "class", "gain")
     totals = entries.groupBy("doc_id").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n_entries"))
     base = docs.select("doc_id", "label").join(totals, "doc_id", "left").withColumn("c", F.explode(classes)).select(
         "doc_id", "label", F.coalesce("n_entries", F.lit(0)).alias("n_entries"), "c.class",
