@@ -86,18 +86,33 @@ def binary_vectors(docs: DataFrame, vocab: DataFrame, tokens: str = "tokens",
 
 
 def count_vectors(instances: DataFrame, vocab: DataFrame, limit: int = BROADCAST_BYTES,
-                  one_row_per_feature: bool = False) -> DataFrame:
+                  one_row_per_feature: bool = False, grouped: bool = False) -> DataFrame:
     """M3: ``(doc_id, label, fid, value)`` from counted instances
     ``(doc_id, label, feature, value)``; a feature repeated in one instance is summed.
 
     ``one_row_per_feature=True`` states that the input already has one row per
     (document, feature), as :func:`counted_instances` gives, and skips that shuffle.
+    ``grouped=True`` gives one row ``(doc_id, label, items)`` per document with entries, items
+    being its (fidx, value) in ascending order, ``fidx = fid - 1``; one exchange on the
+    document serves the sums and the grouping.
     """
     rows = instances.select("doc_id", "label", F.col("feature").alias("token"), "value")
     e = join_vocabulary(rows, _named(vocab), limit)
-    if one_row_per_feature:
+    if one_row_per_feature and not grouped:
         return e.select("doc_id", "label", "fid", F.col("value").cast("long").alias("value"))
-    return e.groupBy("doc_id", "label", "fid").agg(F.sum("value").cast("long").alias("value"))
+    if grouped:
+        e = e.select("doc_id", "label", "fid", "value").repartition("doc_id")
+    summed = e.groupBy("doc_id", "label", "fid").agg(F.sum("value").cast("long").alias("value"))
+    if not grouped:
+        return summed
+    item = F.struct((F.col("fid") - 1).alias("fidx"), "value")
+    return summed.groupBy("doc_id", "label").agg(F.sort_array(F.collect_list(item)).alias("items"))
+
+
+def grouped_entries(grouped: DataFrame) -> DataFrame:
+    """``(doc_id, label, fidx, value)`` of grouped :func:`count_vectors`; a filter on documents
+    comes before the explode, so it is asked once a document."""
+    return explode_rows(grouped, F.col("items"), "item", ("doc_id", "label")).select("doc_id", "label", "item.fidx", "item.value")
 
 
 def counted_instances(docs: DataFrame, tokens: str = "tokens") -> DataFrame:

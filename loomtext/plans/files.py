@@ -15,7 +15,7 @@ from loomtext.functions.records import last_field
 from loomtext.functions.text import suffixed_tokens
 from loomtext.operators.bayes import load_bayes
 from loomtext.operators.classify import classify
-from loomtext.operators.vectors import binary_vectors, count_vectors, counted_instances, distinct_tokens
+from loomtext.operators.vectors import binary_vectors, count_vectors, counted_instances, distinct_tokens, with_term_counts
 from loomtext.operators.vocab import category_dictionary, vocabulary
 from loomtext.operators.wordcount import blob_lines
 from loomtext.plans import corpus, jobs
@@ -84,8 +84,9 @@ def q_libsvm_file(spark, sf):
     """Count vectors written and parsed; documents without entries have fidx -1."""
     docs = _documents(spark, sf)
     inst = counted_instances(docs)
+    vocab = vocabulary(distinct_tokens(docs).withColumnRenamed("token", "feature"))  # the same rows, not yet counted
     path = scratch_path(spark, "libsvm")
-    write_libsvm(count_vectors(inst, vocabulary(inst), one_row_per_feature=True), docs, path)
+    write_libsvm(count_vectors(inst, vocab, one_row_per_feature=True), docs, path)
     entries, read = parse_libsvm(read_lines(spark, path))
     per = entries.groupBy("label", "fidx", "value").agg(F.count(F.lit(1)).alias("n"))
     alone = read.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -108,8 +109,10 @@ def _instance_file(spark, sf):
     """Counted instances as lines ``lang feature:count ...``: every fifth document has also a
     value that is no number; for every ninth there is a second line, of its label only."""
     docs = corpus.token_docs(spark, sf).where("lang is not null").withColumnRenamed("lang", "label")
-    items = counted_instances(docs).groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.concat_ws(":", "feature", "value"))).alias("items"))
+    # the items of a row are made in the row; rows that share an id share their items
+    items = with_term_counts(docs, "tokens", "items").select("doc_id", F.transform(
+        "items", lambda x: F.concat_ws(":", x["token"], x["tf"])).alias("items"))
+    items = items.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("items"))).alias("items"))
     full = docs.select("doc_id", "label").join(items, "doc_id", "left")
     bad = F.when(F.col("doc_id") % 5 == 0, F.lit("ur:l:x"))
     alone = table(spark, sf, "documents").where("doc_id % 9 = 0 and lang is not null").select(F.col("lang").alias("line"))

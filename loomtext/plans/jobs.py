@@ -22,12 +22,12 @@ from loomtext.operators.models import (DEFAULT_BINS, DEFAULT_DEPTH, DEFAULT_SMOO
                                        fit_naive_bayes, nb_tables, save_model, to_vectors)
 from loomtext.operators.sampling import one_per_title, picked_lines, split_column
 from loomtext.operators.select import DEFAULT_TOP_K, chi_square, reindex, top_features
-from loomtext.operators.vectors import binary_vectors, count_vectors, tfidf_vectors
+from loomtext.operators.vectors import binary_vectors, count_vectors, grouped_entries, tfidf_vectors
 from loomtext.operators.vocab import MIN_COUNT, vocabulary, with_category_id
 from loomtext.operators.weights import idf
 from loomtext.operators.wordcount import word_count
 from loomtext.plans.stages import Stages
-from loomtext.sinks.text import write_dictionary, write_libsvm, write_lines, write_table
+from loomtext.sinks.text import grouped_libsvm_lines, write_dictionary, write_libsvm, write_lines, write_table
 from loomtext.sources.text import (identified_lines, instance_documents, parse_counted_instances, parse_libsvm,
                                    read_category_dictionary, read_feature_dictionary, read_idf_model, read_lines,
                                    sampled_lines)
@@ -126,18 +126,19 @@ def run_training(spark: SparkSession, categories: str, instances: str, out: str,
     inst, docs = keep("instances", lambda: named(raw)), keep("documents", lambda: named(instance_documents(lines)))
     vocab = keep("vocabulary", lambda: vocabulary(inst, MIN_COUNT), least=MIN_COUNT)
     write_dictionary(vocab, f"{out}/feat_id_map", ("feature", "fid"), "fid")
-    entries = keep("entries", lambda: count_vectors(inst, vocab).select(
-        "doc_id", "label", (F.col("fid") - 1).alias("fidx"), "value"), least=MIN_COUNT)
-    write_libsvm(entries.withColumn("fid", F.col("fidx") + 1), docs, f"{out}/url_inst_fm")
+    grouped = keep("document-entries", lambda: count_vectors(inst, vocab, grouped=True), least=MIN_COUNT)
+    entries = grouped_entries(grouped)
+    pairs = F.transform("items", lambda x: F.struct((x["fidx"] + 1).alias("i"), x["value"].alias("v")))
+    write_lines(grouped_libsvm_lines(grouped.select("doc_id", pairs.alias("_e")), docs), f"{out}/url_inst_fm")
     if num_feats > 0:
         top = keep("selected", lambda: top_features(chi_square(entries, docs), num_feats), least=MIN_COUNT, top=num_feats)
         write_dictionary(top.select("fidx", "new_fidx"), f"{out}/feat_sel_id_map", ("fidx", "new_fidx"), "fidx",
                          single_file=True)
-        entries = reindex(entries, top)
-        write_table(entries, f"{out}/url_inst_sel")
+        write_table(reindex(entries, top), f"{out}/url_inst_sel")
+        entries = spark.read.parquet(f"{out}/url_inst_sel")  # the learners pass over it several times
         n_feat = top.count()
     else:
-        largest = entries.agg(F.max("fidx")).first()[0]
+        largest = grouped.agg(F.max(F.element_at("items", -1)["fidx"])).first()[0]
         n_feat = 0 if largest is None else int(largest) + 1
     part = split_column("doc_id", 0.3)
     tests, test_e = docs.where(part == "test"), entries.where(part == "test")

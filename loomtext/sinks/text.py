@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def libsvm_lines(entries: DataFrame, docs: DataFrame, value_format: str = "%d", fid: str = "fid") -> DataFrame:
@@ -16,8 +17,15 @@ def libsvm_lines(entries: DataFrame, docs: DataFrame, value_format: str = "%d",
     """
     grouped = entries.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct(F.col(fid).alias("i"), F.col("value").alias("v")))).alias("_e"))
-    pairs = F.array_join(F.transform(F.col("_e"), lambda x: F.format_string(f"%d:{value_format}", x["i"], x["v"])),
-                         " ")
+    return grouped_libsvm_lines(grouped, docs, value_format)
+
+
+def grouped_libsvm_lines(grouped: DataFrame, docs: DataFrame, value_format: str = "%d") -> DataFrame:
+    """:func:`libsvm_lines` of ``(doc_id, _e)``, the sorted ``(i, v)`` entries of each document."""
+    whole = value_format == "%d" and isinstance(grouped.schema["_e"].dataType.elementType["v"].dataType, IntegralType)
+    value = (lambda x: x["v"].cast("string")) if whole else (lambda x: F.format_string(value_format, x["v"]))
+    pairs = F.array_join(F.transform(F.col("_e"), lambda x: F.concat(
+        x["i"].cast("string"), F.lit(":"), F.coalesce(value(x), F.lit("null")))), " ")
     full = docs.select("doc_id", "label").join(grouped, "doc_id", "left")
     return full.select("doc_id", F.concat(F.col("label").cast("string"), F.lit(" "),
                                           F.coalesce(pairs, F.lit(""))).alias("line"))
