@@ -96,3 +96,36 @@ def test_sparse_vectors_and_bayes_on_tables(spark, tmp_path):
     theirs = fit_naive_bayes(vectors).transform(vectors)
     assert {r.doc_id: (r.n_entries, r.prediction) for r in ours.collect()} == \
         {r.doc_id: (r.n_entries, int(r.prediction)) for r in theirs.collect()}
+
+
+def test_class_sums_and_selected_entries_are_stored(spark):
+    """Both tables of a model read one stored aggregate, both splits one stored selection."""
+    from loomtext.plans import catalog
+
+    docs = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int")
+    entries = spark.createDataFrame([(1, 0, 0, 2), (2, 1, 1, 3)], "doc_id long, label int, fidx long, value long")
+    for t in nb_tables(entries, docs, 2):
+        assert any("class-sums" in f for f in t.inputFiles())
+    _, train_e, _, test_e, _ = catalog._split_sets(spark, "/root/testdata/sf0.001")
+    assert all("selected-entries" in f for e in (train_e, test_e) for f in e.inputFiles())
+
+
+def test_bayes_of_many_classes_meets_one_row_a_block(spark):
+    from loomtext.operators.bayes import BLOCK, score_classes
+
+    classes = 2 * BLOCK + 3
+    docs = [(d, d % classes) for d in range(3 * classes)]
+    entries = [(d, c, (d * 7 + k) % 9, 1 + k) for d, c in docs[:-2] for k in range(3)]
+    docs_df = spark.createDataFrame(docs, "doc_id long, label int")
+    entries_df = spark.createDataFrame(entries, "doc_id long, label int, fidx long, value long")
+    model = Bayes(*nb_tables(entries_df, docs_df, 9))
+    pi = {r.label: (r.pi, r.theta_unseen) for r in model.priors.collect()}
+    theta = {(r.label, r.fidx): r.theta for r in model.theta.collect()}
+    scored = score_classes(model, entries_df, docs_df)
+    held = [f for f in scored.inputFiles() if "bayes-gains" in f]
+    assert held and spark.read.parquet(*held).count() <= 9 * 3
+    got = {(r["doc_id"], r["class"]): r["score"] for r in scored.collect()}
+    assert len(got) == len(docs) * classes
+    for (d, c), score in got.items():
+        want = pi[c][0] + sum(v * theta.get((c, f), pi[c][1]) for e, _, f, v in entries if e == d)
+        assert abs(score - want) < 1e-9

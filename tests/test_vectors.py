@@ -107,3 +107,25 @@ def test_a_missing_weight_fails(spark):
     w = vocab.where("fid > 1").select((F.col("fid") - 1).alias("fidx"), F.lit(1.0).alias("idf"))
     with pytest.raises(Exception, match="no idf for feature id 1"):
         tfidf_vectors(docs, vocab, w).collect()
+
+
+def test_grouped_count_vectors_take_one_exchange(spark):
+    """The same entries as the plain form, repeated features summed, after one exchange."""
+    from loomtext.operators.vectors import grouped_entries
+
+    inst = spark.createDataFrame([(1, 0, "b", 2), (1, 0, "a", 1), (1, 0, "b", 5), (2, 1, "a", 4), (3, 1, "none", 1)],
+                                 "doc_id long, label int, feature string, value int")
+    vocab = spark.createDataFrame([("a", 1, 9), ("b", 2, 8)], "feature string, fid long, cnt long")
+    grouped = count_vectors(inst, vocab, grouped=True)
+    assert rows(grouped_entries(grouped)) == [(1, 0, 0, 1), (1, 0, 1, 7), (2, 1, 0, 4)]
+    assert rows(grouped_entries(grouped)) == rows(count_vectors(inst, vocab).selectExpr("doc_id", "label", "fid - 1", "value"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_whole_numbers_need_no_formatter(spark):
+    docs = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int")
+    entries = spark.createDataFrame([(1, 2, 30), (1, 1, 4)], "doc_id long, fid long, value long")
+    lines = libsvm_lines(entries, docs)
+    assert rows(lines) == [(1, "0 1:4 2:30"), (2, "1 ")]
+    assert "format_string" not in lines._jdf.queryExecution().toString()
