@@ -38,15 +38,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty texts have fingerprint zero and form a group; texts of any length are read
     whole; other columns, whatever their names, stay; an empty table gives no rows."""
     # a row is named by id and text, as an id may repeat with another text
-    id_, hash_ = F.col("doc_id"), F.xxhash64("text")
-    name = F.struct(id_.isNull().cast("int").alias("no_id"), id_.alias("id"), hash_.alias("hash"))
+    id_ = F.col("doc_id")
+    name = F.struct(id_.isNull().cast("int").alias("no_id"), id_.alias("id"), F.xxhash64("text").alias("hash"))
     found = simhash.simhash_components(docs.select(name.alias("doc_id"), "text"))
-    kept = found.where(_same("doc_id", "component_id"))
-    kept = kept.select(F.col("doc_id.id").alias("kept_id"), F.col("doc_id.hash").alias("kept_hash")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), id_.alias("id"), hash_.alias("hash"))
-    own = rows.join(kept, _same("id", "kept_id") & (F.col("hash") == F.col("kept_hash")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("hash"))
-    return own.withColumn("nth", nth).where("nth = 1").select("row.*")
+    kept = found.where(_same("doc_id", "component_id")).select(F.col("doc_id").alias("kept")).distinct()
+    # window and join share one key of one type, never null, so whole rows move once
+    same = name.cast(kept.schema["kept"].dataType)
+    nth = F.row_number().over(Window.partitionBy("name").orderBy("name"))
+    once = docs.select(F.struct("*").alias("row"), same.alias("name")).withColumn("nth", nth).where("nth = 1")
+    return once.join(kept, F.col("name") == F.col("kept"), "left_semi").select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

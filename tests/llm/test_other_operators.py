@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -278,3 +279,47 @@ def test_pipeline_stages_on_odd_rows(spark):
             assert stage(spark, df, sf).count() <= 3 * df.count()
     once = corpus_pipeline.near_dedup(spark, docs, sf).collect()
     assert sorted(r.doc_id for r in once if r.doc_id is not None) == [1, 2, 4]
+
+
+def row_moves(df):
+    """Shuffles of the column ``row`` on each path of the plan that begins with it."""
+    def walk(plan, moves):
+        names = [plan.output().apply(i).name() for i in range(plan.output().size())]
+        moves += plan.nodeName() == "Exchange" and "row" in names
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        if not any("row" in [c.output().apply(i).name() for i in range(c.output().size())] for c in below) and "row" in names:
+            return [moves]
+        return [m for c in below for m in walk(c, moves)]
+    return sorted(walk(df._jdf.queryExecution().executedPlan().executedPlan(), 0))
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    """Small tables join as large ones do."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pipeline_near_dedup_moves_a_row_once(no_broadcasts):
+    docs = no_broadcasts.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "other words")], "doc_id long, text string")
+    out = corpus_pipeline.near_dedup(no_broadcasts, docs, "")
+    assert row_moves(out) == [1]
+    assert sorted(r.doc_id for r in out.collect()) == [1, 2]
+
+
+def test_texts_without_secrets_stay_where_they_are(no_broadcasts):
+    rows = [(i, f"k {i} password=Private{i}Value99" if i % 10 == 0 else f"nothing here {i}", f"s{i}", "en") for i in range(200)]
+    rows += [(None, None, None, None), (None, "token=NobodysValue123", None, None), (None, "token=NobodysValue123", None, None)]
+    docs = no_broadcasts.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = secrets.redact(docs)
+    assert row_moves(out) == [0, 1]
+    masked = [re.sub("=.*", "=[SECRET]", t) if t else t for _, t, _, _ in rows]
+    want = sorted(str((i, t, s)) for (i, _, s, _), t in zip(rows, masked))
+    for bits in (secrets.FILTER_BITS, 64, 128):  # with few marks most rows move, to the same end
+        assert sorted(str((r.doc_id, r.text, r.source)) for r in secrets.redact(docs, bits=bits).collect()) == want
+    named = secrets.named_rows(docs)
+    found = named.where("text like '%=%'").select(named["copy"].alias("of_copy"))
+    may = {bits: {r.id for r in secrets._marked(named, found, bits).where("may").collect()} for bits in (secrets.FILTER_BITS, 64)}
+    holding = {i for i, t, _, _ in rows if t and "=" in t}
+    assert holding <= may[64] and holding <= may[secrets.FILTER_BITS] and len(may[secrets.FILTER_BITS]) < 30
