@@ -187,6 +187,22 @@ def test_suffix_dedup_matches_brute_force(spark, odd, shard_segments):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_passages_of_over_50_words_go_by_their_bytes(spark):
+    """Repeated passages of 55 words: 399 bytes stay whole, 400 and more are removed to the byte."""
+    rng, rows, want = random.Random(9), [], {}
+    for size in (330, 399, 400, 401, 700):
+        text = " ".join(map(str, rng.sample(range(1000, 10000), 55)))
+        passage = text + "y" * (size - len(text))
+        for ends in ("ab", "cd", "ef"):  # nothing next to the passage is shared
+            want[len(rows)] = size if size >= suffix.LENGTH else 0
+            rows.append((len(rows), f"{words(rng, 60, 10**9)} {ends[0]}{passage}{ends[1]} {words(rng, 60, 10**9)}", "s"))
+    for _ in range(15):  # clean ones
+        rows.append((len(rows), words(rng, 200, 10**9), "s"))
+    got = suffix.remove_repeats(make(spark, rows)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: want.get(i, 0) for i, _, _ in rows}
+    assert all(r.n_spans == (r.n_removed > 0) and len(r.kept) == r.n_bytes - r.n_removed for r in got)
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(1)
     for n, letters in ((0, 2), (1, 1), (60, 2), (200, 1), (400, 3), (300, 250)):
